@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontam, sharding
+from . import bpe, decontam, langid, sharding, simhash, toxicity
 
 
 def queries() -> dict:
@@ -10,6 +10,9 @@ def queries() -> dict:
         "op1_bpe_forced_boundaries": bpe.op1_bpe_forced_boundaries,
         "op4_decontamination": decontam.op4_decontamination,
         "op5_sharding": sharding.op5_sharding,
+        "op7_toxicity": toxicity.op7_toxicity,
+        "op9_language_id": langid.op9_language_id,
+        "op10_simhash": simhash.op10_simhash,
     }
 
 

@@ -1,10 +1,73 @@
-"""A corpus pipeline: each stage takes the documents that the stage before kept."""
+"""A corpus pipeline: each stage takes the documents that the stage before kept.
+
+Language ID drops texts without a letter (`und`) and those whose best language is hardly likelier than any
+other; toxicity drops texts scored 0.5 or more; SimHash keeps one document of each near-duplicate group;
+decontamination drops documents in which a benchmark window occurs; BPE encodes what is left.
+
+All stages but the last return the columns of documents as they came, whatever else these hold. Null and
+empty texts go with the first stage; repeated rows go with the third; an empty table stays empty.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from assayer.llm import bpe, decontam, langid, simhash, toxicity
+from assayer.llm.common import table, written
+
+#: A text whose best language is less probable than this is taken for no language.
+LEAST_LANGUAGE_SCORE = 0.3
+
+
+def _with_row(docs: DataFrame) -> DataFrame:
+    """The columns that the operators read, and whole rows aside, safe from names that clash."""
+    return docs.select(F.struct("*").alias("__row"), "doc_id", "text", "lang")
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = langid.identify_languages(_with_row(docs), keep=("__row",))
+    return found.where((F.col("lang_pred") != langid.UND) & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select("__row.*")
+
+
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    scored = toxicity.score_toxicity(_with_row(docs), table(spark, sf_dir, "labels"), keep=("__row",))
+    return scored.where("predicted = 0").select("__row.*")
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.deduplicate(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = decontam.contamination(_with_row(docs), table(spark, sf_dir, "benchmark"), keep=("__row",))
+    return found.where(F.size("spans") == 0).select("__row.*")
+
+
+def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    both = bpe.bpe_decode(bpe.bpe_encode(docs, path), path)
+    return both.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("toxicity", toxicity_filter),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("bpe", bpe_encoding),
+]
+
+#: Trained models and the tokenizer can't be expressed in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = written(docs)
+    return docs
