@@ -32,9 +32,9 @@ from pyspark.sql import types as T
 from .common import map_text, table
 
 #: Short runs of text without white space kept with their ids before the older half is forgotten.
-RUNS_KEPT = 200_000
+RUNS_KEPT = 100_000
 #: Pairs of neighbouring tokens whose standing is kept.
-PAIRS_KEPT = 500_000
+PAIRS_KEPT = 250_000
 END = "\ue000"
 NONE = 1 << 60
 

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 TEXT = "__text"
+BATCH_ROWS = 500
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +44,12 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame) -> None:
+    """From now on the session's rows cross to Python in batches of BATCH_ROWS: a batch of ten thousand whole
+    texts, the default, is built twice outside the heap by every task."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def map_text(
     df: DataFrame,
     make: Callable[[], Callable[[list], dict[str, object]]],
@@ -57,22 +64,28 @@ def map_text(
     make() is called once a task and returns a function from a list of texts (str, or bytes with binary;
     None for null) to one list or array per field. keep names the columns carried along; a kept column
     with the name of a new field gives way to it. rows bounds the slice handed over at once.
+
+    A text that is kept too crosses to Python once.
     """
     new = {f.name for f in fields}
     keep = [c for c in dict.fromkeys(keep) if c not in new]
-    text = col(text_col).cast("binary" if binary else "string")
-    source = df.select(*[col(c) for c in keep], text.alias(TEXT))
-    schema = T.StructType([*source.schema.fields[:-1], *fields])
+    small_batches(df)
+    kinds_of = dict(df.dtypes)
+    shared = text_col in keep and kinds_of[text_col] in ("string", "binary")
+    extra = [] if shared else [(col(text_col) if kinds_of[text_col] == "binary" else col(text_col).cast("string")).alias(TEXT)]
+    source = df.select(*[col(c) for c in keep], *extra)
+    schema = T.StructType([*source.schema.fields[: len(keep)], *fields])
     kinds = [(f.name, to_arrow_type(f.dataType)) for f in fields]
-    n = len(keep)
+    at_text = keep.index(text_col) if shared else len(keep)
+    wanted = pa.binary() if binary else pa.string()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = make()
         for whole in batches:
             for at in range(0, whole.num_rows, rows):
                 batch = whole.slice(at, rows)
-                got = f(batch.column(n).to_pylist())
-                arrays = [batch.column(i) for i in range(n)]
+                got = f(batch.column(at_text).cast(wanted).to_pylist())
+                arrays = [batch.column(i) for i in range(len(keep))]
                 arrays += [pa.array(got[name], kind) for name, kind in kinds]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *(name for name, _ in kinds)])
 

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import col, shared_dir, table, written
+from .common import col, shared_dir, small_batches, table, written
 
 WIDTH = 64
 #: A shard is closed beyond so many bytes, and the next begun.
@@ -192,6 +192,7 @@ def _ranged(index: DataFrame, folder: str, head: int | None, kinds: list, f) ->
 
 def media_table(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
     """Stores every text's payload and returns its row with place, header and content columns."""
+    small_batches(docs)
     folder = shared_dir(docs.sparkSession)
     if "://" not in folder:  # a plain path, or Hadoop's file:/path
         folder = "file://" + folder.removeprefix("file:")

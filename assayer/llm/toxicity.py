@@ -114,12 +114,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         chosen = own if chosen is None else chosen.unionByName(own)
     chosen = written(chosen)  # at most twice rows_per_class ids
     rows = docs.withColumn("__id", col(id_col)).withColumn("__h", F.xxhash64(text)).join(F.broadcast(chosen), ["__id", "__h"])
-    sample = term_rows(rows, ("__y", "__h"), text_col).dropDuplicates(["__y", "__h"]).collect()
-    sample.sort(key=lambda r: (r["__h"], r["__y"]))
-    if not sample:
+    # as Arrow, not as Python integers: the sample's terms are some ten million
+    sample = term_rows(rows, ("__y", "__h"), text_col).dropDuplicates(["__y", "__h"]).toArrow().sort_by([("__h", "ascending"), ("__y", "ascending")])
+    if not sample.num_rows:
         return {}
-    y = np.array([r["__y"] for r in sample], dtype=float)
-    rows_ = [np.array(r["terms"], dtype=np.int32) for r in sample]
+    y = sample.column("__y").to_numpy().astype(float)
+    lists = sample.column("terms").combine_chunks()
+    ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+    rows_ = [flat[a:z] for a, z in zip(ends, ends[1:])]
     held = np.bincount(np.concatenate(rows_), minlength=BUCKETS).astype(float)
     toxic = np.bincount(np.concatenate([x for x, t in zip(rows_, y) if t] or [rows_[0][:0]]), minlength=BUCKETS)
     n, t = len(y), y.sum()

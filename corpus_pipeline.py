@@ -20,19 +20,24 @@ from assayer.llm.common import table, written
 LEAST_LANGUAGE_SCORE = 0.3
 
 
-def _with_row(docs: DataFrame) -> DataFrame:
-    """The columns that the operators read, and whole rows aside, safe from names that clash."""
-    return docs.select(F.struct("*").alias("__row"), "doc_id", "text", "lang")
+def _apart(docs: DataFrame) -> tuple[DataFrame, dict[str, str], list]:
+    """docs with columns renamed so that no operator's output clashes, the new names, and the way back."""
+    safe = [f"d{i}" for i in range(len(docs.columns))]
+    name = dict(zip(reversed(docs.columns), reversed(safe)))
+    return docs.toDF(*safe), name, [F.col(s).alias(c) for s, c in zip(safe, docs.columns)]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = langid.identify_languages(_with_row(docs), keep=("__row",))
-    return found.where((F.col("lang_pred") != langid.UND) & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select("__row.*")
+    own, name, back = _apart(docs)
+    found = langid.identify_languages(own, own.columns, name["doc_id"], name["text"], name["lang"])
+    return found.where((F.col("lang_pred") != langid.UND) & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select(*back)
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = toxicity.score_toxicity(_with_row(docs), table(spark, sf_dir, "labels"), keep=("__row",))
-    return scored.where("predicted = 0").select("__row.*")
+    own, name, back = _apart(docs)
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias(name["doc_id"]), "toxic")
+    scored = toxicity.score_toxicity(own, labels, own.columns, name["doc_id"], name["text"])
+    return scored.where("predicted = 0").select(*back)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +45,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontam.contamination(_with_row(docs), table(spark, sf_dir, "benchmark"), keep=("__row",))
-    return found.where(F.size("spans") == 0).select("__row.*")
+    own, name, back = _apart(docs)
+    found = decontam.contamination(own, table(spark, sf_dir, "benchmark"), own.columns, name["text"])
+    return found.where(F.size("spans") == 0).select(*back)
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
