@@ -32,6 +32,9 @@ RADIUS = 3
 SEED = 42
 SHINGLE = 3
 BLOCKS = 3
+#: Fingerprints whose variants (65 each, and again about 43 for each block) one task emits, as long as that
+#: takes no more than MOST_TASKS tasks.
+PER_TASK, MOST_TASKS = 1 << 14, 20_000
 
 _WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -77,6 +80,11 @@ def _variants(fp: Column, bits: list[int], drop: int) -> Column:
     return F.transform(F.array(*[F.lit(m).cast("long") for m in _masks(bits)]), lambda m: fp.bitwiseAND(F.lit(kept).cast("long")).bitwiseXOR(m))
 
 
+def _spread(fps: DataFrame) -> DataFrame:
+    """fps over as many tasks as the rows that they are about to become need; file splits go by bytes read."""
+    return fps.repartition(min(MOST_TASKS, max(1, -(-fps.count() // PER_TASK))), "fp")
+
+
 def near_links(distinct: DataFrame) -> DataFrame:
     """distinct(fp long, each once) -> links (a, b) that join fingerprints within 3 bits.
 
@@ -84,11 +92,12 @@ def near_links(distinct: DataFrame) -> DataFrame:
     within 2 bits, or the roots of two groups of which two members are within 3 bits.
     """
     whole = _variants(F.col("fp"), list(range(64)), 0)
+    distinct = _spread(distinct)
     balls = distinct.select("fp", F.explode(whole).alias("v")).groupBy("v").agg(F.collect_set("fp").alias("s")).where(F.size("s") > 1)
     proven = balls.select(F.array_sort("s").alias("s")).select(F.explode(F.slice("s", 2, 64)).alias("a"), F.get("s", F.lit(0)).alias("b"))
     near = written(proven.distinct())
     roots = connected_components(near).withColumnRenamed("node", "fp")
-    grouped = written(distinct.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root")))
+    grouped = _spread(written(distinct.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))))
 
     cut = [64 * k // BLOCKS for k in range(BLOCKS + 1)]
     emitted = None
