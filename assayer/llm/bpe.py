@@ -31,8 +31,8 @@ from pyspark.sql import types as T
 
 from .common import map_text, table
 
-#: Short runs of text without white space kept with their ids before the older half is forgotten.
-RUNS_KEPT = 100_000
+#: Words and short runs of text without white space kept with their ids before the older half is forgotten.
+RUNS_KEPT = 150_000
 #: Pairs of neighbouring tokens whose standing is kept.
 PAIRS_KEPT = 250_000
 END = "\ue000"
@@ -154,25 +154,38 @@ class ForcedBoundaryBPE:
     def word(self, word: str) -> list[int]:
         """A word's ids: cut at the certain boundaries, encoded by fragment, concatenated."""
         raw, joined = word.encode(), self.joined
-        s = raw.decode("latin-1").translate(self.symbol_of) + END
+        # printable ASCII is its own symbol
+        s = (word if word.isascii() and word.isprintable() else raw.decode("latin-1").translate(self.symbol_of)) + END
         cuts = [i for i, (a, b) in enumerate(zip(raw, raw[1:]), 1) if not joined[a][b]]
         if not cuts:
             return self.fragment(s)
         return [x for i, j in zip([0, *cuts], [*cuts, len(s)]) for x in self.fragment(s[i:j])]
 
-    def run(self, chunk: str) -> bytes:
-        """The ids, as little-endian unsigned 32-bit integers, of a normalised stretch of text."""
-        if (got := self.old.get(chunk)) is None:
-            ids: list[int] = []
-            for w in self.words.findall(chunk):
-                ids += self.word(w)
-            got = array("I", ids).tobytes() if sys.byteorder == "little" else np.asarray(ids, "<u4").tobytes()
-        if len(chunk) <= 64:
+    def _keep(self, s: str, ids: bytes) -> bytes:
+        if len(s) <= 64:
             if len(self.new) >= RUNS_KEPT:
                 self.old, self.new = self.new, {}
-            self.new[chunk] = got
+            self.new[s] = ids
+        return ids
+
+    def _packed(self, word: str) -> bytes:
+        """A word's ids as little-endian unsigned 32-bit integers; words that came lately are known."""
+        if (got := self.new.get(word)) is None:
+            if (got := self.old.get(word)) is None:
+                ids = self.word(word)
+                got = array("I", ids).tobytes() if sys.byteorder == "little" else np.asarray(ids, "<u4").tobytes()
+            self._keep(word, got)
         return got
 
+    def run(self, chunk: str) -> bytes:
+        """The packed ids of a normalised stretch of text that isn't among the newest known."""
+        if (got := self.old.get(chunk)) is not None:
+            return self._keep(chunk, got)
+        words = self.words.findall(chunk)
+        if words == [chunk]:
+            return self._packed(chunk)
+        return self._keep(chunk, b"".join([self._packed(w) for w in words]))
+
     def normalised(self, text: str) -> str:
         if text.isascii():
             return text.lower()
