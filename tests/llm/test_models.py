@@ -185,3 +185,24 @@ def test_quality_keeps_trusted_texts(spark):
     other = [r.kept for r in got if r.doc_id not in good]
     print("quality kept", np.mean(kept), np.mean(other))
     assert np.mean(kept) >= 0.95
+
+
+def test_quality_sees_the_order_of_words(spark):
+    r = np.random.default_rng(7)
+    chain = [[(5 * w + k) % 60 for k in (1, 2, 3)] for w in range(60)]
+
+    def text(n=60):
+        own = [int(r.integers(60))]
+        while len(own) < n:
+            own.append(chain[own[-1]][int(r.integers(3))])
+        return [f"word{chr(97 + w // 8)}{chr(97 + w % 8)}" for w in own]
+
+    good, more = [text() for _ in range(150)], [text() for _ in range(40)]
+    shuffled = [list(r.permutation(x)) for x in more]
+    texts = [*good, *more, *shuffled]
+    docs = spark.createDataFrame([(i, " ".join(x), "en") for i, x in enumerate(texts)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(150)], "doc_id long, quality int")
+    by = {x.doc_id: x for x in ngram.quality(docs, labels).collect()}
+    assert sorted(by) == list(range(len(texts)))
+    assert np.mean([by[i].kept for i in range(150, 190)]) > 0.9
+    assert not any(by[i].kept for i in range(190, 230))
