@@ -5,10 +5,9 @@ all others share a number of hashed classes. The network predicts each token fro
 side: one embedding table for each neighbour's place, summed, tanh, softmax. A document's score is the sum of the
 log-probabilities that it gives every token of the whole text, each masked in turn.
 
-Token counts cover all documents. Training covers all documents too: in each round the tasks read their share of
-the documents (a round takes those of its hash class), mask MASKED of the positions, chosen by a hash of place and
-tokens, and descend from the parameters of the round before; their results are averaged, weighted by masked
-positions, in a shuffle by parameter. What reaches the driver is one parameter set a round and the vocabulary.
+Token counts cover all documents. Training covers all too: in each round the tasks read all documents, predict every
+position from its neighbours and descend from the parameters of the round before; their results are averaged,
+weighted by positions, in a shuffle by parameter. What reaches the driver is one parameter set a round and the vocabulary.
 
 Null and empty texts have no tokens, the score 0 and no perplexity. Repeated rows count and are scored each. An
 empty table gives no rows. Other columns are not used.
@@ -34,7 +33,7 @@ VOCABULARY = FREQUENT + HASHED
 #: The token that stands beyond a text's ends.
 EDGE = VOCABULARY
 SIDE, HIDDEN = 2, 16
-ROUNDS, MASKED = 2, 0.15
+ROUNDS = 2
 BATCH = 512
 #: Distinct tokens that a task counts before it passes them on.
 COUNTED = 200_000
@@ -137,7 +136,7 @@ class WindowNetwork:
         return out
 
     def descend(self, sides: np.ndarray, middle: np.ndarray, rate: float) -> None:
-        """One step of Adagrad on a batch of masked positions."""
+        """One step of Adagrad on a batch of positions."""
         h = self.hidden(sides)
         _, q = self.exponents(h)
         q /= (q @ np.ones(VOCABULARY, dtype=np.float32))[:, None]
@@ -164,17 +163,16 @@ def neighbourhoods(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.stack([joined[at + k] for k in (*range(-SIDE, 0), *range(1, SIDE + 1))]), joined[at]
 
 
-def masked(sides: np.ndarray, middle: np.ndarray) -> np.ndarray:
-    """The positions that training predicts: a share MASKED by a hash of the window and its place in the batch."""
-    h = middle.astype(np.uint64) + np.uint64(1) + np.arange(len(middle), dtype=np.uint64)
-    for s in sides:
-        h = (h * np.uint64(0x9E3779B97F4A7C15)) ^ (s.astype(np.uint64) + np.uint64(0x632BE59B))
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return np.flatnonzero((h >> np.uint64(40)).astype(np.float64) < MASKED * 2**24)
+def descend_over(net: WindowNetwork, vocabulary: Vocabulary, texts: list[str | None], rate: float) -> int:
+    """Descends once on every position of the texts; their number."""
+    sides, middle = neighbourhoods([vocabulary.ids(t) for t in texts])
+    for b in range(0, len(middle), BATCH):
+        net.descend(sides[:, b : b + BATCH], middle[b : b + BATCH], rate)
+    return len(middle)
 
 
 def train_round(docs: DataFrame, frequent: list[str], p: dict[str, np.ndarray], rate: float, text_col: str = "text") -> dict[str, np.ndarray]:
-    """Parameters after each task has descended over its documents, averaged by masked positions."""
+    """Parameters after each task has descended over its documents, averaged by positions."""
     sc = docs.sparkSession.sparkContext
     shared = sc.broadcast((frequent, p))
 
@@ -183,12 +181,7 @@ def train_round(docs: DataFrame, frequent: list[str], p: dict[str, np.ndarray],
         vocabulary, net, seen = Vocabulary(words), WindowNetwork(start), 0
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
-                sides, middle = neighbourhoods([vocabulary.ids(t) for t in batch.slice(at, 200).column(0).to_pylist()])
-                chosen = masked(sides, middle)
-                for b in range(0, len(chosen), BATCH):
-                    some = chosen[b : b + BATCH]
-                    net.descend(sides[:, some], middle[some], rate)
-                seen += len(chosen)
+                seen += descend_over(net, vocabulary, batch.slice(at, 200).column(0).to_pylist(), rate)
         if seen:
             own = flat(net.p).astype(np.float64) * seen
             yield pa.RecordBatch.from_arrays(
@@ -206,9 +199,8 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tupl
     top = token_counts(docs, text_col).orderBy(F.desc("n"), "token").limit(FREQUENT).collect()
     frequent = [r["token"] for r in top]
     p = first_parameters()
-    share = F.pmod(F.xxhash64(col(text_col)), F.lit(rounds))
     for k in range(rounds):
-        p = train_round(docs.where(share == k), frequent, p, 0.1 / (k + 1), text_col)
+        p = train_round(docs, frequent, p, 0.1 / (k + 1), text_col)
     return frequent, p
 
 

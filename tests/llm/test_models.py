@@ -123,6 +123,26 @@ def test_pseudo_likelihood_learns(spark):
     assert bits(p) > bits(lmscore.first_parameters()) + 1
 
 
+def test_pseudo_likelihood_trains_on_every_position(spark, monkeypatch):
+    class Spy(lmscore.WindowNetwork):
+        def descend(self, sides, middle, rate):
+            targets.extend(middle.tolist())
+
+    texts, targets = ["a b c, " * 300, None, "", "b a"], []
+    vocabulary = lmscore.Vocabulary(["a", "b", "c", ","])
+    n = lmscore.descend_over(Spy(lmscore.first_parameters()), vocabulary, texts, 0.1)
+    assert n == 1202 and targets == [k for t in texts for k in vocabulary.ids(t).tolist()]
+    docs, rounds, real = spark.createDataFrame([(t,) for t in texts], "text string"), [], lmscore.train_round
+
+    def counted(d, *own):
+        rounds.append(d.count())
+        return real(d, *own)
+
+    monkeypatch.setattr(lmscore, "train_round", counted)
+    lmscore.train(docs)
+    assert rounds == [4] * lmscore.ROUNDS
+
+
 def brute_kneser_ney(texts, order=3, symbols=5):
     """Of symbol lists; by the formulas."""
     counts = {order: Counter()}
