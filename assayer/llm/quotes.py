@@ -3,7 +3,9 @@ r"""Chat formatting by quotation linking, in DataFrame operations only.
 A line that begins with one or more ">" (white space between them allowed) is quoted, its level their number.
 Consecutive lines of one level are a passage. Passages are normalised (lower case, white space collapsed) and
 hashed, and joined to the message of the same conversation that holds them first: as its whole own text, as a
-paragraph of it or as a line of it, quotes excluded. A message replies to the message that its outermost
+paragraph of it, as a line of it, quotes excluded, or as a run of its lines between quotes. A passage of several
+paragraphs that nobody holds whole has the origin of the longest of its paragraphs that has one (of these, the
+first's). OP2_SQL knows neither runs nor paragraphs of quotes: there its links are fewer. A message replies to the message that its outermost
 linked passage (of these the longest, then the first) comes from; a message without one starts a thread.
 
 Conversations are rebuilt without quotes in reply order: by thread, by depth in the thread, by turn. `position`
@@ -62,13 +64,21 @@ def quoted_passages(messages: DataFrame) -> DataFrame:
     runs = lines.withColumn("new", new).withColumn("run", F.sum("new").over(message)).where("level > 0")
     joined = runs.groupBy("conv_id", "turn", "mid", "run", "level").agg(F.array_sort(F.collect_list(F.struct("at", "body"))).alias("b"))
     text = F.array_join(F.transform("b", lambda x: x["body"]), "\n")
-    return joined.select("conv_id", "turn", "mid", F.get("b", F.lit(0))["at"].alias("at"), "level", normalised(text).alias("passage"))
+    paragraphs = F.filter(F.transform(F.split(text, r"\n[ \t]*\n"), lambda x: normalised(x)), lambda x: x != "")
+    return joined.select("conv_id", "turn", "mid", F.get("b", F.lit(0))["at"].alias("at"), "level", normalised(text).alias("passage"), paragraphs.alias("paragraphs"))
+
+
+def own_runs(text: Column) -> Column:
+    """The maximal runs of lines without quotes, as texts."""
+    marked = F.transform(_lines(text), lambda x: F.when(x["level"] == 0, x["body"]).otherwise(F.lit("\0")))
+    return F.split(F.array_join(marked, "\n"), "\0")
 
 
 def original_passages(messages: DataFrame) -> DataFrame:
-    """(conv_id, hash, origin): of every own passage of messages(conv_id, turn, body), the first turn that holds it."""
+    """(conv_id, hash, origin): of every own passage of messages(conv_id, turn, text, body), the first turn that holds it."""
+    runs = F.when(F.col("text").rlike("(?m)" + QUOTED), own_runs(F.col("text"))).otherwise(F.array().cast("array<string>"))
     pieces = F.array_distinct(
-        F.transform(F.concat(F.array("body"), F.split("body", r"\n[ \t]*\n"), F.split("body", "\n")), lambda x: normalised(x))
+        F.transform(F.concat(F.array("body"), F.split("body", r"\n[ \t]*\n"), F.split("body", "\n"), runs, F.flatten(F.transform(runs, lambda x: F.split(x, r"\n[ \t]*\n")))), lambda x: normalised(x))
     )
     each = messages.where("turn is not null").select("conv_id", "turn", F.explode(pieces).alias("p")).where(F.col("p") != "")
     return each.groupBy("conv_id", _hash(F.col("p")).alias("hash")).agg(F.min("turn").alias("origin"))
@@ -98,7 +108,16 @@ def link_quotes(conversations: DataFrame) -> DataFrame:
     once = messages.dropDuplicates(["conv_id", "turn", "mid"])
     quotes = quoted_passages(once).withColumn("hash", _hash(F.col("passage")))
     origins = original_passages(once).withColumnRenamed("conv_id", "c").withColumnRenamed("hash", "h")
-    found = quotes.join(origins, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("hash") == F.col("h")) & (F.col("origin") < F.col("turn")), "left")
+    held = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("hash") == F.col("h")) & (F.col("origin") < F.col("turn"))
+    whole = written(quotes.join(origins, held, "left").drop("c", "h"))
+    # the paragraphs of passages that nobody holds whole
+    parts = whole.where(F.col("origin").isNull() & (F.size("paragraphs") > 1)).drop("origin", "hash")
+    each = parts.select("conv_id", "turn", "mid", "at", F.posexplode("paragraphs").alias("k", "part")).withColumn("hash", _hash(F.col("part")))
+    longest = F.min(F.struct(-F.length("part"), "k", "origin"))["origin"]
+    of_parts = each.join(origins, held).groupBy("conv_id", "turn", "mid", "at").agg(longest.alias("of_part"))
+    names = ["conv_id", "turn", "mid", "at"]
+    same_quote = [F.col(x).eqNullSafe(F.col(f"p_{x}")) for x in names]
+    found = whole.join(of_parts.select(*[F.col(x).alias(f"p_{x}") for x in names], "of_part"), same_quote, "left").withColumn("origin", F.coalesce("origin", "of_part"))
     best = F.struct("level", -F.length("passage"), "at", "origin")
     links = written(
         found.groupBy("conv_id", "turn", "mid").agg(

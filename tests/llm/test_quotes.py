@@ -61,3 +61,18 @@ def test_empty_and_extra(spark):
     extra = spark.createDataFrame([(1, 0, "user", "hi", 3, "x")], SCHEMA + ", position int, body string")
     (row,) = quotes.link_quotes(extra).collect()
     assert row.body == "hi" and row.position == 0
+
+
+def test_runs_between_quotes_and_paragraphs_of_quotes(spark):
+    rows = [
+        (1, 0, "user", "q1\n\nq2"),
+        (1, 1, "assistant", "> q1\nr1a\nr1b\n> q2\nr2a\nr2b"),
+        (1, 2, "user", "> r1a\n> r1b\nnot so"),
+        (2, 0, "user", "first one\n\nsecond one\n\nthe third"),
+        (2, 1, "assistant", "> first one\n>\n> second one\nyes"),
+        (2, 2, "assistant", "> nobody's\n>\n> nor this\nno"),
+    ]
+    got = {(r.conv_id, r.turn): r for r in quotes.link_quotes(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert (got[1, 2].n_quotes, got[1, 2].n_linked, got[1, 2].reply_to, got[1, 2].thread) == (1, 1, 1, 0)
+    assert (got[2, 1].n_quotes, got[2, 1].n_linked, got[2, 1].reply_to) == (1, 1, 0)
+    assert (got[2, 2].n_quotes, got[2, 2].n_linked, got[2, 2].reply_to) == (1, 0, None)
