@@ -216,6 +216,13 @@ def j3(spark, sf_dir):
     return zipped.select(F.col("ordinal").cast("int").alias("ordinal"), F.col("left").alias("name"), F.col("right").alias("url"))
 
 
+@query("j3_strict_zip_lines", "SELECT l_orderkey AS task, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) - 1 AS INTEGER) AS ordinal, l_linenumber AS line, l_partkey AS part FROM lineitem")
+def j3_lines(spark, sf_dir):
+    lines = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("x"))
+    both = lines.select(F.transform("x", lambda x: F.struct(F.col("l_orderkey").alias("task"), x["l_linenumber"].alias("line"))).alias("lines"), F.transform("x", lambda x: x["l_partkey"]).alias("parts"))
+    return bank.strict_zip(both, "lines", "parts").select("left.task", F.col("ordinal").cast("int").alias("ordinal"), "left.line", F.col("right").alias("part"))
+
+
 @query("j4_metrics_lookup", "SELECT o_custkey AS product, o_orderkey AS task, c_name AS session FROM orders JOIN customer ON o_custkey = c_custkey")
 def j4(spark, sf_dir):
     c = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("product"), F.col("c_name").alias("session"))
