@@ -6,7 +6,8 @@ language probabilities; a text's are the mean over all its windows, weighted by
 trained in numpy on a bounded sample of labelled rows.
 
 Texts that are null or have no letter are `und` with score 0. Rows with a null label teach nothing; with no
-labelled row at all every text is `und`. Repeated rows are predicted each; an empty table gives no rows.
+labelled row at all every text is `und`. Of languages that are equally likely the first by name is told. Repeated
+rows are predicted each; an empty table gives no rows. Columns named as a result give way to it.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 10
 EMBEDDED = 8
-#: Bound of the training sample: rows for each language, and windows of a row (spread over the whole text).
-ROWS_PER_LANG, WINDOWS_PER_ROW = 600, 6
+#: Bound of the training sample: rows for each language. All windows of a row are learnt from.
+ROWS_PER_LANG = 600
 EPOCHS = 6
 UND = "und"
 
@@ -125,7 +126,13 @@ class Predictor:
             n, m = len(own), WINDOW - 3
             z = self.head[pairs[:, :m].ravel()].reshape(n, m, -1)
             z[:, :, FILTERS:] += self.tail[pairs[:, 2 : m + 2].ravel()].reshape(n, m, -1)
-            out.append(z.max(axis=1))
+            best = z.max(axis=1)
+            # the narrower filters have places beyond the widest one's last: two for width 2, one for width 3
+            two = self.head[pairs[:, m:]][:, :, :FILTERS].max(axis=1)
+            three = self.head[pairs[:, m], FILTERS : 2 * FILTERS] + self.tail[own[:, -1] * 256, :FILTERS]
+            np.maximum(best[:, :FILTERS], two, out=best[:, :FILTERS])
+            np.maximum(best[:, FILTERS : 2 * FILTERS], three, out=best[:, FILTERS : 2 * FILTERS])
+            out.append(best)
         h = np.maximum(np.concatenate(out), 0)
         z = h @ self.p["D"] + self.p["b"]
         q = np.exp(z - z.max(axis=1, keepdims=True))
@@ -181,7 +188,6 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "lang",
     for r in sorted(sample.collect(), key=lambda r: (r["lang"], r["h"])):
         if _LETTER.search(r["text"]):
             w, _ = windows(r["text"].encode("utf-8", "replace"))
-            w = w[np.unique(np.linspace(0, len(w) - 1, WINDOWS_PER_ROW).astype(int))]
             x.append(w)
             y += [langs.index(r["lang"])] * len(w)
     if not x:
