@@ -38,10 +38,61 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame) -> DataFrame:
-    """df, written to the shared folder and read again: its lineage ends there and it is computed once."""
+    """df, written to the shared folder and read again: its lineage ends there and it is computed once.
+
+    The folder stays, as later reads and lost executors need it; discard() or discard_all() removes it."""
     path = shared_dir(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    got = df.sparkSession.read.schema(df.schema).parquet(path)
+    got.written_to = path
+    _WRITTEN.add(path)
+    return got
+
+
+_WRITTEN: set[str] = set()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    own = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    own.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(own, True)
+    _WRITTEN.discard(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes what written() stored for these tables. Only for tables that no result to come is read from."""
+    for t in tables:
+        _delete(t.sparkSession, t.written_to)
+
+
+def discard_all(spark: SparkSession) -> None:
+    """Removes all that written() has stored in this process; for the end of a job, when its results are saved."""
+    for path in list(_WRITTEN):
+        _delete(spark, path)
+
+
+#: Cells of a bitmap(): 2 MB of bits, in at most 262,144 rows.
+CELLS = 1 << 24
+
+
+def _cell(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(CELLS))
+
+
+def _bit(cell: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), cell.bitwiseAND(F.lit(63)).cast("int"))
+
+
+def bitmap(keys: DataFrame, key: Column) -> DataFrame:
+    """(word, mask): a bit for the hash of every key, in a table of fixed size whatever the number of keys."""
+    cells = keys.where(key.isNotNull()).select(_cell(key).alias("c"))
+    return cells.groupBy(F.shiftright("c", 6).alias("__word")).agg(F.bit_or(_bit(F.col("c"))).alias("__mask"))
+
+
+def perhaps_in(df: DataFrame, key: Column, bits: DataFrame, name: str) -> DataFrame:
+    """df with a boolean column: false if key is surely none of the bitmap's keys. The bitmap's size is bounded and it is broadcast."""
+    joined = df.withColumn("__cell", _cell(key)).join(F.broadcast(bits), F.shiftright("__cell", 6) == F.col("__word"), "left")
+    held = F.col("__mask").bitwiseAND(_bit(F.col("__cell"))) != 0
+    return joined.withColumn(name, F.coalesce(held, F.lit(False))).drop("__cell", "__word", "__mask")
 
 
 def small_batches(df: DataFrame) -> None:
@@ -92,6 +143,18 @@ def map_text(
     return source.mapInArrow(run, schema)
 
 
+_RESIDENT: dict = {}
+
+
+def resident(key: object, build: Callable[[], object]) -> object:
+    """What build() makes, kept in a Python worker for its later tasks until another key is asked for: a worker that
+    serves several operators in turn holds the tables of the last one alone."""
+    if key not in _RESIDENT:
+        _RESIDENT.clear()
+        _RESIDENT[key] = build()
+    return _RESIDENT[key]
+
+
 def crc_of_id(id_col: str) -> Column:
     """crc32 of an id's decimal text; a null id counts as the empty text."""
     return F.crc32(F.coalesce(col(id_col).cast("string"), F.lit("")).cast("binary"))

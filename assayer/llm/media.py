@@ -1,17 +1,19 @@
 """Media columns: content-addressed payloads in tar shards, read back by byte ranges.
 
 A payload is a text's UTF-8 bytes with zeros up to a positive multiple of 64. It is stored losslessly as an
-8-bit grayscale PNG, 64 samples wide, under the name of its SHA-256 digest, in a tar shard. Each writing task
-fills its own shard and stores equal payloads once there; rows carry digest, shard, offset and length of the
-stored form. Metadata columns come from range reads of the PNG header alone (33 bytes), contents from range
-reads of the whole member. Equal texts have equal payloads, stored forms and features.
+8-bit grayscale PNG, 64 samples wide, under the name of its SHA-256 digest, in a tar shard. Every payload is stored
+once, however many rows and tasks hold it: digests that occur once are told from the others by a narrow count and
+go to the shards from where they are, the others meet by digest first, with partial aggregation, so a group of
+copies of any size sends one payload a task. Rows carry digest, shard, offset and length of the stored form.
+Metadata columns come from range reads of the PNG header alone (33 bytes), contents from range reads of the whole
+member, both once for each stored form. Equal texts have equal values in all columns.
 
 Shards lie in the shared folder. A shard is written under a name of its own attempt and then moved to the name
-that its rows carry, so a task that is lost and run again leaves whole shards only; the row table is written
-before anything is read back, so rows and shards belong together.
+that its rows carry, so a task that is lost and run again leaves whole shards only; the table of places is written
+before anything is read back, so rows and shards belong together. Shards are the operator's product and stay.
 
-Null texts count as empty. Repeated rows each get a row. An empty table gives no rows and no shards. Other
-columns are not used.
+Null texts count as empty. Repeated rows each get a row. An empty table gives no rows and no shards. Columns named
+in keep are carried along; one with the name of a new column gives way to it. Other columns are not used.
 """
 
 from __future__ import annotations
@@ -27,25 +29,38 @@ import numpy as np
 import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import col, shared_dir, small_batches, table, written
+from .common import bitmap, col, perhaps_in, shared_dir, small_batches, table, written
 
 WIDTH = 64
 #: A shard is closed beyond so many bytes, and the next begun.
 SHARD_BYTES = 128 << 20
 HEADER_BYTES = 33
 LEVEL = 6
+#: Rows of a repeated payload are dealt over so many join keys.
+SALTS = 32
+NEW = (
+    "n_bytes", "payload_bytes", "digest", "shard", "offset", "length", "width", "height", "bits",
+    "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "repeated",
+)
 
 _SIGNATURE = b"\x89PNG\r\n\x1a\n"
 
 
-def payload_of(text: str | None) -> bytes:
-    raw = (text or "").encode("utf-8", "surrogatepass")
+def payload_of(text: str | bytes | None) -> bytes:
+    raw = text if isinstance(text, bytes) else (text or "").encode("utf-8", "surrogatepass")
     return raw + bytes(-len(raw) % WIDTH if raw else WIDTH)
 
 
+def payload_column(raw: Column) -> Column:
+    """payload_of() of a binary column."""
+    zeros = F.when(F.octet_length(raw) == 0, WIDTH).otherwise(F.pmod(-F.octet_length(raw), F.lit(WIDTH)))
+    return F.concat(raw, F.substring(F.lit(bytes(WIDTH)), F.lit(1), zeros.cast("int")))
+
+
 def _chunk(kind: bytes, body: bytes) -> bytes:
     return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
 
@@ -85,65 +100,91 @@ def feature_of(payload: bytes, width: int, height: int, bits: int) -> str:
     return f"png:{width}x{height}x{bits};mean={x.mean():.4f};std={x.std():.4f};zeros={(x == 0).mean():.4f}"
 
 
+def _files(folder: str):
+    """The file system of a folder as Spark names it, and the path in it."""
+    if "://" not in folder:  # a plain path, or Hadoop's file:/path
+        folder = "file://" + folder.removeprefix("file:")
+    return pafs.FileSystem.from_uri(folder.replace("s3a://", "s3://", 1) if folder.startswith("s3a://") else folder)
+
+
 class _Shards:
     """Tar shards that one task attempt writes."""
 
     def __init__(self, folder: str, task: int):
-        self.fs, self.root = pafs.FileSystem.from_uri(folder)
-        self.task, self.number = task, 0
-        self.out = None
-        self.seen: dict[bytes, tuple[str, int, int]] = {}
-
-    def put(self, payload: bytes) -> tuple[str, str, int, int]:
-        digest = hashlib.sha256(payload).digest()
-        if digest not in self.seen:
-            if self.out is None:
-                self.name = f"shard-{self.task:06d}-{self.number:04d}-{uuid.uuid4().hex[:8]}.tar"
-                self.out = self.fs.open_output_stream(f"{self.root}/{self.name}.part")
-                self.at = 0
-            png = to_png(payload)
-            info = tarfile.TarInfo(digest.hex() + ".png")
-            info.size = len(png)
-            head = info.tobuf(tarfile.USTAR_FORMAT)
-            self.out.write(head + png + bytes(-len(png) % 512))
-            self.seen[digest] = (self.name, self.at + len(head), len(png))
-            self.at += len(head) + len(png) + -len(png) % 512
-            if self.at >= SHARD_BYTES:
-                self.close()
-        return (digest.hex(), *self.seen[digest])
+        self.fs, self.root = _files(folder)
+        self.task, self.number, self.out = task, 0, None
+
+    def put(self, payload: bytes) -> tuple[str, int, int]:
+        if self.out is None:
+            self.name = f"shard-{self.task:06d}-{self.number:04d}-{uuid.uuid4().hex[:8]}.tar"
+            self.out, self.at = self.fs.open_output_stream(f"{self.root}/{self.name}.part"), 0
+        png = to_png(payload)
+        info = tarfile.TarInfo(hashlib.sha256(payload).hexdigest() + ".png")
+        info.size = len(png)
+        head = info.tobuf(tarfile.USTAR_FORMAT)
+        self.out.write(head + png + bytes(-len(png) % 512))
+        place = (self.name, self.at + len(head), len(png))
+        self.at += len(head) + len(png) + -len(png) % 512
+        if self.at >= SHARD_BYTES:
+            self.close()
+        return place
 
     def close(self) -> None:
         if self.out is not None:
             self.out.write(bytes(1024))
             self.out.close()
             self.fs.move(f"{self.root}/{self.name}.part", f"{self.root}/{self.name}")
-            self.out, self.number, self.seen = None, self.number + 1, {}
+            self.out, self.number = None, self.number + 1
 
 
-def store_media(docs: DataFrame, folder: str, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
-    """Writes payloads into tar shards under folder: keep, n_bytes, payload_bytes, digest, shard, offset, length."""
-    source = docs.select(*[col(c) for c in keep], col(text_col).cast("string").alias("__text"))
-    n = len(keep)
-    names = [*keep, "n_bytes", "payload_bytes", "digest", "shard", "offset", "length"]
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()]
-    new = [T.StructField(name, T.StringType() if kind == pa.string() else T.LongType()) for name, kind in zip(names[n:], kinds)]
-    schema = T.StructType([*source.schema.fields[:-1], *new])
+def store_payloads(payloads: DataFrame, folder: str) -> DataFrame:
+    """Writes the payloads of payloads(digest, repeated, raw) into tar shards, each row once: digest, repeated,
+    payload_bytes, shard, offset, length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shards = _Shards(folder, TaskContext.get().partitionId())
         for batch in batches:
-            rows = []
-            for text in batch.column(n).to_pylist():
-                payload = payload_of(text)
-                rows.append((len((text or "").encode("utf-8", "surrogatepass")), len(payload), *shards.put(payload)))
-            arrays = [batch.column(i) for i in range(n)] + [pa.array(v, k) for v, k in zip(zip(*rows), kinds)] if rows else None
-            if arrays:
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
+            if not batch.num_rows:
+                continue
+            rows = [(len(p), *shards.put(p)) for p in map(payload_of, batch.column(2).to_pylist())]
+            made = [pa.array(v, k) for v, k in zip(zip(*rows), (pa.int64(), pa.string(), pa.int64(), pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], names=["digest", "repeated", "payload_bytes", "shard", "offset", "length"])
         shards.close()
 
-    files, root = pafs.FileSystem.from_uri(folder)
+    files, root = _files(folder)
     files.create_dir(root, recursive=True)
-    return source.mapInArrow(run, schema)
+    own = payloads.select("digest", "repeated", "raw")
+    return own.mapInArrow(run, "digest string, repeated boolean, payload_bytes long, shard string, offset long, length long")
+
+
+def _stored(docs: DataFrame, folder: str, keep: tuple[str, ...], text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Stores every different payload once. Returns the rows (keep, n_bytes, digest, repeated) and the places of the
+    stored forms (digest, repeated, payload_bytes, shard, offset, length), to be put together by placed()."""
+    small_batches(docs)
+    keep = [c for c in dict.fromkeys(keep) if c not in NEW]
+    raw = F.coalesce(col(text_col).cast("string"), F.lit("")).cast("binary")
+    digest = F.sha2(payload_column(raw), 256)
+    narrow = written(docs.select(*[col(c) for c in keep], F.octet_length(raw).cast("long").alias("n_bytes"), digest.alias("digest")))
+    twice = bitmap(narrow.groupBy("digest").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1"), F.col("digest"))
+    marked = perhaps_in(docs.select(raw.alias("raw"), digest.alias("digest")), F.col("digest"), twice, "repeated")
+    met = marked.where("repeated").groupBy("digest").agg(F.first("raw").alias("raw")).select("digest", F.lit(True).alias("repeated"), "raw")
+    places = written(store_payloads(marked.where("not repeated").select("digest", "repeated", "raw").unionByName(met), folder))
+    return perhaps_in(narrow, F.col("digest"), twice, "repeated"), places
+
+
+def placed(rows: DataFrame, stored: DataFrame) -> DataFrame:
+    """rows(..., digest, repeated) with the columns of their stored forms. A repeated payload's rows are dealt over SALTS keys, for each of
+    which its one stored row is repeated."""
+    salt = F.when(F.col("repeated"), F.pmod(F.xxhash64(*[col(c) for c in rows.columns]), F.lit(SALTS)).cast("int")).otherwise(0)
+    salts = F.when(F.col("repeated"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    each = stored.withColumn("__salt", F.explode(salts)).drop("repeated")
+    return rows.withColumn("__salt", salt).join(each, ["digest", "__salt"]).drop("__salt", "repeated")
+
+
+def store_media(docs: DataFrame, folder: str, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
+    """Writes payloads into tar shards under folder: keep, n_bytes, payload_bytes, digest, shard, offset, length."""
+    got = placed(*_stored(docs, folder, keep, text_col))
+    return got.select(*[col(c) for c in got.columns if c not in NEW], *NEW[:6])
 
 
 def header_columns(index: DataFrame, folder: str) -> DataFrame:
@@ -166,41 +207,45 @@ def content_columns(index: DataFrame, folder: str) -> DataFrame:
 
 
 def _ranged(index: DataFrame, folder: str, head: int | None, kinds: list, f) -> DataFrame:
-    """Reads head bytes (None: all) at each row's offset; a range that repeats in a task is read once."""
+    """Reads head bytes (None: all) at each row's offset, with one shard open at a time."""
     known = [c for c in index.columns if c not in dict(kinds)]
     source = index.select(*[col(c) for c in known])
     new = [T.StructField(name, T.StringType() if kind == pa.string() else T.LongType()) for name, kind in kinds]
     schema = T.StructType([*source.schema.fields, *new])
+    at = [known.index(c) for c in ("shard", "offset", "length")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, root = pafs.FileSystem.from_uri(folder)
-        name, opened, got = None, None, {}
-        for batch in batches:
-            rows = []
-            for shard, offset, length in zip(*(batch.column(c).to_pylist() for c in ("shard", "offset", "length"))):
-                if shard != name:
-                    name, opened, got = shard, files.open_input_file(f"{root}/{shard}"), {}
-                if offset not in got:
-                    got[offset] = f(opened.read_at(length if head is None else min(head, length), offset))
-                rows.append(got[offset])
-            if rows:
-                arrays = [batch.column(c) for c in known] + [pa.array(v, k) for v, (_, k) in zip(zip(*rows), kinds)]
-                yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+        files, root = _files(folder)
+        name, opened = None, None
+        try:
+            for batch in batches:
+                rows = []
+                for shard, offset, length in zip(*(batch.column(i).to_pylist() for i in at)):
+                    if shard != name:
+                        if opened is not None:
+                            opened.close()
+                        name, opened = shard, files.open_input_file(f"{root}/{shard}")
+                    rows.append(f(opened.read_at(length if head is None else min(head, length), offset)))
+                if rows:
+                    arrays = [batch.column(i) for i in range(len(known))] + [pa.array(v, k) for v, (_, k) in zip(zip(*rows), kinds)]
+                    yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+        finally:
+            if opened is not None:
+                opened.close()
 
     return source.mapInArrow(run, schema)
 
 
 def media_table(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
     """Stores every text's payload and returns its row with place, header and content columns."""
-    small_batches(docs)
     folder = shared_dir(docs.sparkSession)
-    if "://" not in folder:  # a plain path, or Hadoop's file:/path
-        folder = "file://" + folder.removeprefix("file:")
-    index = written(store_media(docs, folder, keep, text_col))
-    return content_columns(header_columns(index, folder), folder)
+    rows, places = _stored(docs, folder, keep, text_col)
+    return placed(rows, written(content_columns(written(header_columns(places, folder)), folder)))
 
 
 def op8_media_columns(spark, sf_dir):
     got = media_table(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    # shard and offset tell where a copy lies, so equal texts may differ in them
-    return got.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height", "bits")
+    return got.select(
+        "doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature",
+        "digest", "shard", "offset", "length", "width", "height", "bits",
+    )

@@ -41,3 +41,32 @@ def test_rows_and_shards(spark, tmp_path):
                     assert path.read_bytes()[own.offset : own.offset + own.length] == members[m.name]
     assert {n.removesuffix(".png") for n in members} == set(index) == {hashlib.sha256(p).hexdigest() for p in want.values()}
     assert media.media_table(docs.limit(0)).count() == 0
+
+
+def test_equal_payloads_are_stored_once(spark, tmp_path):
+    texts = ["the hot one"] * 300 + [f"text {i}" for i in range(100)] + [f"text {i}" for i in range(0, 100, 3)]
+    schema = "doc_id long, text string, digest int, width string, extra string"
+    docs = spark.createDataFrame([(i, t, 1, "w", "e") for i, t in enumerate(texts)], schema).repartition(8)
+    folder = f"file://{tmp_path}/once"
+    got = media.store_media(docs, folder, ("doc_id", "digest", "width", "extra")).collect()
+    assert sorted(r.doc_id for r in got) == list(range(len(texts))) and {r.extra for r in got} == {"e"} and "width" not in got[0]
+    places = {(r.digest, r.shard, r.offset, r.length) for r in got}
+    assert len(places) == len(set(texts))
+    members = []
+    for path in Path(f"{tmp_path}/once").glob("*.tar"):
+        with tarfile.open(path) as tar:
+            members += tar.getnames()
+    assert sorted(members) == sorted(hashlib.sha256(media.payload_of(t)).hexdigest() + ".png" for t in set(texts))
+    rows = media.media_table(docs, ("doc_id", "feature")).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(texts[r.doc_id], set()).add(tuple(v for k, v in r.asDict().items() if k != "doc_id"))
+    assert len(rows) == len(texts) and all(len(v) == 1 for v in by.values())
+
+
+def test_the_column_is_the_payload(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.createDataFrame([(t,) for _, t in ROWS if t is not None], "text string")
+    for r in docs.select("text", media.payload_column(F.col("text").cast("binary")).alias("p")).collect():
+        assert bytes(r.p) == media.payload_of(r.text)
