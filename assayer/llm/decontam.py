@@ -7,28 +7,36 @@ found in none moves it by m - block + 1 words, so most positions of a clean text
 the shift is 0 the block is the suffix of some pattern: the bucket of that suffix holds the candidates, which
 are compared word by word with the text.
 
-The benchmark is cut into blocks of at most `block_bytes` of text; each is one pass over the documents, and
-what a pass finds is carried to the next. The tables of a block, whose size this bounds, are broadcast.
+The benchmark is cut into blocks of about `block_bytes` of text at most; each is one pass over the documents. One
+block at a time is on the driver, broadcast and searched for: a pass is written before the next begins. What later
+passes find is kept by the digest of the text and joined to the rows of the first.
 
-Null or empty texts have no words, hits or items. Items of equal id count once; an item whose id is null hits
+Columns in keep that are named as a result give way to it. Null or empty texts have no words, hits or items. Items of equal id count once; an item whose id is null hits
 words but isn't counted or named. Repeated documents are searched each. Empty tables give no rows, or no hits.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
+from array import array
 from collections import defaultdict
+from collections.abc import Iterator
+from functools import reduce
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import col, map_text, table
+from .common import ProbeTable, col, map_text, resident, shared_dir, table, written
 
 WIDTH = 10
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 #: Words in a block of the shift table.
 BLOCK_WORDS = 3
+MASK = (1 << 64) - 1
+TEXT_ID = "__text_id"
 
 _WORDS = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -38,58 +46,83 @@ def words(text: bytes | None) -> list[bytes]:
 
 
 class WuManber:
-    """Search tables for the windows of a block of items."""
+    """Search tables for the windows of a block of items, in arrays: some 20 bytes for each byte of the block's text."""
 
     def __init__(self, items: list[tuple[object, bytes]], width: int = WIDTH):
         self.number: dict[bytes, int] = {}
-        windows: dict[int, dict[tuple[int, ...], set]] = defaultdict(lambda: defaultdict(set))
-        for item, text in items:
-            ids = [self.number.setdefault(w, len(self.number) + 1) for w in words(text)]
-            m = min(width, len(ids))
-            for i in range(len(ids) - m + 1 if m else 0):
-                windows[m][tuple(ids[i : i + m])].add(item)
+        self.items = [item for item, _ in items]
+        flat, starts, owners = array("i"), defaultdict(list), defaultdict(list)
+        for k, (_, text) in enumerate(items):
+            at = len(flat)
+            flat.extend(self.number.setdefault(w, len(self.number) + 1) for w in words(text))
+            if m := min(width, len(flat) - at):
+                own = np.arange(at, len(flat) - m + 1, dtype=np.int32)
+                starts[m].append(own)
+                owners[m].append(np.full(len(own), k, dtype=np.int32))
+        self.flat = flat
         self.base = len(self.number) + 1
-        self.by_length = [(m, *self._tables(m, own)) for m, own in sorted(windows.items())]
+        self.by_length = [self._tables(m, np.concatenate(starts[m]), np.concatenate(owners[m])) for m in sorted(starts)]
 
-    def _key(self, block: tuple[int, ...]) -> int:
-        key = 0
-        for x in block:
-            key = key * self.base + x
+    def _keys(self, columns: list[np.ndarray]) -> np.ndarray:
+        key = np.zeros(len(columns[0]), dtype=np.uint64)
+        for x in columns:
+            key = key * np.uint64(self.base) + x.astype(np.uint64)  # in 64 bits; what meets there is told by comparison
         return key
 
-    def _tables(self, m: int, windows: dict) -> tuple:
-        b = min(BLOCK_WORDS, m)
-        shift: dict[int, int] = {}
-        bucket: dict[int, list] = defaultdict(list)
-        for w, items in windows.items():
-            for end in range(b, m + 1):
-                key = self._key(w[end - b : end])
-                shift[key] = min(shift.get(key, m), m - end)
-            bucket[self._key(w[m - b :])].append((list(w), items))
-        return b, shift, bucket
+    def _tables(self, m: int, starts: np.ndarray, owners: np.ndarray) -> tuple:
+        flat, b = np.frombuffer(self.flat, dtype=np.int32), min(BLOCK_WORDS, m)
+        word = lambda k: flat[starts + k]
+        # equal windows lie side by side, first by the key of their suffix, which is their bucket
+        suffix = self._keys([word(k) for k in range(m - b, m)])
+        order = np.lexsort((owners, *[word(k) for k in range(m - b)], suffix))
+        starts, owners, suffix = starts[order], owners[order], suffix[order]
+        new = np.ones(len(starts), dtype=bool)
+        new[1:] = suffix[1:] != suffix[:-1]
+        for k in range(m):
+            x = word(k)
+            new[1:] |= x[1:] != x[:-1]
+        first = np.flatnonzero(new)  # of the owners of each different window
+        bounds = np.append(first, len(starts)).astype(np.int32)
+        # of every block of words in a window, how far the search may move
+        keys = np.concatenate([self._keys([word(k) for k in range(end - b, end)]) for end in range(m, b - 1, -1)])
+        far = np.repeat(np.arange(m - b + 1, dtype=np.uint8), len(starts))
+        keys, at = np.unique(keys, return_index=True)  # the first of equal ones has the least shift
+        bucket = np.searchsorted(suffix[first], keys).astype(np.int32)
+        table = ProbeTable(keys)
+        shift = table.spread(far[at], 0)
+        view = lambda x: memoryview(np.ascontiguousarray(x))
+        return m, b, table, view(shift), view(table.spread(bucket, 0)), view(suffix[first]), view(starts[first]), view(bounds), view(owners)
 
     def search(self, text_words: list[bytes]) -> tuple[list[tuple[int, int]], set]:
         """Merged [start, end) runs of hit words, and the items that own an occurring window."""
-        get, base, n = self.number.get, self.base, len(text_words)
-        ids = [get(w, 0) for w in text_words]
+        get, base, n, flat = self.number.get, self.base, len(text_words), self.flat
+        ids = array("i", [get(w, 0) for w in text_words])
         found: list[tuple[int, int]] = []
         items: set = set()
-        for m, b, shift, bucket in self.by_length:
-            move, far, i = shift.get, m - b + 1, m
+        for m, b, table, shift, bucket, suffix, starts, bounds, owners in self.by_length:
+            far, i, find = m - b + 1, m, table.find
             while i <= n:
                 key = 0
                 for x in ids[i - b : i]:
-                    key = key * base + x
-                step = move(key, far)
-                if step:
+                    if not x:
+                        key = -1  # a word of no item
+                        break
+                    key = key * base + x & MASK
+                at = find(key) if key >= 0 else -1
+                if at < 0:
+                    i += far
+                    continue
+                if step := shift[at]:
                     i += step
                     continue
-                for w, own in bucket[key]:
-                    if ids[i - m : i] == w:
+                k, window = bucket[at], ids[i - m : i]
+                while k < len(suffix) and suffix[k] == key:
+                    if flat[starts[k] : starts[k] + m] == window:
                         found.append((i - m, i))
-                        items |= own
+                        items.update(owners[bounds[k] : bounds[k + 1]].tolist())
+                    k += 1
                 i += 1
-        return merged(found), items
+        return merged(found), {self.items[k] for k in items}
 
 
 def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -102,14 +135,19 @@ def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def benchmark_blocks(items: DataFrame, block_bytes: int, id_col: str, text_col: str):
-    """The items' rows in blocks of about block_bytes at most; one block at a time comes to the driver."""
+def benchmark_blocks(items: DataFrame, block_bytes: int, id_col: str, text_col: str) -> Iterator[tuple[int, list]]:
+    """(number of blocks, the items' rows of a block) for one block after the other, each of about block_bytes at
+    most; an item longer than that is a block by itself. Only the block that is asked for is on the driver."""
     rows = items.select(col(id_col).alias("item"), F.coalesce(col(text_col).cast("string"), F.lit("")).cast("binary").alias("text")).distinct()
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0)).alias("b")).first()["b"]
     n = max(1, -(-int(size) // block_bytes))
+    if n > 1:  # dealt out once; each block is read from its own files
+        path = shared_dir(items.sparkSession)
+        rows.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(n))).write.partitionBy("block").parquet(path)
+        rows = items.sparkSession.read.parquet(path)
     for k in range(n):
-        own = rows if n == 1 else rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k)
-        yield [(r["item"], bytes(r["text"])) for r in own.collect()]
+        own = rows if n == 1 else rows.where(F.col("block") == k)
+        yield n, [(r["item"], bytes(r["text"])) for r in own.select("item", "text").collect()]
 
 
 def contamination(
@@ -118,48 +156,56 @@ def contamination(
 ) -> DataFrame:
     """keep, n_words long, spans array<struct<start,end>> (hit runs of words, end exclusive), items array of item ids."""
     sc = docs.sparkSession.sparkContext
-    item_type = items.schema[item_col].dataType
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
-    tables = [sc.broadcast(block) for block in benchmark_blocks(items, block_bytes, item_col, item_text_col)]
+    fields = [T.StructField("n_words", T.LongType()), T.StructField("spans", span), T.StructField("items", T.ArrayType(items.schema[item_col].dataType))]
 
-    def one_pass(df: DataFrame, k: int) -> DataFrame:
-        block, last = tables[k], k == len(tables) - 1
+    def one_pass(df: DataFrame, shared, own: tuple[str, ...]) -> DataFrame:
+        key = ("wu-manber", uuid.uuid4().hex)
 
         def make():
-            search = WuManber(block.value, width).search
+            search = resident(key, lambda: WuManber(shared.value, width)).search
 
             def f(texts: list) -> dict:
-                got = {"n_words": [], f"spans_{k}": [], f"items_{k}": []}
+                got: dict = {"n_words": [], "spans": [], "items": []}
                 for t in texts:
                     own = words(t)
                     spans, found = search(own)
                     got["n_words"].append(len(own))
-                    got[f"spans_{k}"].append([{"start": a, "end": z} for a, z in spans])
-                    got[f"items_{k}"].append(sorted(x for x in found if x is not None))
+                    got["spans"].append([{"start": a, "end": z} for a, z in spans])
+                    got["items"].append(sorted(x for x in found if x is not None))
                 return got
 
             return f
 
-        fields = [T.StructField("n_words", T.LongType()), T.StructField(f"spans_{k}", span), T.StructField(f"items_{k}", T.ArrayType(item_type))]
-        carried = [*keep, *(f"{c}_{j}" for j in range(k) for c in ("spans", "items")), *([] if last else [text_col])]
-        return map_text(df, make, fields, carried, text_col, binary=True)
-
-    out = docs
-    for k in range(len(tables)):
-        out = one_pass(out, k)
-    n = len(tables)
-    carried = [col(c) for c in keep if c not in ("n_words", "spans", "items")]
-    if n == 1:
-        return out.select(*carried, "n_words", F.col("spans_0").alias("spans"), F.col("items_0").alias("items"))
-    runs = F.array_sort(F.concat(*[f"spans_{k}" for k in range(n)]))
+        return map_text(df, make, fields, own, text_col, binary=True)
+
+    keep = tuple(c for c in dict.fromkeys(keep) if c not in ("n_words", "spans", "items"))
+    # a text's digest brings together what several passes find in it
+    named = docs.withColumn(TEXT_ID, F.unhex(F.sha2(F.coalesce(col(text_col).cast("string"), F.lit("")), 256)))
+    first, more = None, []
+    for n, block in benchmark_blocks(items, block_bytes, item_col, item_text_col):
+        shared = sc.broadcast(block)
+        if n == 1:
+            return one_pass(docs, shared, keep)
+        # a pass is written before the next block is fetched, so one block's tables are held at a time
+        if first is None:
+            first = written(one_pass(named, shared, (*keep, TEXT_ID)))
+        else:
+            hits = one_pass(named.select(TEXT_ID, col(text_col)), shared, (TEXT_ID,)).where(F.size("spans") > 0)
+            more.append(written(hits.dropDuplicates([TEXT_ID])))
+        shared.unpersist()
+    others = reduce(DataFrame.unionByName, more).groupBy(TEXT_ID).agg(F.flatten(F.collect_list("spans")).alias("__spans"), F.flatten(F.collect_list("items")).alias("__items"))
+    both = first.join(others, TEXT_ID, "left")
+    runs = F.array_sort(F.concat("spans", F.coalesce("__spans", F.array().cast(span))))
     start = F.array().cast(span)
 
     def join_runs(acc, x):
-        last = F.element_at(acc, -1)
+        last = F.get(acc, F.size(acc) - 1)
         wider = F.struct(last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"))
-        return F.when((F.size(acc) > 0) & (F.get(acc, F.size(acc) - 1)["end"] >= x["start"]), F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(wider))).otherwise(F.concat(acc, F.array(x)))
+        return F.when((F.size(acc) > 0) & (last["end"] >= x["start"]), F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(wider))).otherwise(F.concat(acc, F.array(x)))
 
-    return out.select(*carried, "n_words", F.aggregate(runs, start, join_runs).alias("spans"), F.array_sort(F.array_distinct(F.concat(*[f"items_{k}" for k in range(n)]))).alias("items"))
+    every = F.concat("items", F.coalesce("__items", F.array().cast(fields[2].dataType)))
+    return both.select(*[col(c) for c in keep], "n_words", F.aggregate(runs, start, join_runs).alias("spans"), F.array_sort(F.array_distinct(every)).alias("items"))
 
 
 def contamination_digest(found: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -1,10 +1,14 @@
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import duckdb
 
 from assayer.llm import decontam
 from assayer.llm.decontam import WuManber, words
 
+REPO = Path(__file__).resolve().parents[2]
 DOC, ITEM = "doc_id long, text string", "item_id long, text string"
 
 
@@ -65,3 +69,38 @@ def test_empty_tables_nulls_and_clashing_names(spark):
     got = decontam.contamination_digest(decontam.contamination(docs, null_id)).collect()
     assert all(r.contaminated and r.n_hit == 1 and r.n_items == 0 for r in got)
     assert decontam.contamination(docs.limit(0), null_id).count() == 0
+
+
+MEASURED = """
+import random, psutil
+from assayer.llm.decontam import BLOCK_BYTES, WuManber
+r = random.Random(1)
+vocabulary = ["".join(r.choice("etaoinshrdlu") for _ in range(r.randrange(2, 9))).encode() for _ in range(200_000)]
+items, n = [], 0
+while n < BLOCK_BYTES:
+    items.append((len(items), b" ".join(r.choice(vocabulary) for _ in range(300))))
+    n += len(items[-1][1]) + 16
+before = psutil.Process().memory_info().rss
+held = WuManber(items)
+print((psutil.Process().memory_info().rss - before) >> 20)
+"""
+
+
+def test_tables_of_a_whole_block_are_small():
+    got = subprocess.run([sys.executable, "-c", MEASURED], cwd=REPO, capture_output=True, text=True, check=True, timeout=120)
+    assert int(got.stdout) < 110
+
+
+def test_a_block_is_fetched_when_the_pass_before_it_is_written(spark, monkeypatch):
+    docs, items = cases()
+    log, blocks, keeps = [], decontam.benchmark_blocks, decontam.written
+
+    def told(*own):
+        for n, block in blocks(*own):
+            log.append("block")
+            yield n, block
+
+    monkeypatch.setattr(decontam, "benchmark_blocks", told)
+    monkeypatch.setattr(decontam, "written", lambda df: log.append("pass") or keeps(df))
+    decontam.contamination(spark.createDataFrame(docs, DOC), spark.createDataFrame(items, ITEM), block_bytes=100)
+    assert log == ["block", "pass"] * (len(log) // 2) and len(log) > 6
