@@ -1,93 +1,156 @@
 """Masked pseudo-likelihood scores of a bidirectional window network.
 
-Tokens are words (lower case) and single punctuation marks. The vocabulary is the corpus's most frequent tokens;
-all others share a number of hashed classes. The network predicts each token from `SIDE` neighbours on either
-side: one embedding table for each neighbour's place, summed, tanh, softmax. A document's score is the sum of the
-log-probabilities that it gives every token of the whole text, each masked in turn.
-
-Token counts cover all documents. Training covers all too: in each round the tasks read all documents, predict every
-position from its neighbours and descend from the parameters of the round before; their results are averaged,
-weighted by positions, in a shuffle by parameter. What reaches the driver is one parameter set a round and the vocabulary.
-
-Null and empty texts have no tokens, the score 0 and no perplexity. Repeated rows count and are scored each. An
-empty table gives no rows. Other columns are not used.
+Tokens are words (lower case) and single punctuation marks; every different token of the corpus is one of the
+vocabulary, under a 64-bit hash of its letters. A token's probability is that of its class times its own within the
+class. The network predicts the class from `SIDE` neighbours on either side: one embedding table for each
+neighbour's place, summed, tanh, softmax. The `FREQUENT` most frequent tokens are classes of their own; the others
+are classed by their ending (a hash of the last two letters), and within such a class a token has its share of all
+the corpus's occurrences. A document's score is the sum of the log-probabilities of every token of the whole text,
+each masked in turn.
+
+Token counts cover all documents and grow with them: they are summed in a shuffle and joined to the documents'
+tokens in another. The `HOT` most frequent tokens, most of any text, are looked up in a broadcast table of fixed
+size; what is left of each document goes to the join. Training covers all positions of all documents: in each round
+the tasks read all documents, predict every position from its neighbours and descend from the parameters of the
+round before; their results are averaged, weighted by positions, in a shuffle by parameter. As tasks descend apart,
+parameters depend a little on how the input is split. What reaches the driver is one parameter set a round, the hot
+tokens and the classes' counts.
+
+Null and empty texts have no tokens, the score 0 and no perplexity. Tokens of equal count are ranked by hash.
+Repeated rows count and are scored each. An empty table gives no rows. Columns in keep that are named as a result
+give way to it; other columns are not used.
 """
 
 from __future__ import annotations
 
-import re
-import zlib
-from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import col, map_text, small_batches, table
+from .common import ProbeTable, col, map_text, small_batches, table, written
 
-FREQUENT, HASHED = 192, 64
-VOCABULARY = FREQUENT + HASHED
-#: The token that stands beyond a text's ends.
-EDGE = VOCABULARY
+FREQUENT, ENDINGS = 64, 64
+CLASSES = FREQUENT + ENDINGS
+#: The class that stands beyond a text's ends.
+EDGE = CLASSES
 SIDE, HIDDEN = 2, 16
 ROUNDS = 2
-BATCH = 512
-#: Distinct tokens that a task counts before it passes them on.
-COUNTED = 200_000
-
-_TOKENS = re.compile(r"\w+|[^\w\s]")
+BATCH = 1024
+#: Tokens whose counts are broadcast; all others' are joined.
+HOT = 1 << 17
+#: Tokens that a task gathers before it passes on their counts.
+COUNTED = 4_000_000
+
+_LETTER, _MARK, _SPACE = 1, 2, 0
+
+
+@cache
+def _kinds() -> np.ndarray:
+    """Of each code point: white space, a letter of a word (as \\\\w has it), or a mark that is a token alone."""
+    out = np.full(0x110000, _MARK, dtype=np.uint8)
+    for cp in range(0x110000):
+        c = chr(cp)
+        if c.isalnum() or c == "_":
+            out[cp] = _LETTER
+        elif c.isspace():
+            out[cp] = _SPACE
+    return out
 
 
-def tokens(text: str | None) -> list[str]:
-    return _TOKENS.findall(text.lower()) if text else []
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+@cache
+def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of the base and of its inverse, below 2 ** bits."""
+    both = [np.full(1 << bits, x, dtype=np.uint64) for x in (_BASE, _INVERSE)]
+    for x in both:
+        x[0] = 1
+    return np.cumprod(both[0]), np.cumprod(both[1])
+
+
+def tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the tokens of all texts in order: hash, ending class (whether or not it is frequent) and text number."""
+    parts = [(t or "").lower() for t in texts]
+    cp = np.frombuffer("\n".join([*parts, ""]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    kind = _kinds()[cp]
+    start = kind != _SPACE
+    start[1:] &= (kind[1:] == _MARK) | (kind[:-1] != _LETTER)
+    first = np.flatnonzero(start)
+    last = kind == _LETTER
+    last[:-1] &= kind[1:] != _LETTER
+    last |= kind == _MARK
+    end = np.flatnonzero(last)
+    # a token's hash is a polynomial of its letters, from sums over the whole; sums begin anew at every block
+    up, down = _powers(max(1, int(len(cp)).bit_length()))
+    sums = np.cumsum((cp.astype(np.uint64) + np.uint64(1)) * up[: len(cp)])
+    before = np.where(first > 0, sums[first - 1], np.uint64(0))
+    h = (sums[end] - before) * down[first]
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(32)
+    two = np.where(end > first, cp[end - 1], 0) * np.uint32(31) + cp[end]
+    ending = FREQUENT + ((two * np.uint32(2654435761)) >> np.uint32(16)) % np.uint32(ENDINGS)
+    bounds = np.cumsum([len(p) + 1 for p in parts])  # where each text's end of line lies, plus one
+    return h.view(np.int64), ending.astype(np.int16), np.searchsorted(bounds, first, side="right").astype(np.int32)
 
 
 def token_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(token, n): the count of every token in all texts. Tasks pass on counts, not tokens."""
+    """(token, class, n): the count of every token in all texts. Tasks pass on counts, not tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def out():
-            got = pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())], names=["token", "n"])
+            h, at, n = np.unique(np.concatenate([x for x, _ in held]), return_index=True, return_counts=True)
+            c = np.concatenate([x for _, x in held])[at]
             held.clear()
-            return got
+            return pa.RecordBatch.from_arrays([pa.array(h), pa.array(c.astype(np.int32)), pa.array(n)], names=["token", "class", "n"])
 
+        gathered = 0
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                held.update(tokens(t))
-                if len(held) >= COUNTED:
+            for at in range(0, batch.num_rows, 100):
+                h, c, _ = tokens(batch.slice(at, 100).column(0).to_pylist())
+                held.append((h, c))
+                gathered += len(h)
+                if gathered >= COUNTED:
                     yield out()
-        yield out()
+                    gathered = 0
+        if held:
+            yield out()
 
     small_batches(docs)
     own = docs.select(col(text_col).cast("string").alias("t")).where("t is not null")
-    return own.mapInArrow(run, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    return own.mapInArrow(run, "token long, class int, n long").groupBy("token").agg(F.min("class").alias("class"), F.sum("n").alias("n"))
 
 
-class Vocabulary(dict):
-    """Token to class; a token that isn't frequent gets one of the hashed classes."""
+class Vocabulary:
+    """The hot tokens with their counts, the first FREQUENT of them classes of their own, and the classes' counts."""
 
-    def __init__(self, frequent: list[str]):
-        super().__init__({t: i for i, t in enumerate(frequent)})
-        self.frequent = dict(self)
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray, totals: np.ndarray):
+        self.hashes, self.totals = hashes, totals
+        self.probe = ProbeTable(hashes.view(np.uint64))
+        n = np.arange(len(hashes), dtype=np.int32)
+        self.own_class = self.probe.spread(np.where(n < FREQUENT, n, -1).astype(np.int16), -1)
+        self.counts = self.probe.spread(counts.astype(np.float64), 0.0)
 
-    def __missing__(self, token: str) -> int:
-        if len(self) > 300_000:
-            self.clear()
-            self.update(self.frequent)
-        k = self[token] = FREQUENT + zlib.crc32(token.encode("utf-8", "replace")) % HASHED
-        return k
+    def find(self, h: np.ndarray) -> np.ndarray:
+        return self.probe.find_all(h.view(np.uint64))
 
-    def ids(self, text: str | None) -> np.ndarray:
-        own = tokens(text)
-        return np.fromiter(map(self.__getitem__, own), dtype=np.int32, count=len(own))
+    def classes(self, h: np.ndarray, ending: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
+        own = self.own_class[self.find(h) if at is None else at]
+        # slot -1 is the table's last, which is never held
+        return np.where(own >= 0, own, ending)
 
 
-SHAPES = {"E": (2 * SIDE, VOCABULARY + 1, HIDDEN), "a": (HIDDEN,), "W": (HIDDEN, VOCABULARY), "b": (VOCABULARY,)}
+SHAPES = {"E": (2 * SIDE, CLASSES + 1, HIDDEN), "a": (HIDDEN,), "W": (HIDDEN, CLASSES), "b": (CLASSES,)}
 
 
 def first_parameters(seed: int = 13) -> dict[str, np.ndarray]:
@@ -111,77 +174,91 @@ def shaped(x: np.ndarray) -> dict[str, np.ndarray]:
 class WindowNetwork:
     def __init__(self, p: dict[str, np.ndarray]):
         self.p = {k: v.copy() for k, v in p.items()}
+        self.seen = {k: np.full(s, 1e-4, dtype=np.float32) for k, s in SHAPES.items()}
 
     def hidden(self, sides: np.ndarray) -> np.ndarray:
-        h = self.p["E"][0][sides[0]] + self.p["a"]
+        h = self.p["E"][0].take(sides[0], axis=0)
         for k in range(1, 2 * SIDE):
-            h += self.p["E"][k][sides[k]]
+            h += self.p["E"][k].take(sides[k], axis=0)
+        h += self.p["a"]
         return np.tanh(h, out=h)
 
-    def exponents(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The output layer for hidden rows, less the row's maximum only where exp could overflow without, and its exp."""
-        whole = np.concatenate([h, np.ones((len(h), 1), dtype=np.float32)], axis=1)
-        z = whole @ np.concatenate([self.p["W"], self.p["b"][None]])
+    def outputs(self, h: np.ndarray) -> np.ndarray:
+        """The output layer for hidden rows, less the row's maximum only where exp could overflow without."""
+        z = h @ self.p["W"]
+        z += self.p["b"]
         if (np.abs(self.p["W"]).sum(axis=0) + np.abs(self.p["b"])).max() > 60:
             z -= z.max(axis=1, keepdims=True)
-        return z, np.exp(z)
+        return z
 
     def log_probabilities(self, sides: np.ndarray, middle: np.ndarray) -> np.ndarray:
-        """Of each middle token between its neighbours."""
-        out, ones = np.empty(len(middle)), np.ones(VOCABULARY, dtype=np.float32)
-        for at in range(0, len(middle), 1024):
-            z, e = self.exponents(self.hidden(sides[:, at : at + 1024]))
-            m = middle[at : at + 1024]
-            out[at : at + 1024] = z[np.arange(len(m)), m] - np.log(e @ ones)
+        """Of each middle class between its neighbours."""
+        out, ones = np.empty(len(middle)), np.ones(CLASSES, dtype=np.float32)
+        for at in range(0, len(middle), BATCH):
+            z = self.outputs(self.hidden(sides[:, at : at + BATCH]))
+            m = middle[at : at + BATCH]
+            own = z[np.arange(len(m)), m]
+            out[at : at + BATCH] = own - np.log(np.exp(z, out=z) @ ones)
         return out
 
     def descend(self, sides: np.ndarray, middle: np.ndarray, rate: float) -> None:
         """One step of Adagrad on a batch of positions."""
-        h = self.hidden(sides)
-        _, q = self.exponents(h)
-        q /= (q @ np.ones(VOCABULARY, dtype=np.float32))[:, None]
-        q[np.arange(len(middle)), middle] -= 1
-        q /= len(middle)
-        dh = (q @ self.p["W"].T) * (1 - h * h)
-        g = {"W": h.T @ q, "b": q.sum(axis=0), "a": dh.sum(axis=0), "E": np.empty(SHAPES["E"], dtype=np.float32)}
-        each, places = dh.ravel(), np.arange(HIDDEN)
-        for k in range(2 * SIDE):
-            cells = (sides[k][:, None] * HIDDEN + places).ravel()
-            g["E"][k] = np.bincount(cells, each, (VOCABULARY + 1) * HIDDEN).reshape(-1, HIDDEN)
-        if not hasattr(self, "seen"):
-            self.seen = {k: np.full(s, 1e-4, dtype=np.float32) for k, s in SHAPES.items()}
+        h, n = self.hidden(sides), len(middle)
+        q = self.outputs(h)
+        np.exp(q, out=q)
+        # the gradient of the outputs is q / sum - 1 at the middle; its scale goes to the narrow side of the products
+        scale = 1 / ((q @ np.ones(CLASSES, dtype=np.float32)) * n)
+        q[np.arange(n), middle] -= 1 / (scale * n)
+        both = np.empty((n, HIDDEN + 1), dtype=np.float32)
+        np.multiply(h, scale[:, None], out=both[:, :HIDDEN])
+        both[:, HIDDEN] = scale
+        gw = both.T @ q
+        dh = q @ self.p["W"].T
+        dh *= scale[:, None]
+        dh *= 1 - h * h
+        g = {"W": gw[:HIDDEN], "b": gw[HIDDEN], "a": dh.sum(axis=0), "E": np.empty(SHAPES["E"], dtype=np.float32)}
+        for k in range(2 * SIDE):  # rows of one class are brought together and summed; 16-bit classes are sorted by radix
+            order = np.argsort(sides[k], kind="stable")
+            own = sides[k][order]
+            first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+            g["E"][k] = 0
+            g["E"][k][own[first]] = np.add.reduceat(dh[order], first, axis=0)
         for k, v in g.items():
             self.seen[k] += v * v
             self.p[k] -= rate * v / np.sqrt(self.seen[k])
 
 
-def neighbourhoods(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(places, positions) of neighbours and the middle tokens, over all rows, with EDGE beyond their ends."""
-    edge = np.full(SIDE, EDGE, dtype=np.int32)
-    joined = np.concatenate([edge, *(x for r in rows for x in (r, edge))])
-    at = np.flatnonzero(joined != EDGE)
-    return np.stack([joined[at + k] for k in (*range(-SIDE, 0), *range(1, SIDE + 1))]), joined[at]
+def neighbourhoods(classes: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """(places, positions): the neighbours of each token in its text, EDGE beyond its ends. of: the text of each token."""
+    n = len(classes)
+    out = np.full((2 * SIDE, n), EDGE, dtype=np.int16)
+    for row, d in enumerate((*range(-SIDE, 0), *range(1, SIDE + 1))):
+        a, z = max(0, -d), min(n, n - d)
+        if z > a:
+            same = of[a:z] == of[a + d : z + d]
+            out[row, a:z] = np.where(same, classes[a + d : z + d], EDGE)
+    return out
 
 
 def descend_over(net: WindowNetwork, vocabulary: Vocabulary, texts: list[str | None], rate: float) -> int:
     """Descends once on every position of the texts; their number."""
-    sides, middle = neighbourhoods([vocabulary.ids(t) for t in texts])
+    h, ending, of = tokens(texts)
+    middle = vocabulary.classes(h, ending)
+    sides = neighbourhoods(middle, of)
     for b in range(0, len(middle), BATCH):
         net.descend(sides[:, b : b + BATCH], middle[b : b + BATCH], rate)
     return len(middle)
 
 
-def train_round(docs: DataFrame, frequent: list[str], p: dict[str, np.ndarray], rate: float, text_col: str = "text") -> dict[str, np.ndarray]:
-    """Parameters after each task has descended over its documents, averaged by positions."""
-    sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast((frequent, p))
+def train_round(docs: DataFrame, vocabulary, p: dict[str, np.ndarray], rate: float, text_col: str = "text") -> dict[str, np.ndarray]:
+    """Parameters after each task has descended over its documents, averaged by positions. vocabulary: a broadcast one's parts."""
+    shared = docs.sparkSession.sparkContext.broadcast(p)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, start = shared.value
-        vocabulary, net, seen = Vocabulary(words), WindowNetwork(start), 0
+        known, net, seen = Vocabulary(*vocabulary.value), WindowNetwork(shared.value), 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                seen += descend_over(net, vocabulary, batch.slice(at, 200).column(0).to_pylist(), rate)
+            for at in range(0, batch.num_rows, 100):
+                seen += descend_over(net, known, batch.slice(at, 100).column(0).to_pylist(), rate)
         if seen:
             own = flat(net.p).astype(np.float64) * seen
             yield pa.RecordBatch.from_arrays(
@@ -192,39 +269,80 @@ def train_round(docs: DataFrame, frequent: list[str], p: dict[str, np.ndarray],
     own = docs.select(col(text_col).cast("string").alias("t")).where("t is not null")
     summed = own.mapInArrow(run, "i int, x double, n long").groupBy("i").agg(F.sum("x").alias("x"), F.sum("n").alias("n"))
     got = summed.toArrow().sort_by("i")
+    shared.unpersist()
     return shaped(got.column("x").to_numpy() / got.column("n").to_numpy()) if got.num_rows else p
 
 
-def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tuple[list[str], dict[str, np.ndarray]]:
-    top = token_counts(docs, text_col).orderBy(F.desc("n"), "token").limit(FREQUENT).collect()
-    frequent = [r["token"] for r in top]
-    p = first_parameters()
+def vocabulary_of(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The parts of a Vocabulary: hashes and counts of the hot tokens, most frequent first, and the classes' counts."""
+    top = counts.select("token", "n").orderBy(F.desc("n"), "token").limit(HOT).toArrow()
+    hashes, n = top.column("token").to_numpy(), top.column("n").to_numpy()
+    order = np.lexsort((hashes, -n))
+    hashes, n = hashes[order], n[order]
+    frequent = [int(x) for x in hashes[:FREQUENT]]
+    totals = np.zeros(CLASSES)
+    totals[: len(frequent)] = n[: len(frequent)]
+    rest = counts.where(~F.col("token").isin(frequent)) if frequent else counts
+    for r in rest.groupBy("class").agg(F.sum("n").alias("n")).collect():  # ENDINGS rows at most
+        totals[r["class"]] = r["n"]
+    return hashes, n, totals
+
+
+def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tuple[DataFrame, tuple, dict[str, np.ndarray]]:
+    """The counts (a written table), the vocabulary's parts and the network's parameters."""
+    counts = written(token_counts(docs, text_col))
+    parts, p = vocabulary_of(counts), first_parameters()
+    shared = docs.sparkSession.sparkContext.broadcast(parts)
     for k in range(rounds):
-        p = train_round(docs, frequent, p, 0.1 / (k + 1), text_col)
-    return frequent, p
+        p = train_round(docs, shared, p, 0.1 / (k + 1), text_col)
+    shared.unpersist()
+    return counts, parts, p
+
+
+RESULTS = ("n_tokens", "log_prob", "pseudo_perplexity")
 
 
 def score(docs: DataFrame, model: tuple, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
     """keep, n_tokens long, log_prob double (summed, natural) and pseudo_perplexity double of every whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    counts, parts, p = model
+    keep = [c for c in dict.fromkeys(keep) if c not in RESULTS]
+    shared = docs.sparkSession.sparkContext.broadcast((parts, p))
+    cold = T.ArrayType(T.StructType([T.StructField("token", T.LongType()), T.StructField("times", T.IntegerType())]))
 
     def make():
-        frequent, p = shared.value
-        vocabulary, net = Vocabulary(frequent), WindowNetwork(p)
+        known, net = Vocabulary(*shared.value[0]), WindowNetwork(shared.value[1])
+        row = [TaskContext.get().partitionId() << 40]
 
         def f(texts: list) -> dict:
-            rows = [vocabulary.ids(t) for t in texts]
-            sizes = [len(r) for r in rows]
-            each = net.log_probabilities(*neighbourhoods(rows))
-            sums = np.concatenate([[0.0], np.cumsum(each)])
-            ends = np.cumsum(sizes)
-            total = (sums[ends] - sums[ends - sizes]).tolist()
-            return {"n_tokens": sizes, "log_prob": total, "pseudo_perplexity": [float(np.exp(-t / n)) if n else None for t, n in zip(total, sizes)]}
+            h, ending, of = tokens(texts)
+            at = known.find(h)
+            c = known.classes(h, ending, at)
+            each = net.log_probabilities(neighbourhoods(c, of), c)
+            hot = at >= 0
+            within = known.counts[at[hot]] / known.totals[c[hot]]
+            each[hot] += np.log(within)
+            each[~hot] -= np.log(known.totals[c[~hot]])
+            n = len(texts)
+            # of the other tokens, each different one of a text and how often it is there
+            order = np.lexsort((h[~hot], of[~hot]))
+            token, text = h[~hot][order], of[~hot][order]
+            new = np.flatnonzero(np.concatenate([[True], (token[1:] != token[:-1]) | (text[1:] != text[:-1])])) if len(token) else np.empty(0, dtype=np.int64)
+            times = np.diff(np.append(new, len(token))).astype(np.int32)
+            offsets = np.searchsorted(text[new], np.arange(n + 1)).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([pa.array(token[new]), pa.array(times)], ["token", "times"]))
+            ids = np.arange(row[0], row[0] + n)
+            row[0] += n
+            return {"__row": ids, "n_tokens": np.bincount(of, minlength=n).astype(np.int64), "log_prob": np.bincount(of, each, n), "__cold": lists}
 
         return f
 
-    fields = [T.StructField("n_tokens", T.LongType()), T.StructField("log_prob", T.DoubleType()), T.StructField("pseudo_perplexity", T.DoubleType())]
-    return map_text(docs, make, fields, keep, text_col, rows=200)
+    fields = [T.StructField("__row", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("log_prob", T.DoubleType()), T.StructField("__cold", cold)]
+    scored = written(map_text(docs, make, fields, keep, text_col, rows=100))
+    left = scored.select("__row", F.explode("__cold").alias("x")).select("__row", "x.token", "x.times")
+    rest = left.join(counts.select("token", "n"), "token").groupBy("__row").agg(F.sum(F.col("times") * F.log("n")).alias("__more"))
+    total = F.col("log_prob") + F.coalesce("__more", F.lit(0.0))
+    out = scored.drop("__cold").join(rest, "__row", "left")
+    return out.select(*[col(c) for c in keep], "n_tokens", total.alias("log_prob"), F.when(F.col("n_tokens") > 0, F.exp(-total / F.col("n_tokens"))).alias("pseudo_perplexity"))
 
 
 def op3_lm_pseudo_likelihood(spark, sf_dir):

@@ -1,6 +1,7 @@
 """Language ID, toxicity, LM scoring and the n-gram model: brute force on small inputs, held-out accuracy on the tables."""
 
 import math
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -102,28 +103,85 @@ def test_toxicity_edge_cases(spark):
     assert toxicity.score_toxicity(docs.limit(0), some).count() == 0
 
 
-def test_pseudo_likelihood(spark):
-    docs = spark.createDataFrame([(i, t, 1) for i, t in ODD if i != 4] + [(8, "a, b a; b " * 30, 1)], "doc_id long, text string, log_prob int")
-    frequent, p = model = lmscore.train(docs)
-    want = Counter(t for i, x in ODD if i != 4 for t in lmscore.tokens(x)) + Counter(lmscore.tokens("a, b a; b " * 30))
-    assert frequent == [t for t, _ in sorted(want.items(), key=lambda x: (-x[1], x[0]))]
-    vocabulary = lmscore.Vocabulary(frequent)
-    for r in lmscore.score(docs, model, ("doc_id", "text")).collect():
-        ids, total = [lmscore.EDGE] * 2 + vocabulary.ids(r.text).tolist() + [lmscore.EDGE] * 2, 0.0
-        for k in range(2, len(ids) - 2):
+LM_TOKENS = re.compile(r"\w+|[^\w\s]")
+
+
+def lm_tokens(text):
+    return LM_TOKENS.findall((text or "").lower())
+
+
+def test_tokens_of_the_language_model():
+    texts = [None, "", " a_b c-d!!\n", "é\u0301 x²Ⅷ 日本語 😀a", "a", " b\x1c c.", "İstanbul ẞ\u2028x", "same same SAME", "y" * 5000, "...", "d c-"]
+    h, ending, of = lmscore.tokens(texts)
+    want = [(i, t) for i, x in enumerate(texts) for t in lm_tokens(x)]
+    assert of.tolist() == [i for i, _ in want]
+    known = {}
+    for (_, t), own, e in zip(want, h.tolist(), ending.tolist()):
+        assert known.setdefault(t, (own, e)) == (own, e) and lmscore.FREQUENT <= e < lmscore.CLASSES
+    assert len({own for own, _ in known.values()}) == len(known)
+
+
+def brute_pseudo_likelihood(texts, p, frequent=lmscore.FREQUENT):
+    """By counting and by one position after the other."""
+    key = lambda t: [x[0] for x in lmscore.tokens([t])[:2]]  # noqa: E731  hash and ending class
+    count = Counter(t for x in texts for t in lm_tokens(x))
+    ranked = sorted(count, key=lambda t: (-count[t], key(t)[0]))
+    cls = {t: i if i < frequent else int(key(t)[1]) for i, t in enumerate(ranked)}
+    totals = Counter()
+    for t, n in count.items():
+        totals[cls[t]] += n
+    out = []
+    for x in texts:
+        own = lm_tokens(x)
+        ids, total = [lmscore.EDGE] * 2 + [cls[t] for t in own] + [lmscore.EDGE] * 2, 0.0
+        for k, t in enumerate(own, start=2):
             h = np.tanh(p["a"] + sum(p["E"][j][ids[k + d]].astype(float) for j, d in enumerate((-2, -1, 1, 2))))
             z = h @ p["W"] + p["b"]
-            total += z[ids[k]] - z.max() - math.log(np.exp(z - z.max()).sum())
-        assert r.n_tokens == len(ids) - 4 and math.isclose(r.log_prob, total, rel_tol=1e-4, abs_tol=1e-6)
-        assert (r.pseudo_perplexity is None) == (r.n_tokens == 0)
+            total += z[ids[k]] - z.max() - math.log(np.exp(z - z.max()).sum()) + math.log(count[t] / totals[cls[t]])
+        out.append((len(own), total))
+    return out
+
+
+@pytest.mark.parametrize("hot", [lmscore.HOT, 70, 3])
+def test_pseudo_likelihood(spark, monkeypatch, hot):
+    monkeypatch.setattr(lmscore, "HOT", hot)
+    some = [r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("text").limit(40).collect()]
+    rows = [(i, t, 1) for i, t in ODD if i != 4] + [(8, "a, b a; b " * 30, 1)] + [(100 + i, t, 1) for i, t in enumerate(some)] + [(100, some[0], 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, log_prob int").repartition(3)
+    counts, parts, p = model = lmscore.train(docs)
+    assert counts.count() == len({t for _, x, _ in rows for t in lm_tokens(x)}) and len(parts[0]) <= hot
+    got = lmscore.score(docs, model, ("doc_id", "text")).collect()
+    assert len(got) == len(rows)
+    if hot < lmscore.FREQUENT:  # fewer classes of their own
+        frequent = hot
+    else:
+        frequent = lmscore.FREQUENT
+    want = dict(zip([t for _, t, _ in rows], brute_pseudo_likelihood([t for _, t, _ in rows], p, frequent)))
+    for r in got:
+        n, total = want[r.text]
+        assert r.n_tokens == n and math.isclose(r.log_prob, total, rel_tol=1e-4, abs_tol=1e-6)
+        assert (r.pseudo_perplexity is None) == (n == 0)
     assert lmscore.score(docs.limit(0), lmscore.train(docs.limit(0))).count() == 0
 
 
+def test_pseudo_likelihood_of_a_very_long_text(spark):
+    docs = spark.createDataFrame([(1, "ab cd. " * 1_500_000), (2, "ab")], "doc_id long, text string")
+    got = {r.doc_id: r for r in lmscore.score(docs, lmscore.train(docs)).collect()}
+    assert got[1].n_tokens == 4_500_000 and got[1].log_prob < 0 and got[2].n_tokens == 1
+
+
 def test_pseudo_likelihood_learns(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    frequent, p = lmscore.train(docs)
-    bits = lambda q: [r.s / r.n for r in lmscore.score(docs, (frequent, q)).selectExpr("sum(log_prob) s", "sum(n_tokens) n").collect()][0]
-    assert bits(p) > bits(lmscore.first_parameters()) + 1
+    counts, parts, p = lmscore.train(docs)
+    mean = lambda q: [r.s / r.n for r in lmscore.score(docs, (counts, parts, q)).selectExpr("sum(log_prob) s", "sum(n_tokens) n").collect()][0]
+    before = mean(lmscore.first_parameters())
+    assert mean(p) > before + 1
+    # each token has a probability of its own: what occurs twice in the corpus is twice as likely as its like that occurs once
+    schema = "doc_id long, text string"
+    extra = spark.createDataFrame([(-1, "qzvexa brondil"), (-2, "qzvexa brondil"), (-3, "qzvuxa brandil")], schema)
+    both = docs.select("doc_id", "text").unionByName(extra)
+    own = {r.doc_id: r.log_prob for r in lmscore.score(both, (lmscore.token_counts(both), lmscore.vocabulary_of(lmscore.token_counts(both)), p)).where("doc_id < 0").collect()}
+    assert own[-1] == own[-2] and math.isclose(own[-1], own[-3] + 2 * math.log(2), abs_tol=1e-3)
 
 
 def test_pseudo_likelihood_trains_on_every_position(spark, monkeypatch):
@@ -132,9 +190,10 @@ def test_pseudo_likelihood_trains_on_every_position(spark, monkeypatch):
             targets.extend(middle.tolist())
 
     texts, targets = ["a b c, " * 300, None, "", "b a"], []
-    vocabulary = lmscore.Vocabulary(["a", "b", "c", ","])
+    hashes = np.unique(lmscore.tokens(["a b c ,"])[0])
+    vocabulary = lmscore.Vocabulary(hashes, np.ones(4), np.ones(lmscore.CLASSES))
     n = lmscore.descend_over(Spy(lmscore.first_parameters()), vocabulary, texts, 0.1)
-    assert n == 1202 and targets == [k for t in texts for k in vocabulary.ids(t).tolist()]
+    assert n == 1202 and targets == [k for t in texts for k in vocabulary.classes(*lmscore.tokens([t])[:2]).tolist()]
     docs, rounds, real = spark.createDataFrame([(t,) for t in texts], "text string"), [], lmscore.train_round
 
     def counted(d, *own):
@@ -146,6 +205,38 @@ def test_pseudo_likelihood_trains_on_every_position(spark, monkeypatch):
     assert rounds == [4] * lmscore.ROUNDS
 
 
+def test_gradient_of_the_window_network():
+    r = np.random.default_rng(4)
+    net = lmscore.WindowNetwork({k: r.normal(0, 0.3, s).astype(np.float32) for k, s in lmscore.SHAPES.items()})
+    sides, middle = r.integers(0, lmscore.CLASSES + 1, (4, 50)).astype(np.int16), r.integers(0, lmscore.CLASSES, 50).astype(np.int16)
+    before = {k: v.astype(np.float64) for k, v in net.p.items()}
+
+    def loss(p):
+        h = np.tanh(p["a"] + sum(p["E"][k][sides[k]] for k in range(4)))
+        z = h @ p["W"] + p["b"]
+        return -np.mean(z[np.arange(50), middle] - np.log(np.exp(z).sum(axis=1)))
+
+    class Plain(dict):  # Adagrad's divisor left out: parameters move by the gradient
+        def __getitem__(self, k):
+            return np.zeros(lmscore.SHAPES[k], dtype=np.float32)
+
+        def __setitem__(self, k, v):
+            self.squares = getattr(self, "squares", {}) | {k: v}
+
+    net.seen = Plain()
+    with np.errstate(divide="ignore", invalid="ignore"):
+        net.descend(sides, middle, 0.0)
+    for k in ("W", "b", "a", "E"):
+        g2 = net.seen.squares[k]
+        for _ in range(6):
+            at = tuple(int(r.integers(s)) for s in lmscore.SHAPES[k]) if k != "E" else (1, int(sides[1][r.integers(50)]), int(r.integers(lmscore.HIDDEN)))
+            p = {n: v.copy() for n, v in before.items()}
+            p[k][at] += 1e-4
+            up = loss(p)
+            p[k][at] -= 2e-4
+            assert math.isclose(((up - loss(p)) / 2e-4) ** 2, g2[at], rel_tol=2e-2, abs_tol=1e-7)
+
+
 def brute_kneser_ney(texts, order=3, symbols=5):
     """Of symbol lists; by the formulas."""
     counts = {order: Counter()}
