@@ -144,6 +144,21 @@ def map_text(
     return source.mapInArrow(run, schema)
 
 
+#: A side of a semi join with at most so many keys is broadcast, after they are counted.
+BROADCAST_KEYS = 1 << 20
+
+
+def semi_join(df: DataFrame, keys: DataFrame, key: str, most: int = BROADCAST_KEYS) -> DataFrame:
+    """The rows of df whose key is among the different keys of keys(key), a stored table; null is none of them.
+
+    Few keys are broadcast, so that whole texts stay where they are. Otherwise a bitmap of fixed size first drops most
+    rows of other keys, and what is left meets the keys in a shuffle.
+    """
+    if keys.count() <= most:
+        return df.join(F.broadcast(keys), key, "left_semi")
+    return perhaps_in(df, F.col(key), bitmap(keys, F.col(key)), "__perhaps").where("__perhaps").drop("__perhaps").join(keys, key, "left_semi")
+
+
 _SPREAD = 0x9E3779B97F4A7C15
 
 

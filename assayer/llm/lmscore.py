@@ -24,7 +24,6 @@ give way to it; other columns are not used.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import ProbeTable, col, map_text, small_batches, table, written
+from .words import cut, listed, pieces
 
 FREQUENT, ENDINGS = 64, 64
 CLASSES = FREQUENT + ENDINGS
@@ -47,59 +47,12 @@ HOT = 1 << 17
 #: Tokens that a task gathers before it passes on their counts.
 COUNTED = 4_000_000
 
-_LETTER, _MARK, _SPACE = 1, 2, 0
-
-
-@cache
-def _kinds() -> np.ndarray:
-    """Of each code point: white space, a letter of a word (as \\\\w has it), or a mark that is a token alone."""
-    out = np.full(0x110000, _MARK, dtype=np.uint8)
-    for cp in range(0x110000):
-        c = chr(cp)
-        if c.isalnum() or c == "_":
-            out[cp] = _LETTER
-        elif c.isspace():
-            out[cp] = _SPACE
-    return out
-
-
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
-
-
-@cache
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """The powers of the base and of its inverse, below 2 ** bits."""
-    both = [np.full(1 << bits, x, dtype=np.uint64) for x in (_BASE, _INVERSE)]
-    for x in both:
-        x[0] = 1
-    return np.cumprod(both[0]), np.cumprod(both[1])
-
-
 def tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of the tokens of all texts in order: hash, ending class (whether or not it is frequent) and text number."""
-    parts = [(t or "").lower() for t in texts]
-    cp = np.frombuffer("\n".join([*parts, ""]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    kind = _kinds()[cp]
-    start = kind != _SPACE
-    start[1:] &= (kind[1:] == _MARK) | (kind[:-1] != _LETTER)
-    first = np.flatnonzero(start)
-    last = kind == _LETTER
-    last[:-1] &= kind[1:] != _LETTER
-    last |= kind == _MARK
-    end = np.flatnonzero(last)
-    # a token's hash is a polynomial of its letters, from sums over the whole; sums begin anew at every block
-    up, down = _powers(max(1, int(len(cp)).bit_length()))
-    sums = np.cumsum((cp.astype(np.uint64) + np.uint64(1)) * up[: len(cp)])
-    before = np.where(first > 0, sums[first - 1], np.uint64(0))
-    h = (sums[end] - before) * down[first]
-    h ^= h >> np.uint64(32)
-    h *= np.uint64(0xD6E8FEB86659FD93)
-    h ^= h >> np.uint64(32)
-    two = np.where(end > first, cp[end - 1], 0) * np.uint32(31) + cp[end]
+    w = cut(texts)
+    two = np.where(w.last > w.first, w.cp[w.last - 1], 0) * np.uint32(31) + w.cp[w.last]
     ending = FREQUENT + ((two * np.uint32(2654435761)) >> np.uint32(16)) % np.uint32(ENDINGS)
-    bounds = np.cumsum([len(p) + 1 for p in parts])  # where each text's end of line lies, plus one
-    return h.view(np.int64), ending.astype(np.int16), np.searchsorted(bounds, first, side="right").astype(np.int32)
+    return w.hash, ending.astype(np.int16), w.of
 
 
 def token_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -116,8 +69,8 @@ def token_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
         gathered = 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 100):
-                h, c, _ = tokens(batch.slice(at, 100).column(0).to_pylist())
+            for texts in pieces(batch.column(0).to_pylist()):
+                h, c, _ = tokens(texts)
                 held.append((h, c))
                 gathered += len(h)
                 if gathered >= COUNTED:
@@ -257,8 +210,8 @@ def train_round(docs: DataFrame, vocabulary, p: dict[str, np.ndarray], rate: flo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, net, seen = Vocabulary(*vocabulary.value), WindowNetwork(shared.value), 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 100):
-                seen += descend_over(net, known, batch.slice(at, 100).column(0).to_pylist(), rate)
+            for texts in pieces(batch.column(0).to_pylist()):
+                seen += descend_over(net, known, texts, rate)
         if seen:
             own = flat(net.p).astype(np.float64) * seen
             yield pa.RecordBatch.from_arrays(
@@ -313,31 +266,30 @@ def score(docs: DataFrame, model: tuple, keep: tuple[str, ...] = ("doc_id",), te
         known, net = Vocabulary(*shared.value[0]), WindowNetwork(shared.value[1])
         row = [TaskContext.get().partitionId() << 40]
 
-        def f(texts: list) -> dict:
+        def piece(texts: list) -> tuple[np.ndarray, np.ndarray, pa.ListArray]:
             h, ending, of = tokens(texts)
             at = known.find(h)
             c = known.classes(h, ending, at)
             each = net.log_probabilities(neighbourhoods(c, of), c)
             hot = at >= 0
-            within = known.counts[at[hot]] / known.totals[c[hot]]
-            each[hot] += np.log(within)
+            each[hot] += np.log(known.counts[at[hot]] / known.totals[c[hot]])
             each[~hot] -= np.log(known.totals[c[~hot]])
             n = len(texts)
-            # of the other tokens, each different one of a text and how often it is there
-            order = np.lexsort((h[~hot], of[~hot]))
-            token, text = h[~hot][order], of[~hot][order]
-            new = np.flatnonzero(np.concatenate([[True], (token[1:] != token[:-1]) | (text[1:] != text[:-1])])) if len(token) else np.empty(0, dtype=np.int64)
-            times = np.diff(np.append(new, len(token))).astype(np.int32)
-            offsets = np.searchsorted(text[new], np.arange(n + 1)).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([pa.array(token[new]), pa.array(times)], ["token", "times"]))
-            ids = np.arange(row[0], row[0] + n)
-            row[0] += n
-            return {"__row": ids, "n_tokens": np.bincount(of, minlength=n).astype(np.int64), "log_prob": np.bincount(of, each, n), "__cold": lists}
+            return np.bincount(of, minlength=n).astype(np.int64), np.bincount(of, each, n), listed(h[~hot], of[~hot], n)
+
+        def f(texts: list) -> dict:
+            got = [piece(x) for x in pieces(texts)]
+            ids = np.arange(row[0], row[0] + len(texts))
+            row[0] += len(texts)
+            return {
+                "__row": ids, "n_tokens": np.concatenate([x[0] for x in got]), "log_prob": np.concatenate([x[1] for x in got]),
+                "__cold": pa.concat_arrays([x[2] for x in got]),
+            }
 
         return f
 
     fields = [T.StructField("__row", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("log_prob", T.DoubleType()), T.StructField("__cold", cold)]
-    scored = written(map_text(docs, make, fields, keep, text_col, rows=100))
+    scored = written(map_text(docs, make, fields, keep, text_col))
     left = scored.select("__row", F.explode("__cold").alias("x")).select("__row", "x.token", "x.times")
     rest = left.join(counts.select("token", "n"), "token").groupBy("__row").agg(F.sum(F.col("times") * F.log("n")).alias("__more"))
     total = F.col("log_prob") + F.coalesce("__more", F.lit(0.0))

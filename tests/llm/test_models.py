@@ -237,50 +237,126 @@ def test_gradient_of_the_window_network():
             assert math.isclose(((up - loss(p)) / 2e-4) ** 2, g2[at], rel_tol=2e-2, abs_tol=1e-7)
 
 
-def brute_kneser_ney(texts, order=3, symbols=5):
-    """Of symbol lists; by the formulas."""
-    counts = {order: Counter()}
-    for s in texts:
-        own = [0] * (order - 1) + s
-        counts[order].update(tuple(own[i : i + order]) for i in range(len(own) - order + 1))
-    for n in range(order - 1, 0, -1):
-        counts[n] = Counter(g[1:] for g in counts[n + 1])
-    p = {(): 1 / symbols}
-    for n in range(1, order + 1):
-        c, of = counts[n], Counter(counts[n].values())
-        y = of[1] / (of[1] + 2 * of[2]) if of[1] else 0
-        d = [min(max(k - (k + 1) * y * of[k + 1] / of[k] if of[k] else 0, 0), k) for k in (1, 2, 3)]
-        off = lambda x: d[min(x, 3) - 1] if x else 0
-        total, spared = defaultdict(int), defaultdict(float)
+def brute_kneser_ney(counts, keep, base):
+    """Interpolated modified Kneser-Ney by the formulas: {n: {gram: count}}, whether an n-gram is kept, and the
+    probability of any symbol at order 0. Gives p(gram) for any gram, kept or not."""
+    facts = {}
+    for n, c in counts.items():
+        d = ngram.discounts(Counter(c.values()))
+        off = lambda x, d=d: d[min(x, 3) - 1]
+        total, spent = Counter(), defaultdict(float)
         for g, x in c.items():
             total[g[:-1]] += x
-            spared[g[:-1]] += off(x)
-        grams = [()]
-        for _ in range(n):
-            grams = [(*g, s) for g in grams for s in range(symbols)]
-        for g in grams:
-            lower, h = p[g[1:]] if n > 1 else p[()], g[:-1]
-            p[g] = (max(c[g] - off(c[g]), 0) + spared[h] * lower) / total[h] if total[h] else lower
-    return p, order
-
-
-def test_kneser_ney(spark):
-    r = np.random.default_rng(5)
-    texts = [r.integers(1, 5, n).tolist() for n in (30, 7, 1, 0, 50)]
-    want, order = brute_kneser_ney(texts)
-    counts = Counter()
-    for s in texts:
-        own = [0, 0, *s]
-        counts.update(own[i] * 25 + own[i + 1] * 5 + own[i + 2] for i in range(len(s)))
-    got = {r.g: r.p for r in ngram.kneser_ney(spark.createDataFrame(list(counts.items()), "g int, c long"), 3, 5).collect()}
-    assert len(got) == 125
-    for g, p in got.items():
-        assert math.isclose(p, want[g // 25, g // 5 % 5, g % 5], abs_tol=1e-12)
-
-
-def test_grams_and_perplexity(spark):
-    code, sizes = ngram.grams(["ab", None, "", "a" * 9])
-    assert sizes.tolist() == [2, 0, 0, 9] and len(code) == 11
+            spent[g[:-1]] += x - off(x) if keep(n, g) else 0
+        facts[n] = (c, off, total, spent)
+
+    def p(gram):
+        n = len(gram)
+        if n == 0:
+            return base
+        c, off, total, spent = facts[n]
+        h, lower = gram[:-1], p(gram[1:])
+        if not total[h]:
+            return lower
+        own = c[gram] - off(c[gram]) if gram in c and keep(n, gram) else 0
+        return own / total[h] + max(ngram.LEAST, 1 - spent[h] / total[h]) * lower
+
+    return p
+
+
+def test_discounts():
+    assert ngram.discounts({1: 10, 2: 5, 3: 3, 4: 2}) == [1 - 2 * 0.5 * 5 / 10, 2 - 3 * 0.5 * 3 / 5, 3 - 4 * 0.5 * 2 / 3]
+    assert ngram.discounts({}) == [0, 0, 0] and ngram.discounts({1: 4}) == [1, 0, 0]
+
+
+@pytest.mark.parametrize("most", [1 << 20, 60])
+def test_spelling_model(spark, most):
+    words = ["the", "then", "there", "hat", "that", "naïve", "数学", "数", "that's"[:4] + "s", "a", "thé", "ether", "😀", "1999", "199"]
+    df = spark.createDataFrame([(w,) for w in words], "word string")
+    counts = {4: Counter()}
+    for w in words:
+        x = "\n\n\n" + w + " "
+        counts[4].update(x[i : i + 4] for i in range(len(x) - 3))
+    raw = {4: counts[4]}
+    for n in (3, 2, 1):
+        counts[n] = Counter(g[1:] for g in counts[n + 1])
+        raw[n] = Counter()
+        for g, c in raw[n + 1].items():
+            raw[n][g[1:]] += c
+    least = 1
+    while sum(c >= least for n in raw for c in raw[n].values()) > most:
+        least *= 2
+    assert (least > 1) == (most == 60)
+    p = brute_kneser_ney(counts, lambda n, g: raw[n][g] >= least, 1 / ngram.SYMBOLS)
+    model = ngram.spelling_model(ngram.spelling_counts(df), most=most)
+    got = {r.gram: r.p for r in model.where("p is not null").collect()}
+    assert set(got) == {g for n in raw for g, c in raw[n].items() if c >= least}
+    for g, x in got.items():
+        assert math.isclose(x, p(g), rel_tol=1e-9), g
+    # a distribution: what the known symbols don't take is shared by all code points
+    for h in ("\n\n\n", "\nth", "zzz", "the"):
+        known = sum(p(h + e) for e in {g[-1] for g in raw[1]})
+        assert known < 1 and math.isclose(known + (ngram.SYMBOLS - len(raw[1])) * p(h + "\u1234"), 1, rel_tol=1e-9)
+    spelling = ngram.Spelling(*ngram.spelling_arrays(model))
+    asked = ["the", "thex", "数学", "zq", "naïve", "the", "hath", "ɸ", "!"]
+    w = ngram.cut(asked)
+    bits = spelling(w, np.arange(len(w.hash)))
+    for x, b in zip(asked, bits):
+        whole = "\n\n\n" + x + " "
+        assert math.isclose(b, -sum(math.log2(p(whole[i : i + 4])) for i in range(len(whole) - 3)), rel_tol=1e-5), x
+    assert len(spelling(w, np.empty(0, dtype=np.int64))) == 0
+
+
+@pytest.mark.parametrize("vocabulary, hot", [(ngram.VOCABULARY, ngram.HOT), (5, 4), (200, 7)])
+def test_perplexities_by_brute_force(spark, monkeypatch, vocabulary, hot):
+    monkeypatch.setattr(ngram, "VOCABULARY", vocabulary)
+    monkeypatch.setattr(ngram, "HOT", hot)
+    r = np.random.default_rng(8)
+    names = ["alpha", "beta", "Gamma", "δέλτα", "eps", ".", "zeta9", "数学"]
+    text = lambda: " ".join(names[int(r.integers(k))] for k in r.integers(1, 9, 25))
+    trusted = [text() for _ in range(20)] + ["alone once twice alone"]
+    others = [text() for _ in range(5)] + ["unseen words, alpha beta", "", None, "alone once"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*trusted, *others])], "doc_id long, text string").repartition(3)
+    model = ngram.word_model(docs.where(f"doc_id < {len(trusted)}"))
+    words = [lm_tokens(t) for t in trusted]
+    count, rows = Counter(w for x in words for w in x), Counter(w for x in words for w in set(x))
+    known = set(sorted((w for w in count if rows[w] > 1), key=lambda w: (-count[w], w))[:vocabulary])
+    cls = lambda w: w if w in known else "<rare>"
+    two, two_rows = Counter(), Counter()
+    for x in words:
+        own = list(zip(["<begin>", *map(cls, x)], map(cls, x)))
+        two.update(own)
+        two_rows.update(set(own))
+    one = Counter((g[1],) for g in two)
+    d = ngram.discounts(Counter(one.values()))
+    total, spared = sum(one.values()), sum(d[min(c, 3) - 1] for c in one.values())
+    first = {g[0]: (c - d[min(c, 3) - 1]) / total + spared / total / (len(known) + 1) for g, c in one.items()}
+    spelling = ngram.Spelling(*model["small"]["spelling"])
+
+    def p(a, b):
+        lower = first.get(b, spared / total / (len(known) + 1))
+        off = ngram.discounts(Counter(two.values()))
+        h = sum(c for g, c in two.items() if g[0] == a)
+        if not h:
+            return lower
+        less = lambda c: off[min(c, 3) - 1]
+        spent = sum(c - less(c) for g, c in two.items() if g[0] == a and two_rows[g] > 1)
+        own = two[a, b] - less(two[a, b]) if two_rows[a, b] > 1 else 0
+        return own / h + max(ngram.LEAST, 1 - spent / h) * lower
+
+    for r_ in ngram.perplexities(docs, model, ("doc_id", "text")).collect():
+        own = lm_tokens(r_.text)
+        bits = 0.0
+        for a, b, w in zip(["<begin>", *map(cls, own)], map(cls, own), own):
+            bits -= math.log2(p(a, b))
+            if b == "<rare>":
+                cut = ngram.cut([w])
+                bits += spelling(cut, np.array([0]))[0]
+        assert r_.n_symbols == sum(len(w) + 1 for w in own)
+        assert (r_.bits is None) == (not own) and (not own or math.isclose(r_.bits, bits / r_.n_symbols, rel_tol=1e-4))
+
+
+def test_quality_edge_cases(spark):
     docs = spark.createDataFrame([(i, t, None, 1) for i, t in ODD], "doc_id long, text string, lang string, bits int")
     labels = spark.createDataFrame([(5, 1), (None, 1), (4, 0), (3, None)], "doc_id long, quality int")
     got = ngram.quality(docs, labels).collect()
@@ -301,6 +377,20 @@ def test_quality_keeps_trusted_texts(spark):
     assert np.mean(kept) >= 0.95
 
 
+def test_quality_tells_labelled_junk_by_language(spark):
+    labels = defaultdict(set)
+    for r in spark.read.parquet(f"{SF}/labels.parquet").where("quality is not null").collect():
+        labels[r.doc_id].add(r.quality)
+    by = defaultdict(list)
+    for r in registry.queries()["op6_quality_ngram"](spark, SF).collect():
+        if len(labels[r.doc_id]) == 1:
+            by[r.lang, *labels[r.doc_id]].append(r.kept)
+    langs = {lang for lang, _ in by}
+    assert len(langs) >= 4
+    for lang in langs:
+        assert np.mean(by[lang, 1]) >= 0.98 and np.mean(by[lang, 0]) <= 0.3, lang
+
+
 def test_quality_sees_the_order_of_words(spark):
     r = np.random.default_rng(7)
     chain = [[(5 * w + k) % 60 for k in (1, 2, 3)] for w in range(60)]
