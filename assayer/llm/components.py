@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -27,6 +27,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         now = written(small.select("e.a", "e.b").where("a <> b").distinct())
         # done when the links are stars: no node is both root and leaf, no leaf has two roots
         facts = now.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
+        discard(links)
         two = facts.where("n > 1").limit(1).count()
         if not two and not now.select("a").join(now.select(F.col("b").alias("a")).distinct(), "a", "left_semi").limit(1).count():
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))

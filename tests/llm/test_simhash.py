@@ -82,7 +82,39 @@ def test_nulls_repeats_and_empty_tables(spark):
     assert sorted((r.doc_id is None, r.doc_id, r.component_id) for r in got if r.doc_id is not None) == [(False, 3, 3), (False, 5, 3), (False, 8, 8), (False, 8, 8), (False, 9, 8)]
     assert [r.component_id for r in got if r.doc_id is None] == [None]
     kept = simhash.deduplicate(spark.createDataFrame(rows, schema))
+    with_names = simhash.near_duplicates(spark.createDataFrame(rows, schema), ("fp", "component_id", "text")).collect()
+    assert sorted(with_names[0].asDict()) == ["component_id", "doc_id", "fingerprint", "fp", "text"] and {r.fp for r in with_names} == {"x", "y", None}
     assert kept.columns == ["doc_id", "text", "fp", "component_id"]
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 3, 8]
     empty = spark.createDataFrame([], schema)
     assert simhash.near_duplicates(empty).count() == 0 and simhash.deduplicate(empty).count() == 0
+
+
+def test_dense_group_links_by_few_rows(spark):
+    """Thousands of fingerprints around one, at 3 bits from another such group: no bucket may give its pairs."""
+    r = random.Random(11)
+    c = r.getrandbits(64)
+    low = [0, *(1 << b for b in range(21))]
+    fps = {c ^ x ^ y for x in low for y in low} | {c ^ (1 << 30) ^ (1 << 50) ^ (1 << 60) ^ x for x in low}
+    far = c ^ sum(1 << b for b in (3, 7, 12, 25, 26, 27, 28))  # 4 bits from the nearest at least
+    fps |= {far, c ^ sum(1 << b for b in range(40, 47)), c ^ sum(1 << b for b in range(40, 50))}
+    fps = sorted(fps)
+    signed = np.array(fps, dtype=np.uint64).view(np.int64).tolist()
+    links = simhash.near_links(spark.createDataFrame([(x,) for x in signed], "fp long"))
+    assert links.count() < 20 * len(fps)
+    roots = {r.node: r.root for r in connected_components(links).collect()}
+    groups = {}
+    for s, w in zip(signed, brute_components(list(range(len(fps))), fps)):
+        groups.setdefault(w, set()).add(roots.get(s, s))
+    assert all(len(g) == 1 for g in groups.values()) and len(groups) == len({next(iter(g)) for g in groups.values()}) > 1
+
+
+def test_three_bits_in_one_block(spark):
+    r = random.Random(12)
+    fps = []
+    for k in range(30):  # pairs of single fingerprints, and their kind at 4 bits, which aren't linked
+        c, block = r.getrandbits(64), [range(0, 21), range(21, 42), range(42, 64)][k % 3]
+        fps += [c, c ^ sum(1 << b for b in r.sample(block, 3 + k % 2))]
+    signed = np.array(fps, dtype=np.uint64).view(np.int64).tolist()
+    got = {frozenset((x.a, x.b)) for x in simhash.near_links(spark.createDataFrame([(x,) for x in signed], "fp long")).collect()}
+    assert got == {frozenset(signed[2 * k : 2 * k + 2]) for k in range(0, 30, 2)}
