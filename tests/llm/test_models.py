@@ -93,6 +93,24 @@ def test_factorization_machine():
     assert z[2] > 0 > max(z[0], z[1], z[3])
 
 
+def test_toxicity_learns_what_matters_in_company_alone(spark):
+    r = np.random.default_rng(6)
+    fill = lambda: " ".join(f"w{chr(97 + int(a))}{chr(97 + int(b))}" for a, b in r.integers(0, 20, (12, 2)))
+    texts, labels = [], []
+    for i in range(2400):  # the group's name stands in half of all texts of either label
+        kind = i % 6
+        texts.append(fill() + {0: " insult group", 1: " venom", 2: " insult", 3: " group", 4: " group", 5: ""}[kind] + " " + fill())
+        labels.append(int(kind < 2))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    marks = spark.createDataFrame(list(enumerate(labels)), "doc_id long, toxic int")
+    model = toxicity.train(docs.where(~toxicity.held_out()), marks)
+    number, alone = {int(b): i for i, b in enumerate(model["active"])}, zlib.crc32(b"group") % toxicity.BUCKETS
+    assert alone in number
+    own = [r for r in toxicity.score_toxicity(docs, marks).collect() if r.held_out]
+    for kind in range(6):
+        assert np.mean([r.predicted == (kind < 2) for r in own if r.doc_id % 6 == kind]) > 0.95, kind
+
+
 def test_toxicity_edge_cases(spark):
     docs = spark.createDataFrame([(i, t, "x") for i, t in ODD], "doc_id long, text string, score string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
