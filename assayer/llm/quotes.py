@@ -160,6 +160,18 @@ def op2_quotation_linking(spark, sf_dir):
     return link_quotes(table(spark, sf_dir, "conversations"))
 
 
+def with_quotes(conversations: DataFrame) -> DataFrame:
+    """conversations in which each message quotes the two before it, the older one a level deeper, above its own text."""
+    turns = Window.partitionBy("conv_id").orderBy("turn")  # a window that looks back two rows holds no group
+    quoted = lambda back, mark: F.concat(F.lit(f"{mark} "), F.replace(F.lag("text", back).over(turns), F.lit("\n"), F.lit(f"\n{mark} ")))
+    return conversations.select("conv_id", "turn", "role", F.concat_ws("\n", quoted(2, ">>"), quoted(1, ">"), "text").alias("text"))
+
+
+def op2_quoted_replies(spark, sf_dir):
+    """The same operator where every message but the first of a conversation has quotes to link."""
+    return link_quotes(with_quotes(table(spark, sf_dir, "conversations")))
+
+
 _N = r"trim(regexp_replace(lower({}), '[ \t\r\n\f]+', ' ', 'g'))"
 OP2_SQL = rf"""
 WITH RECURSIVE m AS (SELECT row_number() OVER () AS r, conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
@@ -189,3 +201,9 @@ SELECT conv_id, turn, role, body, CAST(n_quotes AS BIGINT) AS n_quotes, CAST(n_l
        '<|' || coalesce(role, '') || '|>' || chr(10) || body || chr(10) || '<|end|>' || chr(10) AS formatted
 FROM placed
 """
+
+OP2_QUOTED_SQL = OP2_SQL.replace(
+    "FROM conversations)",
+    """FROM (SELECT conv_id, turn, role, concat_ws(chr(10), '>> ' || replace(lag(text, 2) OVER t, chr(10), chr(10) || '>> '),
+        '> ' || replace(lag(text, 1) OVER t, chr(10), chr(10) || '> '), text) AS text FROM conversations WINDOW t AS (PARTITION BY conv_id ORDER BY turn)))""",
+)

@@ -17,8 +17,9 @@ def queries() -> dict:
         "op8_media_columns": media.op8_media_columns,
         "op9_language_id": langid.op9_language_id,
         "op10_simhash": simhash.op10_simhash,
+        "op2_quoted_replies": quotes.op2_quoted_replies,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quotation_linking": quotes.OP2_SQL, "op4_decontamination": decontam.OP4_SQL}
+    return {"op2_quotation_linking": quotes.OP2_SQL, "op2_quoted_replies": quotes.OP2_QUOTED_SQL, "op4_decontamination": decontam.OP4_SQL}

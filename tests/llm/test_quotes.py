@@ -76,3 +76,12 @@ def test_runs_between_quotes_and_paragraphs_of_quotes(spark):
     assert (got[1, 2].n_quotes, got[1, 2].n_linked, got[1, 2].reply_to, got[1, 2].thread) == (1, 1, 1, 0)
     assert (got[2, 1].n_quotes, got[2, 1].n_linked, got[2, 1].reply_to) == (1, 1, 0)
     assert (got[2, 2].n_quotes, got[2, 2].n_linked, got[2, 2].reply_to) == (1, 0, None)
+
+
+def test_derived_replies_are_all_linked(spark):
+    own = spark.createDataFrame([(c, t, "user", f"line {c} {t}\n\nmore of {c} {t}") for c in range(3) for t in range(6)], SCHEMA)
+    got = quotes.link_quotes(quotes.with_quotes(own)).collect()
+    assert len(got) == 18
+    for r in got:
+        assert r.n_quotes == r.n_linked == min(r.turn, 2) and r.reply_to == (r.turn - 1 if r.turn else None) and r.depth == r.turn == r.position
+        assert r.body == f"line {r.conv_id} {r.turn}\n\nmore of {r.conv_id} {r.turn}"
