@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_text, table
+from .common import map_text, resident, table
 
 #: Words and short runs of text without white space kept with their ids before the older half is forgotten.
 RUNS_KEPT = 150_000
@@ -218,9 +218,8 @@ class ForcedBoundaryBPE:
         return " ".join([token[i] for i in np.frombuffer(ids or b"", dtype="<u4").tolist()])
 
 
-@cache
 def coder(path: str) -> ForcedBoundaryBPE:
-    return ForcedBoundaryBPE(path)
+    return resident(("bpe", path), lambda: ForcedBoundaryBPE(path))
 
 
 def bpe_encode(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
@@ -248,6 +247,23 @@ def bpe_decode(encoded: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",
     return map_text(encoded, make, [T.StructField("decoded", T.StringType())], keep, ids_col, binary=True, rows=500)
 
 
+def bpe_round_trip(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
+    """keep, n_tokens, ids and decoded of every whole text: bpe_decode() of bpe_encode() in one pass through Python,
+    so that a task has one worker with the vocabulary, not two."""
+
+    def make():
+        bpe = coder(path)
+
+        def f(texts: list) -> dict:
+            ids = [bpe.encode(t) for t in texts]
+            return {"n_tokens": [len(x) // 4 for x in ids], "ids": ids, "decoded": [bpe.decode(x) for x in ids]}
+
+        return f
+
+    fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())]
+    return map_text(docs, make, fields, keep, text_col)
+
+
 def ids_array(ids_col: str = "ids"):
     """An array<bigint> of packed ids, in Spark operations."""
     h = F.hex(F.col(ids_col))
@@ -259,7 +275,7 @@ def ids_array(ids_col: str = "ids"):
 
 def bpe_digests(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """keep, n_tokens, ids_sha256 and decoded_sha256 of every whole text of docs."""
-    both = bpe_decode(bpe_encode(docs, path, keep), path, (*keep, "n_tokens", "ids"))
+    both = bpe_round_trip(docs, path, keep)
     return both.select(*keep, "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
