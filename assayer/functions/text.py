@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -51,15 +54,26 @@ def is_safe_path(c: Column) -> Column:
     return c.isNotNull() & (c != "") & ~c.rlike(r"^(\./?)+$") & ~c.startswith("/") & ~c.contains("\\") & ~c.contains(":") & ~up
 
 
+def path_steps(name: str) -> list[str] | None:
+    """is_safe_path() of one name on the driver: its steps, or None for a path that could leave its folder."""
+    steps = [s for s in name.split("/") if s not in ("", ".")]
+    odd = name.startswith("/") or ".." in steps or not set(name).isdisjoint("\\:")
+    return None if odd else steps or None
+
+
 def folded(c: Column) -> Column:
     """For comparison without case; upper case first, so that one letter and its two-letter form agree."""
     return F.lower(F.upper(c))
 
 
+# Names and beginnings of names of files that office programs and file managers leave behind.
+LEFT_BEHIND, LEFT_BEGINNINGS = (".DS_Store", "Thumbs.db"), ("._", "~$")
+
+
 def is_metadata_file(c: Column) -> Column:
     """Files that office programs and file managers leave behind."""
     name = basename(c)
-    return name.isin(".DS_Store", "Thumbs.db") | name.startswith("._") | name.startswith("~$")
+    return reduce(or_, [name.startswith(x) for x in LEFT_BEGINNINGS], name.isin(*LEFT_BEHIND))
 
 
 def packet_name(ordinal: Column) -> Column:

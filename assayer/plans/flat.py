@@ -31,7 +31,7 @@ def deliverables(spark: SparkSession, folder: Path, ordinals: list[int]) -> Data
             rows.append((n, path.name, str(path)))
         except FileNotFoundError as e:
             failed.append((n, str(e)))
-    contents = files.with_contents(spark.createDataFrame(rows, "ordinal int, path string, full string"), ["ordinal"])
+    contents = files.with_digests(spark.createDataFrame(rows, "ordinal int, path string, full string"), ["ordinal"])
     texts = office.extract(contents.withColumn("suffix", F.when(F.col("suffix") == "txt", "text").otherwise(F.col("suffix"))), ["ordinal"])  # plain text is no deliverable
     found = texts.join(contents.select("ordinal", "sha256"), "ordinal").select("ordinal", F.col("text").alias("document"), "sha256", "error")
     none = F.lit(None).cast("string")

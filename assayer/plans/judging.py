@@ -45,16 +45,19 @@ def _identity(judge: Judge, mode: str, expert):
     return cache_key(F.col("signature"), judge.model, mode, judge.provider, SYSTEMS, *evidence)
 
 
-def judged(requests: DataFrame, mode: str, judge: Judge, log: str) -> DataFrame:
+def judged(requests: DataFrame, mode: str, judge: Judge, log: str, at_once: int | None = None) -> DataFrame:
     """requests with met (rubric) or score (pairwise), cost and error.
 
+    Requests that no verdict answers are dealt over at_once tasks, each asking one after the other; by default as many
+    as Spark runs at a time.
+
     New replies are written to the log and read back, so a prompt is sent once however often the plan is read.
     Replies that fail or can't be understood are errors and aren't kept: the next run asks again.
     """
     spark, requests = requests.sparkSession, materialised(requests)
     known = read_verdicts(spark, log)
     misses = unjudged(requests, known).dropDuplicates(["key"])
-    replies = materialised(ask_all(misses.repartition(64, "key"), judge))
+    replies = materialised(ask_all(misses.repartition(at_once or spark.sparkContext.defaultParallelism, "key"), judge))
     a = requests.select("key", *(["product_is_a"] if mode == "pairwise" else [])).dropDuplicates(["key"])
     said = replies.join(a, "key")
     none = F.lit(None)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.digests import canonical_map, fingerprint
 from ..functions.numbers import round_exact, task_score
+from ..functions.text import path_steps
 from ..operators import validation
 from ..operators.bundles import bundle, files_digest
 from ..operators.leaderboard import leaderboard
@@ -25,11 +26,14 @@ from . import judging, reports
 
 KEYS = ["product", "ordinal"]
 REFERENCES = "reference_files/"
-START = (
-    "Read prompt.txt in this folder and carry out the task in it.\n"
-    "The attachments are in reference_files/; paths of attachments in the task mean that folder. Edit copies, leave the originals.\n"
-    "Save the final deliverables in output/, with the formats and names that the task asks for, and list them when done.\n"
-)
+START = """One task for one product
+
+prompt.txt         the task
+reference_files/   what the task is based on, if anything; checked for changes before grading
+output/            finished work; nothing else is graded
+
+Graded formats: XLSX, DOCX, PPTX, PDF. Several files are graded as one piece of work.
+"""
 
 
 def _listed(tasks: DataFrame) -> list:
@@ -39,9 +43,12 @@ def _listed(tasks: DataFrame) -> list:
     return rows
 
 
-def _reference(name: str) -> str:
-    files.safe_path(Path("."), name)
-    return REFERENCES + PurePosixPath(name).name
+def _attached(name: str) -> str:
+    """Where an attachment lies in a packet: all are side by side, whatever folders their names have."""
+    steps = path_steps(name)
+    if steps is None:
+        raise Invalid(f"an attachment's name is no path in a folder: {name[:80]!r}")
+    return REFERENCES + steps[-1]
 
 
 def prepare(spark: SparkSession, tasks: DataFrame, root: Path, products: list[str], downloads: Path, fetch: download.Fetch = download.https_fetch) -> None:
@@ -61,14 +68,14 @@ def prepare(spark: SparkSession, tasks: DataFrame, root: Path, products: list[st
     for t in rows:
         inputs = {"prompt.txt": (t["prompt"] or "").encode(), "START.txt": START.encode()}
         for name, url in zip(t["reference_names"] or [], t["reference_urls"] or [], strict=True):
-            to = _reference(name)
+            to = _attached(name)
             inputs[to] = download.cached(url, PurePosixPath(to).name, downloads, fetch).read_bytes()
         for product in products:
             packet = files.safe_path(root, f"{product}/t_{t['ordinal']:02d}")
             for name in t["reference_names"] or []:
                 nested = files.safe_path(packet, name if name.startswith(REFERENCES) else REFERENCES + name)
-                if nested != packet / _reference(name) and nested.exists():
-                    if nested.read_bytes() != inputs[_reference(name)]:
+                if nested != packet / _attached(name) and nested.exists():
+                    if nested.read_bytes() != inputs[_attached(name)]:
                         raise Invalid(f"{product}, task {t['ordinal']}: an attachment has been changed")
                     old.append((nested, packet / "reference_files"))
             for name, content in inputs.items():
@@ -115,10 +122,10 @@ def evidence(spark: SparkSession, rows: DataFrame, manifest: DataFrame, root: Pa
     listing = spark.createDataFrame([(*k, e) for k, e in (bad_inputs | bad_outputs).items()], "product string, ordinal int, error string")
 
     wanted = inputs.where(~F.col("path").startswith("output/"))
-    now = materialised(files.with_contents(wanted, KEYS))
+    now = materialised(files.with_digests(wanted, KEYS))
     changed = validation.changed_files(recorded, now, KEYS).select(*KEYS, F.lit("an input isn't what was prepared").alias("error"))
     surplus = now.where(F.col("path").startswith(REFERENCES)).join(recorded, [*KEYS, "path"], "left_anti").select(*KEYS, F.lit("the attachments aren't those prepared").alias("error"))
-    made = materialised(files.with_contents(outputs, KEYS))
+    made = materialised(files.with_digests(outputs, KEYS))
     none = rows.select(*KEYS).join(made.select(*KEYS), KEYS, "left_anti").select(*KEYS, F.lit("output/ holds no deliverable").alias("error"))
     odd = made.where(~F.col("suffix").isin(*DELIVERABLE_SUFFIXES)).select(*KEYS, F.lit("output/ may hold XLSX, DOCX, PPTX and PDF files only").alias("error"))
 
@@ -222,7 +229,7 @@ def expert_texts(spark: SparkSession, tasks: DataFrame, folder: Path, fetch: dow
         except (Invalid, OSError, ValueError) as e:
             failed.append((t["ordinal"], str(e) if type(e) is Invalid else type(e).__name__))
     paths = spark.createDataFrame(rows, "ordinal int, path string, full string")
-    found = bundle(office.extract(files.with_contents(paths, ["ordinal"]), ["ordinal"]), ["ordinal"], error="error")
+    found = bundle(office.extract(files.with_digests(paths, ["ordinal"]), ["ordinal"]), ["ordinal"], error="error")
     text = F.regexp_replace(F.col("bundle"), r"(?m)^\[文件 [0-9]{6}\.[^\]\n]*\]\n", "")
     bad = spark.createDataFrame(failed, "ordinal int, error string")
     return found.join(bad, "ordinal", "left_anti").select("ordinal", text.alias("expert"), "error").unionByName(bad.select("ordinal", F.lit(None).cast("string").alias("expert"), "error"))

@@ -54,19 +54,29 @@ def table(header: list[str], rows: list[list[str]]) -> list[str]:
     return ["| " + " | ".join(r) + " |" for r in (header, ["---"] * len(header), *rows)]
 
 
+NOTES = """\
+- Rubric points: at most 5 for each task. Win rate: share of tasks on which the judge preferred the product to the expert; half a point for a tie.
+- A product gets totals and a rank once all its tasks are graded or marked as failed; a failed task is worth nothing.
+- `—` stands for what isn't known. A 0 was entered or earned.
+- The judge reads extracted text: layout, images, charts and live formulas need a person's eye.
+- Seconds and tokens are those entered for the product; `scores.csv` has costs of judging, notes and digests."""
+
+
 def markdown(path: Path, board: list, scores: list, task_count: int, modes: tuple[str, ...], model: str) -> None:
-    lines = [
-        "# Evaluation report", "", f"Judge: `{model}`; modes: {', '.join(modes)}.",
-        f"{task_count} tasks a product; a rubric gives up to 5 points a task, {5 * task_count} in all. Pairwise is the rate of wins against the expert, a tie counting half.",
-        "Products are ranked by rubric total, or by win rate if only that was run; equal scores share a rank. Products that aren't complete have no total and no rank. "
-        "A failed task counts 0; blank means unknown, 0 a confirmed value. Texts are judged, not looks.", "", "## Leaderboard", "",
+    """The report for people: what was judged by whom, the ranking, every task, how to read them."""
+    best = {"rubric": f"rubric points of {5 * task_count}", "pairwise": "win rate against the expert"}
+    ranking = [
+        {
+            "rank": cell(r["rank"]), "product": r["product"], "graded": f"{r['scored_tasks']} of {task_count}", best["rubric"]: cell(r["rubric_total"]),
+            best["pairwise"]: percent(r["pairwise_win_rate"]), "seconds": cell(r["elapsed_seconds_total"]), "tokens": cell(r["tokens_total"]),
+        }
+        for r in board
     ]
-    lines += table(
-        ["rank", "product", "scored", "rubric total", "win rate", "seconds", "tokens"],
-        [[cell(r["rank"]), r["product"], f"{r['scored_tasks']}/{task_count}", cell(r["rubric_total"]), percent(r["pairwise_win_rate"]), cell(r["elapsed_seconds_total"]), cell(r["tokens_total"])] for r in board],
-    )
-    lines += ["", "## Tasks", ""]
-    names = ["product", "task", "status", "rubric_score", "pairwise_score", "elapsed_seconds", "tokens"]
-    lines += table(names, [[cell(r[c]) for c in names] for r in scores])
+    each = [{c: cell(r[c]) for c in ("product", "task", "status", "rubric_score", "pairwise_score", "elapsed_seconds", "tokens")} for r in scores]
+    sections = [("Ranking", ranking), ("Every task", each)]
+    text = [f"# {len(board)} products on {task_count} tasks", f"Judged by `{model}` ({' and '.join(best[m] for m in modes)}; ranked by the first)."]
+    for title, rows in sections:
+        text += [f"## {title}", "\n".join(table(list(rows[0]), [list(r.values()) for r in rows])) if rows else "Nothing."]
+    text += ["## How to read this", NOTES]
     path.parent.mkdir(parents=True, exist_ok=True)
-    replace_whole(path, "\n".join(lines) + "\n")
+    replace_whole(path, "\n\n".join(text) + "\n")

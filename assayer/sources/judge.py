@@ -105,6 +105,7 @@ def ask_all(requests: DataFrame, judge: Judge, key: str = "key") -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            replies = []
             for row in batch.to_dict("records"):
                 out = {"key": row[key], "reply": None, "cost": 0.0, "provider": None, "error": None}
                 try:
@@ -114,6 +115,7 @@ def ask_all(requests: DataFrame, judge: Judge, key: str = "key") -> DataFrame:
                     out["error"] = str(e)
                 except Exception as e:  # noqa: BLE001  only its kind may be shown
                     out["error"] = type(e).__name__
-                yield pd.DataFrame([out])
+                replies.append(out)
+            yield pd.DataFrame(replies, columns=["key", "reply", "cost", "provider", "error"])
 
     return requests.select(key, "prompt", "system").mapInPandas(run, "key string, reply string, cost double, provider string, error string")

@@ -6,10 +6,12 @@ contents. XML is read without entities or document types.
 
 from __future__ import annotations
 
+import hashlib
 import io
 import posixpath
 from collections.abc import Callable, Iterator
 from datetime import datetime, timedelta
+from pathlib import Path
 from xml.etree import ElementTree
 from zipfile import ZipFile
 
@@ -174,18 +176,33 @@ def read_lines(suffix: str, raw: bytes, readers: dict = READERS) -> tuple[list[s
         return [], f"{suffix}: can't be parsed ({type(e).__name__})"
 
 
+def _contents(row: dict) -> bytes:
+    """A row's file: its content, or what is at its full path and still has the digest found before."""
+    if row.get("content") is not None:
+        return row["content"]
+    raw = Path(row["full"]).read_bytes()
+    if hashlib.sha256(raw).hexdigest() != row["sha256"]:
+        raise Unreadable("a file was changed while it was read")
+    return raw
+
+
 def extract(files: DataFrame, keys: list[str], max_chars: int = MAX_CHARS, readers: dict | None = None) -> DataFrame:
-    """keys, path, text, error of files(keys, path, suffix, content). Texts but plain ones are cut at max_chars.
+    """keys, path, text, error of files(keys, path, suffix, and full, sha256 or content). Texts but plain ones are cut at
+    max_chars.
 
-    Lines leave the reader as rows and meet again by file, so a task holds one file at a time.
+    With full paths only names cross to Python, and a task holds one file at a time; contents are for small files.
+    Lines leave the reader as rows and meet again by file.
     """
     schema = ", ".join(f"`{k}` {files.schema[k].dataType.simpleString()}" for k in keys) + ", path string, suffix string, at int, line string, error string"
-    own = files.select(*keys, "path", "suffix", "content")
+    own = files.select(*keys, "path", "suffix", *(["full", "sha256"] if "full" in files.columns else ["content"]))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.to_dict("records"):
-                lines, error = read_lines(row["suffix"], row["content"], readers or READERS)
+                try:
+                    lines, error = read_lines(row["suffix"], _contents(row), readers or READERS)
+                except (Unreadable, OSError) as e:
+                    lines, error = [], str(e) if type(e) is Unreadable else type(e).__name__
                 head = {k: row[k] for k in (*keys, "path", "suffix")}
                 yield pd.DataFrame([{**head, "at": i, "line": line, "error": error} for i, line in enumerate(lines or [""])])
 

@@ -14,6 +14,7 @@ from ..operators.scoring import latest_records
 from ..operators.validation import Invalid, metrics_violations, require_none, typed_metrics
 from ..schemas import MANIFEST, METRIC_FIELDS, VERDICT, fields
 from .files import replace_whole, safe_path
+from .shared import is_stored
 
 
 def read_manifest(spark: SparkSession, root: Path, products: list[str], identities: list[tuple[int, str]]) -> DataFrame:
@@ -46,7 +47,7 @@ def read_metrics(spark: SparkSession, path: Path, expected: DataFrame) -> DataFr
 
 def read_verdicts(spark: SparkSession, path: str) -> DataFrame:
     """The last verdict of each key in an append-only log of JSON lines; an absent log has none."""
-    if not Path(path).exists():
+    if not is_stored(spark, path):
         return spark.createDataFrame([], VERDICT)
     return latest_records(spark.read.schema(VERDICT).json(path), "key", ["seq"])
 

@@ -2,20 +2,34 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_base(spark: SparkSession) -> str:
+    """spark.checkpoint.dir. Where that is unset, a local folder takes its place, but only if all of Spark is on this machine."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if base:
+        return base.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="assayer-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
+def is_stored(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at a path, in whatever file system the path names."""
+    own = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return own.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(own)
 
 
 def materialised(df: DataFrame) -> DataFrame:
-    """df, written to spark.checkpoint.dir and read again: computed once, its plan ends there, and lost executors
-    don't take it along. Only where the setting is missing, as in tests, a local folder takes its place."""
+    """df, written to the shared folder and read again: computed once, its plan ends there, and lost executors don't
+    take it along."""
     spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="assayer-"))
-        base = spark.sparkContext.getCheckpointDir()
-    path = f"{base.rstrip('/')}/step-{uuid.uuid4().hex}"
+    path = f"{shared_base(spark)}/step-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
