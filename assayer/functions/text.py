@@ -61,6 +61,20 @@ def path_steps(name: str) -> list[str] | None:
     return None if odd else steps or None
 
 
+def under(path: Column, folder: str) -> Column:
+    """Whether a path lies in a folder, by its beginning: the filter reaches the scan."""
+    return path.startswith(folder)
+
+
+def cut(c: Column, most: int) -> Column:
+    return F.substring(c, 1, most)
+
+
+def reaches(c: Column, most: int) -> Column:
+    """Whether a text is as long as it may be: what was cut can't be told from what just fits."""
+    return F.length(c) >= most
+
+
 def folded(c: Column) -> Column:
     """For comparison without case; upper case first, so that one letter and its two-letter form agree."""
     return F.lower(F.upper(c))

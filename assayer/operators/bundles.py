@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.digests import canonical_map, fingerprint
-from ..functions.text import is_blank, path_key
+from ..functions.text import is_blank, path_key, reaches
 from ..schemas import MAX_CHARS
 
 
@@ -21,7 +21,7 @@ def bundle(files: DataFrame, keys: list[str], path: str = "path", text: str = "t
     chunk = F.concat(F.lit("[文件 "), F.col(path), F.lit("]\n"), F.coalesce(text, F.lit("")))  # a fixed value of the format
     wrong = (
         F.when(own.isNotNull(), own).when(is_blank(F.col(text)), "a file has no text")
-        .when(F.length(text) >= max_chars, "a file's text reaches the limit")
+        .when(reaches(F.col(text), max_chars), "a file's text reaches the limit")
     )
     marked = files.select(*keys, path_key(F.col(path)).alias("__key"), chunk.alias("__chunk"), wrong.alias("__wrong"))
     sums = marked.groupBy(*keys).agg(F.sum(F.length("__chunk")).alias("__chars"), F.count(F.lit(1)).alias("__n"), F.min_by("__wrong", F.when(F.col("__wrong").isNotNull(), F.col("__key"))).alias("__first"))

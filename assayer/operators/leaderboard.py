@@ -36,6 +36,11 @@ def product_totals(
     )
 
 
+def any_error(rows: DataFrame, keys: list[str], status: str = "status", error: str = "error") -> DataFrame:
+    """keys, failed: whether a row is an error; without keys, of all rows."""
+    return rows.groupBy(*keys).agg(F.coalesce(F.bool_or(F.col(status) == error), F.lit(False)).alias("failed"))
+
+
 def competition_rank(score: Column) -> Column:
     """1, 1, 3: ties share the better rank; a null score has none. Over products, which are few."""
     return F.when(score.isNotNull(), F.rank().over(Window.orderBy(score.desc_nulls_last())))

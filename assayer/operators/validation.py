@@ -58,8 +58,10 @@ def not_contiguous(tasks: DataFrame, ordinal: str = "ordinal") -> DataFrame:
 def metrics_violations(staged: DataFrame, expected: DataFrame) -> DataFrame:
     """Violations of staged metrics rows, all text and stripped, against expected(product, task).
 
-    A row may break several rules. A session belongs to one row of its product, whatever the row's status.
+    A row may break several rules. A session belongs to one row of its product, whatever the row's status. Where the
+    rows have a record, its number in the file goes before the detail.
     """
+    at = F.concat(F.lit("record "), F.col("record").cast("string"), F.lit(": ")) if "record" in staged.columns else F.lit("")
     task = parse_ordinal(F.col("task"))
     rows = staged.withColumn("__task", task)
     key = F.concat_ws("/", "product", "task")
@@ -72,7 +74,7 @@ def metrics_violations(staged: DataFrame, expected: DataFrame) -> DataFrame:
     ]
     each = rows.select(
         key.alias("key"),
-        F.explode(F.array_compact(F.array(*[F.when(wrong, F.struct(F.lit(rule).alias("rule"), F.substring(F.col(c), 1, 80).alias("detail"))) for rule, wrong, c in ruled]))).alias("v"),
+        F.explode(F.array_compact(F.array(*[F.when(wrong, F.struct(F.lit(rule).alias("rule"), F.concat(at, F.coalesce(F.substring(F.col(c), 1, 80), F.lit(""))).alias("detail"))) for rule, wrong, c in ruled]))).alias("v"),
     ).select("v.rule", "key", "v.detail")
     keyed = rows.where("__task is not null").select("product", F.col("__task").alias("task"))
     sessions = rows.where(F.coalesce("session", F.lit("")) != "")
@@ -96,6 +98,11 @@ def attachment_collisions(names: DataFrame, task: str = "ordinal", name: str = "
     return repeated(names, "attachments of a task need different names", F.col(task), folded(basename(F.col(name))))
 
 
+def covered_inputs(paths: DataFrame, task: str = "ordinal", path: str = "path") -> DataFrame:
+    """Inputs of one task that would lie over one another in its packet."""
+    return repeated(paths, "an input of a task lies over another", F.col(task), F.col(path))
+
+
 def unsafe_paths(paths: DataFrame, path: str = "path") -> DataFrame:
     return violations(paths.where(~is_safe_path(F.col(path))), "paths must stay in their folder", F.col(path))
 

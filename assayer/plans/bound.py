@@ -96,9 +96,9 @@ def flagship_leaderboard(spark, sf_dir):
 # ---------------------------------------------------------------- sources
 
 
-@query("s1_projected_scan", "SELECT doc_id, lang, source FROM documents WHERE lang = 'en'")
+@query("s1_projected_scan", "SELECT doc_id, lang, source FROM documents")
 def s1(spark, sf_dir):
-    return read(spark, sf_dir, "documents").where("lang = 'en'").select("doc_id", "lang", "source")
+    return read(spark, sf_dir, "documents").select("doc_id", "lang", "source")
 
 
 _WS = r"[\t\n\x0b\f\r \x1c-\x1f\x85\p{Z}]"
@@ -110,10 +110,16 @@ def s2(spark, sf_dir):
     return bank.ordered_lines(read(spark, sf_dir, "documents"), ["doc_id"], "text").withColumnRenamed("line", "id").withColumn("ordinal", F.col("ordinal").cast("bigint"))
 
 
-@query("s3_json_items", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS score FROM events")
+@query(
+    "s3_json_items",
+    """SELECT event_id, unnest(['k', 'cut']) AS item_id, unnest([event_type || ' twice', 'b']) AS criterion,
+    unnest([CAST(json_extract_string(props, '$.k') AS BIGINT), -2]) AS score FROM events""",
+)
 def s3(spark, sf_dir):
-    kind = T.StructType([T.StructField("k", T.StringType())])
-    return read(spark, sf_dir, "events").select("event_id", numbers.parse_score(F.from_json("props", kind)["k"]).alias("score"))
+    k = F.get_json_object("props", "$.k")
+    item = F.concat(F.lit('[{"rubric_item_id": "k", "criterion": "  '), "event_type", F.lit('  twice ", "score": "'), k, F.lit('"}, {"rubric_item_id": "cut", "criterion": "b", "score": -2.7}]'))
+    rubrics = bank.with_rubric(read(spark, sf_dir, "events").select("event_id", item.alias("rubric_json")))
+    return bank.task_items(rubrics, ["event_id"])
 
 
 @query("s9_content_digest", "SELECT doc_id, sha256(text) AS sha256 FROM documents")
@@ -134,14 +140,14 @@ def p2(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", digests.sha256_hex(text.collapse(F.col("text"))).alias("digest"))
 
 
-@query("p3_positive_scores", f"WITH {_ITEMS} SELECT task, count(*) AS n, CAST(sum(score) AS BIGINT) AS total FROM items WHERE score > 0 GROUP BY task")
+@query("p3_positive_scores", f"WITH {_ITEMS} SELECT task, CAST(sum(score) AS BIGINT) AS total FROM items WHERE score > 0 GROUP BY task")
 def p3(spark, sf_dir):
-    return items(spark, sf_dir).where("score > 0").groupBy("task").agg(F.count(F.lit(1)).alias("n"), F.sum("score").alias("total"))
+    return scoring.item_sums(items(spark, sf_dir), ["task"]).where("total > 0").select("task", "total")
 
 
-@query("p4_met_scores", f"WITH {_ITEMS} SELECT task, score, count(*) AS n FROM items WHERE met GROUP BY ALL")
+@query("p4_met_scores", f"WITH {_ITEMS} SELECT task, flag, CAST(coalesce(sum(score) FILTER (met), 0) AS BIGINT) AS earned FROM items GROUP BY task, flag")
 def p4(spark, sf_dir):
-    return items(spark, sf_dir).where("met").groupBy("task", "score").agg(F.count(F.lit(1)).alias("n"))
+    return scoring.item_sums(items(spark, sf_dir), ["task", "flag"]).select("task", "flag", "earned")
 
 
 @query("p5_limit_mask", "SELECT o_orderkey AS task, CASE WHEN o_orderkey > 5000 THEN 'not_evaluated' WHEN o_orderstatus = 'O' THEN 'failed' WHEN o_orderstatus = 'F' THEN 'judge' ELSE 'left' END AS route FROM orders")
@@ -173,12 +179,12 @@ def p9(spark, sf_dir):
 
 @query("p10_known_metric", f"WITH {_ATTEMPTS} SELECT product, count(elapsed_seconds) AS known FROM attempts GROUP BY product")
 def p10(spark, sf_dir):
-    return attempts(spark, sf_dir).groupBy("product").agg(F.count("elapsed_seconds").alias("known"))
+    return leaderboard.product_totals(attempts(spark, sf_dir), ("rubric",)).select("product", F.col("elapsed_seconds_recorded").alias("known"))
 
 
 @query("p11_prefix_filter", "SELECT page_id, url FROM pages WHERE starts_with(url, 'http://the')")
 def p11(spark, sf_dir):
-    return read(spark, sf_dir, "pages").where(F.col("url").startswith("http://the")).select("page_id", "url")
+    return read(spark, sf_dir, "pages").where(text.under(F.col("url"), "http://the")).select("page_id", "url")
 
 
 @query("p12_row_merge", f"WITH {_ITEMS}, {_SUMS} SELECT o_orderkey AS task, coalesce(total, 0) AS total, coalesce(earned, 0) AS earned, o_orderstatus AS status FROM orders LEFT JOIN sums ON task = o_orderkey")
@@ -197,9 +203,20 @@ def p15(spark, sf_dir):
 # ---------------------------------------------------------------- joins
 
 
-@query("j1_list_join_bank", "SELECT l.doc_id, d.lang, l.quality FROM labels l JOIN documents d USING (doc_id)")
+@query(
+    "j1_list_join_bank",
+    """SELECT doc_id AS ordinal, CAST(doc_id AS VARCHAR) AS task_id, lang AS occupation, source AS prompt, 'i' AS item_id, lang AS criterion, doc_id AS score
+    FROM (SELECT DISTINCT doc_id FROM labels) JOIN documents USING (doc_id)""",
+)
 def j1(spark, sf_dir):
-    return read(spark, sf_dir, "labels").join(read(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id").select("doc_id", "lang", "quality")
+    none = F.array().cast("array<string>")
+    rubric = F.concat(F.lit('[{"rubric_item_id": "i", "criterion": " '), "lang", F.lit(' ", "score": "'), "doc_id", F.lit('"}]'))
+    questions = read(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("task_id"), rubric.alias("rubric_json"), F.col("lang").alias("occupation"), F.col("source").alias("prompt"),
+        *[none.alias(c) for c in ("deliverable_file_urls", "deliverable_files", "reference_files", "reference_file_urls")],
+    )
+    ids = read(spark, sf_dir, "labels").select(F.col("doc_id").alias("ordinal"), F.col("doc_id").cast("string").alias("task_id")).distinct()
+    return bank.task_items(bank.tasks(ids, questions), ["ordinal", "task_id", "occupation", "prompt"])
 
 
 @query("j2_products_by_tasks", "SELECT r_name AS product, n_nationkey AS task FROM region CROSS JOIN nation")
@@ -207,13 +224,12 @@ def j2(spark, sf_dir):
     return bank.packets(read(spark, sf_dir, "region").select(F.col("r_name").alias("product")), read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("task")))
 
 
-@query("j3_strict_zip", "SELECT a.n_nationkey AS ordinal, a.n_name AS name, b.s_name AS url FROM nation a JOIN (SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey < 25) b ON a.n_nationkey = b.s_suppkey")
+@query("j3_strict_zip", "SELECT c_nationkey AS nation, CAST(row_number() OVER (PARTITION BY c_nationkey, c_mktsegment, c_custkey // 100 ORDER BY c_custkey) - 1 AS INTEGER) AS ordinal, c_name AS name, c_custkey AS url FROM customer")
 def j3(spark, sf_dir):
-    urls = read(spark, sf_dir, "supplier").where("s_suppkey < 25").agg(F.array_sort(F.collect_list(F.struct("s_suppkey", "s_name"))).alias("u"))
-    names = read(spark, sf_dir, "nation").agg(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))).alias("n"))  # 25 rows each
-    both = names.join(urls, F.lit(True)).select(F.transform("n", lambda x: x["n_name"]).alias("names"), F.transform("u", lambda x: x["s_name"]).alias("urls"))
-    zipped = bank.strict_zip(both, "names", "urls")
-    return zipped.select(F.col("ordinal").cast("int").alias("ordinal"), F.col("left").alias("name"), F.col("right").alias("url"))
+    # the customers of a nation, segment and hundred: short lists, over the whole table
+    own = read(spark, sf_dir, "customer").groupBy("c_nationkey", "c_mktsegment", F.expr("c_custkey div 100")).agg(F.array_sort(F.collect_list(F.struct("c_custkey", "c_name"))).alias("x"))
+    both = own.select(F.transform("x", lambda x: F.struct(F.col("c_nationkey").alias("nation"), x["c_name"].alias("name"))).alias("names"), F.transform("x", lambda x: x["c_custkey"]).alias("urls"))
+    return bank.strict_zip(both, "names", "urls").select("left.nation", F.col("ordinal").cast("int").alias("ordinal"), "left.name", F.col("right").alias("url"))
 
 
 @query("j3_strict_zip_lines", "SELECT l_orderkey AS task, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) - 1 AS INTEGER) AS ordinal, l_linenumber AS line, l_partkey AS part FROM lineitem")
@@ -226,7 +242,8 @@ def j3_lines(spark, sf_dir):
 @query("j4_metrics_lookup", "SELECT o_custkey AS product, o_orderkey AS task, c_name AS session FROM orders JOIN customer ON o_custkey = c_custkey")
 def j4(spark, sf_dir):
     c = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("product"), F.col("c_name").alias("session"))
-    return read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("product"), F.col("o_orderkey").alias("task")).join(c, "product").select("product", "task", "session")
+    o = read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("product"), F.col("o_orderkey").alias("task"))
+    return bank.with_metrics(o, c, ["product"]).select("product", "task", "session")
 
 
 @query("j5_cache_misses", "SELECT doc_id AS key FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -239,22 +256,27 @@ def j5_hits(spark, sf_dir):
     return scoring.reused(read(spark, sf_dir, "documents").select(F.col("doc_id").alias("key")), read(spark, sf_dir, "labels").select(F.col("doc_id").alias("key"), "quality"))
 
 
-@query("j6_task_items", "SELECT o_orderkey AS task, l_linenumber AS line, count(*) AS n FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL")
+@query("j6_task_items", f"WITH {_ITEMS} SELECT task, flag AS item_id, score, met AS criterion FROM items")
 def j6(spark, sf_dir):
-    li = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("task"), F.col("l_linenumber").alias("line"))
-    return read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("task")).join(li, "task").groupBy("task", "line").agg(F.count(F.lit(1)).alias("n"))
+    # an order's rubric is its lines, a few for each
+    item = F.struct(F.col("flag").alias("item_id"), F.col("met").alias("criterion"), "score")
+    rubrics = items(spark, sf_dir).groupBy("task").agg(F.collect_list(item).alias("rubric"))
+    return bank.task_items(rubrics, ["task"])
 
 
-@query("j7_changed_files", "SELECT CAST(d.doc_id AS VARCHAR) AS task, d.source AS path FROM documents d LEFT JOIN labels l USING (doc_id) WHERE l.doc_id IS NULL OR l.quality = 0")
+@query("j7_changed_files", "SELECT CAST(doc_id AS VARCHAR) AS task, source AS path FROM documents WHERE doc_id % 3 = 0 OR doc_id % 5 = 1")
 def j7(spark, sf_dir):
-    recorded = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("task"), F.col("source").alias("path"), F.sha2("text", 256).alias("sha256"))
-    now = read(spark, sf_dir, "labels").where("quality = 1").select(F.col("doc_id").cast("string").alias("task")).join(recorded, "task")
+    d = read(spark, sf_dir, "documents")
+    task, path = F.col("doc_id").cast("string").alias("task"), F.col("source").alias("path")
+    recorded = d.select(task, path, digests.sha256_hex(F.col("text")).alias("sha256"))
+    # of every third file nothing is left; every fifth has other contents
+    now = d.where("doc_id % 3 <> 0").select(task, path, digests.sha256_hex(F.concat("text", F.when(F.col("doc_id") % 5 == 1, "!").otherwise(""))).alias("sha256"))
     return validation.changed_files(recorded, now, ["task"])
 
 
-@query("j8_rows_of_product", "SELECT source AS product, count(*) AS rows FROM documents GROUP BY source")
+@query("j8_rows_of_product", "SELECT o_custkey AS product, count(*) AS rows FROM orders GROUP BY o_custkey")
 def j8(spark, sf_dir):
-    return read(spark, sf_dir, "documents").groupBy(F.col("source").alias("product")).agg(F.count(F.lit(1)).alias("rows"))
+    return leaderboard.product_totals(attempts(spark, sf_dir), ("rubric",)).select("product", F.col("total_tasks").alias("rows"))
 
 
 _DIFF = "SELECT '{r}: missing' AS rule, CAST(doc_id AS VARCHAR) AS key, NULL AS detail FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) UNION ALL SELECT '{r}: unexpected', CAST(doc_id AS VARCHAR), NULL FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents)"
@@ -280,7 +302,7 @@ def a3(spark, sf_dir):
 
 @query("a4_judge_cost", f"WITH {_ITEMS} SELECT task, sum(cost) AS cost FROM items GROUP BY task")
 def a4(spark, sf_dir):
-    return items(spark, sf_dir).groupBy("task").agg(F.sum("cost").alias("cost"))
+    return scoring.item_sums(items(spark, sf_dir), ["task"], cost="cost").select("task", "cost")
 
 
 @query("a5_a7_completeness", f"WITH {_BOARD} SELECT product, scored_tasks, total_tasks, CASE WHEN scored_tasks = total_tasks THEN round_even(s, 3) END AS rubric_total FROM board")
@@ -338,7 +360,7 @@ def a14(spark, sf_dir):
 
 @query("a15_any_error", "SELECT o_custkey AS product, bool_or(o_orderstatus = 'P') AS failed FROM orders GROUP BY o_custkey")
 def a15(spark, sf_dir):
-    return read(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("product")).agg(F.bool_or(F.col("o_orderstatus") == "P").alias("failed"))
+    return leaderboard.any_error(read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("product"), F.col("o_orderstatus").alias("status")), ["product"], error="P")
 
 
 @query("a16_cell_limit", "SELECT l_orderkey AS book, count(*) AS n FROM lineitem GROUP BY l_orderkey HAVING count(*) > 7")
@@ -392,9 +414,18 @@ def o5(spark, sf_dir):
     return bank.first_tasks(read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("task")), 20, "task")
 
 
-@query("u2_attachment_sets", _DIFF.format(r="attachments"))
+_PATHS = "SELECT DISTINCT CAST(l_orderkey AS VARCHAR) || '/' || l_linenumber AS key FROM lineitem WHERE l_linestatus = '{s}'"
+
+
+@query(
+    "u2_attachment_sets",
+    f"""WITH f AS ({_PATHS.format(s="F")}), o AS ({_PATHS.format(s="O")})
+    SELECT 'attachments: missing' AS rule, key, NULL AS detail FROM (SELECT key FROM f EXCEPT SELECT key FROM o)
+    UNION ALL SELECT 'attachments: unexpected', key, NULL FROM (SELECT key FROM o EXCEPT SELECT key FROM f)""",
+)
 def u2(spark, sf_dir):
-    return validation.set_difference(read(spark, sf_dir, "documents").select("doc_id"), read(spark, sf_dir, "labels").select("doc_id"), ["doc_id"], "attachments")
+    paths = lambda s: read(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == s).select("l_orderkey", "l_linenumber").distinct()
+    return validation.set_difference(paths("F"), paths("O"), ["l_orderkey", "l_linenumber"], "attachments")
 
 
 @query("u5_product_rows", "SELECT o_orderkey AS task, o_orderstatus AS status FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'O'")
@@ -473,7 +504,7 @@ def f15(spark, sf_dir):
 @query("f18_f19_caps", "SELECT doc_id, length(substr(text, 1, 1000)) AS kept, length(text) >= 1000 AS full, length(text) > 1000 AS over FROM documents")
 def f18(spark, sf_dir):
     t = F.col("text")
-    return read(spark, sf_dir, "documents").select("doc_id", F.length(F.substring(t, 1, 1000)).cast("bigint").alias("kept"), (F.length(t) >= 1000).alias("full"), (F.length(t) > 1000).alias("over"))
+    return read(spark, sf_dir, "documents").select("doc_id", F.length(text.cut(t, 1000)).cast("bigint").alias("kept"), text.reaches(t, 1000).alias("full"), (F.length(t) > 1000).alias("over"))
 
 
 @query("f20_blank_texts", rf"SELECT doc_id, text IS NULL OR regexp_replace(text, '^{_WS}+|{_WS}+$', '', 'g') = '' AS blank FROM documents")
@@ -487,6 +518,32 @@ def f21(spark, sf_dir):
     return read(spark, sf_dir, "benchmark").select("item_id", digests.sha256_hex(p).alias("digest"))
 
 
+@query("f21_pairwise_prompt", "SELECT item_id, sha256('[Task]' || chr(10) || 't' || chr(10) || chr(10) || '[Reference material, evidence only]' || chr(10) || 'r' || chr(10) || chr(10) || '[Deliverable A]' || chr(10) || CASE WHEN item_id % 2 = 0 THEN text ELSE 'gold' END || chr(10) || chr(10) || '[Deliverable B]' || chr(10) || CASE WHEN item_id % 2 = 0 THEN 'gold' ELSE text END || chr(10) || chr(10) || 'Which is better as a whole?') AS digest FROM benchmark")
+def f21_pairwise(spark, sf_dir):
+    p = prompts.pairwise_prompt(F.lit("t"), F.lit("r"), F.col("text"), F.lit("gold"), F.col("item_id") % 2 == 0)
+    return read(spark, sf_dir, "benchmark").select("item_id", digests.sha256_hex(p).alias("digest"))
+
+
+def _form(x: str) -> str:
+    return f"'s' || strlen({x}) || ':' || {x}"
+
+
+@query(
+    "f3_task_signature",
+    f"""SELECT p_partkey AS ordinal, sha256('a9[' || {_form("CAST(p_partkey AS VARCHAR)")} || {_form("p_name")} || {_form("p_brand")} || {_form("p_type")}
+    || 'a1[' || 's1:i' || {_form("p_brand")} || {_form("CAST(p_size AS VARCHAR)")} || ']' || 'a1[' || {_form("p_name")} || ']' || 'a0[]'
+    || 'a2[' || {_form("p_type")} || {_form("p_brand")} || ']' || 'n' || ']') AS signature FROM part""",
+)
+def f3(spark, sf_dir):
+    item = F.struct(F.lit("i").alias("item_id"), F.col("p_brand").alias("criterion"), F.col("p_size").alias("score"))
+    tasks = read(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("ordinal"), F.col("p_name").alias("task_id"), F.col("p_brand").alias("occupation"), F.col("p_type").alias("prompt"),
+        F.array(item).alias("rubric"), F.array("p_name").alias("gold_urls"), F.array().cast("array<string>").alias("gold_names"),
+        F.array("p_type", "p_brand").alias("reference_names"), F.lit(None).cast("array<string>").alias("reference_urls"),
+    )
+    return tasks.select("ordinal", digests.task_signature().alias("signature"))
+
+
 @query("f24_https_urls", "SELECT page_id, starts_with(lower(url), 'https://') AND length(url) > 8 AS https FROM pages")
 def f24(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", text.is_https(F.col("url")).alias("https"))
@@ -506,6 +563,33 @@ def v5(spark, sf_dir):
     return validation.attachment_collisions(names)
 
 
+@query("v1_id_list", "SELECT 'task ids are distinct' AS rule, source AS key, CAST(count(*) AS VARCHAR) AS detail FROM documents GROUP BY source HAVING count(*) > 1")
+def v1(spark, sf_dir):
+    return bank.id_violations(read(spark, sf_dir, "documents").select(F.col("source").alias("task_id")))
+
+
+@query("v2_listed_ids", "SELECT 'every listed task is in the bank' AS rule, CAST(doc_id AS VARCHAR) AS key, NULL AS detail FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def v2(spark, sf_dir):
+    ids = lambda name: read(spark, sf_dir, name).select(F.col("doc_id").cast("string").alias("task_id"))
+    return bank.unlisted(ids("documents"), ids("labels"))
+
+
+@query("v6_covered_inputs", "SELECT 'an input of a task lies over another' AS rule, l_orderkey || '/reference_files/' || l_linenumber AS key, CAST(count(*) AS VARCHAR) AS detail FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1")
+def v6(spark, sf_dir):
+    return validation.covered_inputs(read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("ordinal"), F.concat(F.lit("reference_files/"), F.col("l_linenumber").cast("string")).alias("path")))
+
+
+@query(
+    "v11_text_limits",
+    rf"""WITH c AS (SELECT *, '[文件 ' || printf('%04d', turn) || ']' || chr(10) || text AS chunk,
+        CASE WHEN text IS NULL OR regexp_replace(text, '^{_WS}+|{_WS}+$', '', 'g') = '' THEN 'a file has no text' WHEN length(text) >= 400 THEN 'a file''s text reaches the limit' END AS wrong FROM conversations)
+    SELECT conv_id, coalesce(arg_min(wrong, turn) FILTER (wrong IS NOT NULL), CASE WHEN sum(length(chunk)) + 2 * (count(*) - 1) > 400 THEN 'the files'' text exceeds the limit' END) AS error FROM c GROUP BY conv_id""",
+)
+def v11(spark, sf_dir):
+    files = read(spark, sf_dir, "conversations").select("conv_id", F.format_string("%04d", "turn").alias("path"), "text")
+    return bundles.bundle(files, ["conv_id"], max_chars=400).select("conv_id", "error")
+
+
 @query(
     "v8_metrics_rules",
     """WITH m AS (SELECT o_custkey, o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'failed' ELSE 'lost' END AS status,

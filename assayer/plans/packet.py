@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.digests import canonical_map, fingerprint
 from ..functions.numbers import round_exact, task_score
-from ..functions.text import path_steps
+from ..functions.text import basename, path_steps, under
 from ..operators import validation
 from ..operators.bundles import bundle, files_digest
 from ..operators.leaderboard import leaderboard
@@ -59,7 +59,8 @@ def prepare(spark: SparkSession, tasks: DataFrame, root: Path, products: list[st
     """
     rows = _listed(tasks)
     names = tasks.select("ordinal", F.explode("reference_names").alias("name"))
-    require_none(validation.attachment_collisions(names))
+    placed = names.select("ordinal", F.concat(F.lit(REFERENCES), basename(F.col("name"))).alias("path")).unionByName(tasks.select("ordinal", F.explode(F.array(F.lit("prompt.txt"), F.lit("START.txt"))).alias("path")))
+    require_none(validation.together(validation.attachment_collisions(names), validation.covered_inputs(placed)))
     root.mkdir(parents=True, exist_ok=True)
     identities = [(t["ordinal"], t["signature"]) for t in rows]
     if files.safe_path(root, "manifest.json").exists():
@@ -121,15 +122,15 @@ def evidence(spark: SparkSession, rows: DataFrame, manifest: DataFrame, root: Pa
     outputs, bad_outputs = files.packet_paths(spark, root, packets, "output")
     listing = spark.createDataFrame([(*k, e) for k, e in (bad_inputs | bad_outputs).items()], "product string, ordinal int, error string")
 
-    wanted = inputs.where(~F.col("path").startswith("output/"))
+    wanted = inputs.where(~under(F.col("path"), "output/"))
     now = materialised(files.with_digests(wanted, KEYS))
     changed = validation.changed_files(recorded, now, KEYS).select(*KEYS, F.lit("an input isn't what was prepared").alias("error"))
-    surplus = now.where(F.col("path").startswith(REFERENCES)).join(recorded, [*KEYS, "path"], "left_anti").select(*KEYS, F.lit("the attachments aren't those prepared").alias("error"))
+    surplus = now.where(under(F.col("path"), REFERENCES)).join(recorded, [*KEYS, "path"], "left_anti").select(*KEYS, F.lit("the attachments aren't those prepared").alias("error"))
     made = materialised(files.with_digests(outputs, KEYS))
     none = rows.select(*KEYS).join(made.select(*KEYS), KEYS, "left_anti").select(*KEYS, F.lit("output/ holds no deliverable").alias("error"))
     odd = made.where(~F.col("suffix").isin(*DELIVERABLE_SUFFIXES)).select(*KEYS, F.lit("output/ may hold XLSX, DOCX, PPTX and PDF files only").alias("error"))
 
-    attached = now.join(recorded.where(F.col("path").startswith(REFERENCES)).select(*KEYS, "path"), [*KEYS, "path"], "left_semi")
+    attached = now.join(recorded.where(under(F.col("path"), REFERENCES)).select(*KEYS, "path"), [*KEYS, "path"], "left_semi")
     document = bundle(office.extract(made.where(F.col("suffix").isin(*DELIVERABLE_SUFFIXES)), KEYS), KEYS, error="error")
     document, reference = materialised(document), materialised(bundle(office.extract(attached, KEYS), KEYS, error="error"))
     in_digest = recorded.groupBy(*KEYS).agg(fingerprint(canonical_map(F.map_from_entries(F.collect_list(F.struct("path", "sha256"))))).alias("input_digest"))
@@ -178,7 +179,7 @@ def evaluate(
     manifest = records.read_manifest(spark, root, products, [(t["ordinal"], t["signature"]) for t in listed])
     metrics = records.read_metrics(spark, files.safe_path(root, "metrics.csv"), _expected(spark, tasks, products))
     rows = (
-        _expected(spark, tasks, products).join(metrics.withColumnRenamed("task", "ordinal"), KEYS)
+        bank.with_metrics(_expected(spark, tasks, products), metrics.withColumnRenamed("task", "ordinal"), KEYS)
         .withColumn("route", route(F.col("status"), F.col("ordinal"), limit))
     )
     rows = materialised(rows)

@@ -25,12 +25,17 @@ def ordered_lines(df: DataFrame, keys: list[str], text: str) -> DataFrame:
     return df.select(*keys, F.posexplode(nonblank_lines(F.col(text))).alias("at", "line")).select(*keys, (F.col("at") + 1).alias("ordinal"), "line")
 
 
+def id_violations(ids: DataFrame, key: str = "task_id") -> DataFrame:
+    """An empty list, or an id that it has more than once."""
+    nothing = ids.agg(F.count(F.lit(1)).alias("n")).where("n = 0")
+    return together(violations(nothing, "the task list has ids", F.lit("list")), repeated(ids, "task ids are distinct", F.col(key)))
+
+
 def read_task_ids(spark: SparkSession, path: str) -> DataFrame:
     """(ordinal, task_id) of a list with one id a line."""
     whole = spark.read.text(path, wholetext=True)
     ids = ordered_lines(whole, [], "value").withColumnRenamed("line", "task_id")
-    nothing = ids.agg(F.count(F.lit(1)).alias("n")).where("n = 0")
-    require_none(together(violations(nothing, "the task list has ids", F.lit("list")), repeated(ids, "task ids are distinct", F.col("task_id"))))
+    require_none(id_violations(ids))
     return ids
 
 
@@ -41,6 +46,10 @@ def with_rubric(bank: DataFrame) -> DataFrame:
     return bank.withColumn("rubric", F.transform(raw, item))
 
 
+def unlisted(ids: DataFrame, bank: DataFrame) -> DataFrame:
+    return missing(ids, bank, ["task_id"], "every listed task is in the bank")
+
+
 def tasks(ids: DataFrame, bank: DataFrame) -> DataFrame:
     """One row a listed task, in the list's order by ordinal, with signature. A listed id without a row is an error.
 
@@ -48,7 +57,7 @@ def tasks(ids: DataFrame, bank: DataFrame) -> DataFrame:
     """
     found = with_rubric(ids.join(bank, "task_id"))
     bad = found.where(F.col("rubric").isNull() | F.exists("rubric", lambda x: x["score"].isNull()))
-    require_none(together(missing(ids, bank, ["task_id"], "every listed task is in the bank"), violations(bad, "a rubric's scores are numbers", F.col("task_id"))))
+    require_none(together(unlisted(ids, bank), violations(bad, "a rubric's scores are numbers", F.col("task_id"))))
     named = found.select(
         "ordinal", "task_id", "occupation", "prompt", "rubric", F.col("deliverable_file_urls").alias("gold_urls"), F.col("deliverable_files").alias("gold_names"),
         F.col("reference_files").alias("reference_names"), F.col("reference_file_urls").alias("reference_urls"),
@@ -66,6 +75,11 @@ def packets(products: DataFrame, tasks: DataFrame) -> DataFrame:
     return products.crossJoin(tasks)
 
 
+def with_metrics(packets: DataFrame, metrics: DataFrame, keys: list[str]) -> DataFrame:
+    """packets with what people entered for each; the keys of both are the same, as metrics are checked for that."""
+    return packets.join(metrics, keys)
+
+
 def strict_zip(df: DataFrame, left: str, right: str) -> DataFrame:
     """ordinal from 0, left, right: two arrays side by side; different lengths are an error, not nulls."""
     require_none(violations(df.where(F.size(left) != F.size(right)), "names and addresses come in pairs", F.size(left)))

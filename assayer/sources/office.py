@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import cut
 from ..schemas import MAX_CELLS, MAX_CHARS, MAX_PDF_PAGES
 
 W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
@@ -208,4 +209,4 @@ def extract(files: DataFrame, keys: list[str], max_chars: int = MAX_CHARS, reade
 
     lines = own.mapInPandas(run, schema).groupBy(*keys, "path", "suffix").agg(F.array_sort(F.collect_list(F.struct("at", "line"))).alias("l"), F.max("error").alias("error"))
     text = F.array_join(F.transform("l", lambda x: x["line"]), "\n")
-    return lines.select(*keys, "path", F.when(F.col("suffix") == "txt", text).otherwise(F.substring(text, 1, max_chars)).alias("text"), "error")
+    return lines.select(*keys, "path", F.when(F.col("suffix") == "txt", text).otherwise(cut(text, max_chars)).alias("text"), "error")

@@ -40,7 +40,9 @@ def read_metrics(spark: SparkSession, path: Path, expected: DataFrame) -> DataFr
     # the corrupt record alone can't be asked for
     if raw.agg(F.count_if(F.col("_corrupt_record").isNotNull()).alias("bad"), F.count("product").alias("n")).first()["bad"]:
         raise Invalid("metrics.csv has a row with too few or too many fields")
-    staged = raw.select(*[F.coalesce(strip(F.col(c)), F.lit("")).alias(c) for c in METRIC_FIELDS])
+    # a file with quoted line ends is read by one task, in order; the header is record 1
+    record = F.monotonically_increasing_id() + 2
+    staged = raw.select(*[F.coalesce(strip(F.col(c)), F.lit("")).alias(c) for c in METRIC_FIELDS], record.alias("record"))
     require_none(metrics_violations(staged, expected.select("product", F.col("ordinal").cast("bigint").alias("task"))))
     return typed_metrics(staged)
 
