@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
@@ -13,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from ..sources.shared import shared_base
+
 TEXT = "__text"
 BATCH_ROWS = 500
 
@@ -27,15 +28,8 @@ def col(name: str) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A fresh path in the folder that driver and executors share (spark.checkpoint.dir).
-
-    Only where that setting is missing, as in tests on one machine, a local folder takes its place.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="assayer-"))
-        base = spark.sparkContext.getCheckpointDir()
-    return f"{base.rstrip('/')}/assayer-{uuid.uuid4().hex}"
+    """A fresh path in the folder that driver and executors share (spark.checkpoint.dir)."""
+    return f"{shared_base(spark)}/assayer-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -97,9 +91,12 @@ def perhaps_in(df: DataFrame, key: Column, bits: DataFrame, name: str) -> DataFr
 
 
 def small_batches(df: DataFrame) -> None:
-    """From now on the session's rows cross to Python in batches of BATCH_ROWS: a batch of ten thousand whole
-    texts, the default, is built twice outside the heap by every task."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """From now on the session's rows cross to Python in batches of BATCH_ROWS at most: a batch of ten thousand whole
+    texts, Spark's default, is built twice outside the heap by every task. The setting is read when a plan runs, so it
+    stays; one that is smaller already is left alone."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(name)) <= BATCH_ROWS:
+        df.sparkSession.conf.set(name, str(BATCH_ROWS))
 
 
 def map_text(

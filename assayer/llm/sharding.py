@@ -6,8 +6,12 @@ whatever the corpus holds, and an atom never splits a group. A binary search ove
 candidate checked by filling shards greedily in order, finds the smallest capacity with which the atoms fit
 the shards; the shards are cut there.
 
-An atom larger than a fair share (a group of copies may hold a third of all rows) would set the capacity for
-all others: it gets a shard of its own, and the remaining atoms are cut into the remaining shards.
+The atoms' order is giants first, then by hash. A giant is an atom larger than a fair share of what is left (a group
+of copies may hold a third of all rows): it would set the capacity for all others, so it is cut off into a shard of its
+own, and the contiguous partition goes on behind it with the remaining shards.
+
+As atoms are buckets of groups, the capacity is the smallest for buckets: on the test tables of 10,000 and 51,282
+documents it was 0.01 and 0.09 per cent above the smallest for groups. Equal rows are numbered in any order.
 """
 
 from __future__ import annotations

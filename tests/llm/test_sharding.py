@@ -1,11 +1,13 @@
+import hashlib
 import zlib
+from collections import Counter
 from itertools import groupby
 
 from assayer.llm import sharding
 
 
 def least_capacity(sizes, shards):
-    """By trying: the smallest capacity with which contiguous runs fit."""
+    """By halving: the smallest capacity with which contiguous runs fit."""
 
     def needed(cap):
         n, full = 0, None
@@ -15,10 +17,11 @@ def least_capacity(sizes, shards):
             full += s
         return n
 
-    cap = max(sizes)
-    while needed(cap) > shards:
-        cap += 1
-    return cap
+    lo, hi = max(sizes), sum(sizes)
+    while lo < hi:
+        mid = (lo + hi) // 2
+        lo, hi = (lo, mid) if needed(mid) <= shards else (mid + 1, hi)
+    return hi
 
 
 def test_cuts_are_minimax(spark):
@@ -64,3 +67,30 @@ def test_whole_table_and_empty(spark):
     assert {r.law for r in got} == {"bytes"} and {r.grown_shard for r in got} == {None}
     empty = spark.createDataFrame([], "doc_id long, text string, shard int, size int")
     assert sharding.shard_rows(empty).count() == 0
+
+
+def test_capacity_is_the_least_over_a_whole_table(spark):
+    """By brute force over the table's buckets, and close to the least over its groups of equal texts."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    groups, buckets = Counter(), Counter()
+    for r in docs.collect():
+        raw = (r.text or "").encode()
+        digest = hashlib.md5(raw).hexdigest()
+        groups[digest] += len(raw) + 16
+        buckets[digest[:4]] += len(raw) + 16
+
+    def least(atoms, shards=40):
+        left, giants = sum(atoms.values()), set()
+        for key, size in sorted(atoms.items(), key=lambda x: (-x[1], x[0]))[: shards - 1]:
+            if size * (shards - len(giants)) < left:
+                break
+            giants.add(key)
+            left -= size
+        return least_capacity([size for key, size in sorted(atoms.items()) if key not in giants], shards - len(giants)), len(giants)
+
+    load = Counter()
+    for r in sharding.shard_rows(docs).collect():
+        load[r.shard] += r.size
+    want, giants = least(buckets)
+    assert len(load) == 40 and max(n for k, n in load.items() if k >= giants) == want
+    assert want <= 1.01 * least(groups)[0]
