@@ -32,6 +32,10 @@ ROWS_PER_CLASS = 3000
 LEAST_ROWS, LEAST_CHI2 = 4, 10.83
 #: The same among the rows that hold another term of the model; higher, as that many more pairs are tried.
 PAIR_CHI2 = 40.0
+#: A term in more than this part of the rows (1 / MOST_COMPANY) isn't tried as another's company.
+MOST_COMPANY = 2
+#: Rows of either label in which the term is expected to stand beside its company.
+LEAST_EXPECTED = 5
 #: Lengths of the beginnings of words that are terms beside the words.
 BEGINNINGS = (4, 5, 6, 7, 8)
 EPOCHS = 30
@@ -118,12 +122,16 @@ def partners(rows: list[np.ndarray], y: np.ndarray, active: np.ndarray) -> np.nd
     term, row = np.concatenate([*of, np.empty(0, dtype=np.int32)]), np.repeat(np.arange(len(rows)), [len(x) for x in of])
     order = np.argsort(term, kind="stable")
     found = np.zeros(BUCKETS, dtype=bool)
+    often = np.bincount(np.concatenate([*rows, np.empty(0, dtype=np.int32)]), minlength=BUCKETS) >= LEAST_ROWS
+    rows = [x[often[x]] for x in rows]
     for own in np.split(row[order], np.flatnonzero(np.diff(term[order])) + 1):
-        t = y[own].sum()
-        if min(t, len(own) - t) >= LEAST_ROWS:
+        n, t = len(own), y[own].sum()
+        # what stands in most texts is no company: beside it things are as they are by themselves
+        if min(t, n - t) >= LEAST_EXPECTED and n <= len(rows) / MOST_COMPANY:
             held = np.bincount(np.concatenate([rows[i] for i in own]), minlength=BUCKETS).astype(float)
             toxic = np.bincount(np.concatenate([rows[i] for i in own if y[i]]), minlength=BUCKETS)
-            found |= (held >= LEAST_ROWS) & (chi_squared(held, toxic, len(own), t) >= PAIR_CHI2)
+            enough = held * min(t, n - t) / n >= LEAST_EXPECTED  # below, chi-squared says nothing
+            found |= enough & (chi_squared(held, toxic, n, t) >= PAIR_CHI2)
     return np.flatnonzero(found)
 
 
