@@ -53,8 +53,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    path = public_tokenizers.path("word_bpe_49k.json")
-    both = bpe.bpe_decode(bpe.bpe_encode(docs, path), path)
+    both = bpe.bpe_round_trip(docs, public_tokenizers.path("word_bpe_49k.json"))
     return both.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
