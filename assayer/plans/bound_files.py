@@ -8,6 +8,8 @@ folder, which must be one that the driver's file system shows.
 from __future__ import annotations
 
 import io
+import json
+import urllib.error
 import uuid
 from pathlib import Path
 from zipfile import ZipFile
@@ -17,8 +19,9 @@ from pyspark.sql import functions as F
 
 from ..functions.digests import task_signature
 from ..functions.prompts import RUBRIC_SYSTEM
-from ..sources import bank, files, office, records
-from ..sources.judge import DeterministicJudge
+from ..operators.validation import Invalid
+from ..sources import bank, download, files, office, records
+from ..sources.judge import ChatJudge, DeterministicJudge, Reply, ask_all
 from ..sources.shared import shared_base
 from . import judging, packet, reports
 from .bound import query, read
@@ -52,6 +55,10 @@ def _fetched(url: str, to: Path) -> None:
     to.write_bytes(url.encode())
 
 
+def _unreachable(url: str, to: Path) -> None:
+    raise AssertionError("what is there isn't fetched again")
+
+
 def prepared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Path, list[str]]:
     own, at, names = tasks(spark, sf_dir), workspace(spark), products(spark, sf_dir)
     packet.prepare(spark, own, at / "packets", names, at / "downloads", _fetched)
@@ -204,6 +211,12 @@ def s10(spark, sf_dir):
 )
 def k1(spark, sf_dir):
     own, root, names = prepared(spark, sf_dir)
+    for r in own.collect():  # packets of an older layout: the attachment in a folder of its own
+        for product in names[:: 1 + r["ordinal"] % 2]:
+            nested = root / product / f"t_{r['ordinal']:02d}/reference_files/deep"
+            nested.mkdir()
+            (nested / f"{r['task_id']}.txt").write_text(r["reference_urls"][0])
+    packet.prepare(spark, own, root, names, root.parent / "downloads", _unreachable)
     keys = [(p, r["ordinal"]) for p in names for r in own.select("ordinal").collect()]
     found, _ = files.packet_paths(spark, root, keys, "")
     return files.with_digests(found, packet.KEYS).select("product", "ordinal", "path", "sha256")
@@ -241,3 +254,95 @@ def v9(spark, sf_dir):
 def v12(spark, sf_dir):
     asked = read(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("key"), F.col("c_name").alias("prompt"), F.lit(RUBRIC_SYSTEM).alias("system"))
     return judging.judged(asked, "rubric", DeterministicJudge(), f"{shared_base(spark)}/log-{uuid.uuid4().hex}").select("key", "met", "error")
+
+
+@query(
+    "s16_s20_downloads",
+    """SELECT n_name AS name, least(n_nationkey % 5 + 1, 3) AS attempts, CASE WHEN n_nationkey % 5 < 3 THEN sha256('https://h/' || n_name) END AS sha256,
+    CASE WHEN n_nationkey % 5 >= 3 THEN 'an attachment can''t be fetched (HTTP 503)' END AS error FROM nation""",
+)
+def s16(spark, sf_dir):
+    folder, rows = workspace(spark), []
+    for r in read(spark, sf_dir, "nation").collect():
+        url, asked = f"https://h/{r['n_name']}", []
+
+        def fetch(own: str, to: Path) -> None:
+            asked.append(own)
+            if len(asked) <= r["n_nationkey"] % 5:
+                raise urllib.error.HTTPError(own, 503, "busy", None, None)
+            _fetched(own, to)
+
+        try:
+            to = folder / "kept" / r["n_name"]
+            download.download(url, to, fetch, sleep=lambda _: None)
+            again = download.cached(url, "name", folder, lambda u, p: p.write_bytes(to.read_bytes()))
+            same = download.cached(url, "name", folder, _unreachable)
+            rows.append((r["n_name"], len(asked), str(again) if again == same else None, None))
+        except Invalid as e:
+            rows.append((r["n_name"], len(asked), None, str(e)))
+    found = spark.createDataFrame(rows, "name string, attempts int, full string, error string")
+    digests = files.with_digests(found.where("full is not null").select("name", F.lit("x").alias("path"), "full"), ["name"])
+    return found.join(digests.select("name", "sha256"), "name", "left").select("name", "attempts", "sha256", "error")
+
+
+@query(
+    "s17_j10_expert_texts",
+    """SELECT n_nationkey + 1 AS ordinal, CASE n_nationkey % 4 WHEN 0 THEN 'one of ' || n_name WHEN 3 THEN 'one of ' || n_name || chr(10) || chr(10) || 'two of ' || n_name END AS expert,
+    CASE n_nationkey % 4 WHEN 1 THEN 'there is no expert deliverable' WHEN 2 THEN 'a file has no text' END AS error FROM nation""",
+)
+def s17(spark, sf_dir):
+    name, k = F.col("task_id"), F.col("ordinal") - 1
+    url = lambda word: F.concat(F.lit(f"https://h/{word}/"), name)
+    urls = F.when(k % 4 == 0, F.array(url("one"))).when(k % 4 == 1, F.array().cast("array<string>")).when(k % 4 == 2, F.array(url("none"))).otherwise(F.array(url("one"), url("two")))
+    own = tasks(spark, sf_dir).withColumn("gold_urls", urls).withColumn("gold_names", F.transform(urls, lambda u, i: F.concat(F.lit("deep/"), i.cast("string"), F.lit(".docx"))))
+
+    def fetch(address: str, to: Path) -> None:
+        word, of = address.removeprefix("https://h/").split("/")
+        to.write_bytes(docx([] if word == "none" else [f"{word} of {of}"]))
+
+    return packet.expert_texts(spark, own, workspace(spark), fetch)
+
+
+class ScriptedChat(ChatJudge):
+    """A chat endpoint that answers by the last digit of a prompt, for the reading of replies and the tries."""
+
+    def ask(self, prompt: str, system: str) -> Reply:
+        kind, tried = int(prompt[-1]) % 5, []
+
+        def opened(request, timeout):
+            tried.append(1)
+            if kind == 2 or kind == 1 and len(tried) < 3:
+                raise urllib.error.HTTPError(self.url, 500 + len(tried), "busy", None, None)
+            text = " " if kind == 4 and len(tried) < self.attempts else f"for {prompt}\nMET"
+            body = {"choices": [{"message": {"content": text}}], "provider": "Other" if kind == 3 else "PINNED", "usage": {"cost": 0.25 * len(tried)}}
+            return io.BytesIO(json.dumps(body).encode())
+
+        return super().ask(prompt, system, sleep=lambda _: None, opened=opened)
+
+
+@query(
+    "s18_p16_chat_replies",
+    """SELECT CAST(c_custkey AS VARCHAR) AS key, CASE WHEN c_custkey % 5 IN (0, 1, 4) THEN 'for ' || c_custkey || chr(10) || 'MET' END AS reply,
+    CASE c_custkey % 5 WHEN 0 THEN 0.25 WHEN 1 THEN 0.75 WHEN 4 THEN 1.0 ELSE 0.0 END::DOUBLE AS cost, CASE WHEN c_custkey % 5 IN (0, 1, 4) THEN 'PINNED' END AS provider,
+    CASE c_custkey % 5 WHEN 2 THEN 'the judge didn''t answer (HTTP 504)' WHEN 3 THEN 'another provider answered than the one named' END AS error FROM customer""",
+)
+def s18(spark, sf_dir):
+    key = F.col("c_custkey").cast("string")
+    asked = read(spark, sf_dir, "customer").select(key.alias("key"), key.alias("prompt"), F.lit("system").alias("system"))
+    return ask_all(asked, ScriptedChat("https://h/chat", "model", "pinned", "key"))
+
+
+@query(
+    "k6_p14_report",
+    """SELECT '| ' || r_name || ' | ' || (n_nationkey + 1) || ' | ' || CASE WHEN n_nationkey % 2 = 0 THEN 'graded | 2.5 | — | 0.0 | 12 |' ELSE 'pending | — | — | — | — |' END AS line FROM region CROSS JOIN nation""",
+)
+def k6(spark, sf_dir):
+    even = F.col("n_nationkey") % 2 == 0
+    scores = bank.packets(read(spark, sf_dir, "region").select(F.col("r_name").alias("product")), read(spark, sf_dir, "nation")).select(
+        "product", (F.col("n_nationkey") + 1).alias("task"), F.when(even, "graded").otherwise("pending").alias("status"), F.when(even, 2.5).alias("rubric_score"),
+        F.lit(None).cast("double").alias("pairwise_score"), F.when(even, 0.0).alias("elapsed_seconds"), F.when(even, F.lit(12).cast("decimal(38,0)")).alias("tokens"),
+    )
+    path = workspace(spark) / "report.md"
+    reports.markdown(path, [], scores.collect(), 25, ("rubric",), "digest")
+    lines = spark.read.text(f"file://{path}").withColumnRenamed("value", "line")
+    return lines.where("line like '| %' and line not like '| product %' and line not like '| --- %'")
