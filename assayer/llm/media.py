@@ -40,11 +40,13 @@ WIDTH = 64
 SHARD_BYTES = 128 << 20
 HEADER_BYTES = 33
 LEVEL = 6
-#: Rows of a repeated payload are dealt over so many join keys.
-SALTS = 32
+#: The rows of a payload that more rows than this hold are dealt over so many join keys.
+HOT_ROWS, SALTS = 1000, 32
+#: Stored forms that a task reads back, about, and bytes of a shard that are read by one task.
+READ_ROWS, READ_BYTES = 8192, 16 << 20
 NEW = (
     "n_bytes", "payload_bytes", "digest", "shard", "offset", "length", "width", "height", "bits",
-    "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "repeated",
+    "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "hot",
 )
 
 _SIGNATURE = b"\x89PNG\r\n\x1a\n"
@@ -138,47 +140,48 @@ class _Shards:
 
 
 def store_payloads(payloads: DataFrame, folder: str) -> DataFrame:
-    """Writes the payloads of payloads(digest, repeated, raw) into tar shards, each row once: digest, repeated,
-    payload_bytes, shard, offset, length."""
+    """Writes the payloads of payloads(digest, raw) into tar shards, each row once: digest, payload_bytes, shard, offset, length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shards = _Shards(folder, TaskContext.get().partitionId())
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = [(len(p), *shards.put(p)) for p in map(payload_of, batch.column(2).to_pylist())]
+            rows = [(len(p), *shards.put(p)) for p in map(payload_of, batch.column(1).to_pylist())]
             made = [pa.array(v, k) for v, k in zip(zip(*rows), (pa.int64(), pa.string(), pa.int64(), pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], names=["digest", "repeated", "payload_bytes", "shard", "offset", "length"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *made], names=["digest", "payload_bytes", "shard", "offset", "length"])
         shards.close()
 
     files, root = _files(folder)
     files.create_dir(root, recursive=True)
-    own = payloads.select("digest", "repeated", "raw")
-    return own.mapInArrow(run, "digest string, repeated boolean, payload_bytes long, shard string, offset long, length long")
+    return payloads.select("digest", "raw").mapInArrow(run, "digest binary, payload_bytes long, shard string, offset long, length long")
 
 
 def _stored(docs: DataFrame, folder: str, keep: tuple[str, ...], text_col: str) -> tuple[DataFrame, DataFrame]:
-    """Stores every different payload once. Returns the rows (keep, n_bytes, digest, repeated) and the places of the
-    stored forms (digest, repeated, payload_bytes, shard, offset, length), to be put together by placed()."""
+    """Stores every different payload once. Returns the rows (keep, n_bytes, digest, hot) and the places of the stored
+    forms (digest, hot, payload_bytes, shard, offset, length), to be put together by placed()."""
     small_batches(docs)
     keep = [c for c in dict.fromkeys(keep) if c not in NEW]
     raw = F.coalesce(col(text_col).cast("string"), F.lit("")).cast("binary")
-    digest = F.sha2(payload_column(raw), 256)
+    digest = F.unhex(F.sha2(payload_column(raw), 256))
     narrow = written(docs.select(*[col(c) for c in keep], F.octet_length(raw).cast("long").alias("n_bytes"), digest.alias("digest")))
-    twice = bitmap(narrow.groupBy("digest").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1"), F.col("digest"))
-    marked = perhaps_in(docs.select(raw.alias("raw"), digest.alias("digest")), F.col("digest"), twice, "repeated")
-    met = marked.where("repeated").groupBy("digest").agg(F.first("raw").alias("raw")).select("digest", F.lit(True).alias("repeated"), "raw")
-    places = written(store_payloads(marked.where("not repeated").select("digest", "repeated", "raw").unionByName(met), folder))
-    return perhaps_in(narrow, F.col("digest"), twice, "repeated"), places
+    key = F.xxhash64("digest")
+    counts = written(narrow.groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    twice, many = bitmap(counts, F.col("key")), bitmap(counts.where(F.col("n") > HOT_ROWS), F.col("key"))
+    marked = perhaps_in(docs.select(raw.alias("raw"), digest.alias("digest")), key, twice, "repeated")
+    met = marked.where("repeated").groupBy("digest").agg(F.first("raw").alias("raw"))
+    places = written(store_payloads(marked.where("not repeated").select("digest", "raw").unionByName(met), folder))
+    return perhaps_in(narrow, key, many, "hot"), perhaps_in(places, key, many, "hot")
 
 
 def placed(rows: DataFrame, stored: DataFrame) -> DataFrame:
-    """rows(..., digest, repeated) with the columns of their stored forms. A repeated payload's rows are dealt over SALTS keys, for each of
-    which its one stored row is repeated."""
-    salt = F.when(F.col("repeated"), F.pmod(F.xxhash64(*[col(c) for c in rows.columns]), F.lit(SALTS)).cast("int")).otherwise(0)
-    salts = F.when(F.col("repeated"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    each = stored.withColumn("__salt", F.explode(salts)).drop("repeated")
-    return rows.withColumn("__salt", salt).join(each, ["digest", "__salt"]).drop("__salt", "repeated")
+    """rows(..., digest, hot) with the columns of their stored forms. The rows of a hot payload are dealt over SALTS
+    keys, for each of which its one stored row is repeated."""
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64(*[col(c) for c in rows.columns]), F.lit(SALTS)).cast("int")).otherwise(0)
+    salts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    each = stored.withColumn("__salt", F.explode(salts)).drop("hot")
+    both = rows.withColumn("__salt", salt).join(each, ["digest", "__salt"]).drop("__salt", "hot")
+    return both.withColumn("digest", F.lower(F.hex("digest")))
 
 
 def store_media(docs: DataFrame, folder: str, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
@@ -240,7 +243,10 @@ def media_table(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col:
     """Stores every text's payload and returns its row with place, header and content columns."""
     folder = shared_dir(docs.sparkSession)
     rows, places = _stored(docs, folder, keep, text_col)
-    return placed(rows, written(content_columns(written(header_columns(places, folder)), folder)))
+    # the table of places is small beside what it points to: its rows are dealt out by shard, as many tasks as reads need
+    tasks = max(1, -(-places.count() // READ_ROWS))
+    places = places.repartition(tasks, "shard", F.floor(F.col("offset") / READ_BYTES))
+    return placed(rows, written(content_columns(header_columns(places, folder), folder)))
 
 
 def op8_media_columns(spark, sf_dir):

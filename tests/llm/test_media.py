@@ -43,7 +43,8 @@ def test_rows_and_shards(spark, tmp_path):
     assert media.media_table(docs.limit(0)).count() == 0
 
 
-def test_equal_payloads_are_stored_once(spark, tmp_path):
+def test_equal_payloads_are_stored_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(media, "HOT_ROWS", 100)
     texts = ["the hot one"] * 300 + [f"text {i}" for i in range(100)] + [f"text {i}" for i in range(0, 100, 3)]
     schema = "doc_id long, text string, digest int, width string, extra string"
     docs = spark.createDataFrame([(i, t, 1, "w", "e") for i, t in enumerate(texts)], schema).repartition(8)
