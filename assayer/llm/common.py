@@ -65,6 +65,13 @@ def discard_all(spark: SparkSession) -> None:
         _delete(spark, path)
 
 
+def release(spark: SparkSession) -> None:
+    """Has the driver's JVM collect garbage, after which Spark's cleaner removes shuffle files that no plan refers to any
+    more. Spark does so by itself every spark.cleaner.periodicGC.interval, half an hour; a step that leaves a large
+    shuffle behind needn't keep it on disk for so long."""
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 #: Cells of a bitmap(): 2 MB of bits, in at most 262,144 rows.
 CELLS = 1 << 24
 
@@ -141,6 +148,22 @@ def map_text(
     return source.mapInArrow(run, schema)
 
 
+def most_frequent(df: DataFrame, count: str, most: int) -> DataFrame:
+    """The rows of the greatest counts, `most` at most: those from a bound on, so that equal counts stay or go together.
+
+    The bound comes from the counts of counts, in bins of a 64th of a doubling (some four thousand at most); no rows are
+    sorted or brought together."""
+    bin_ = F.floor(F.log2(count) * 64)
+    held = sorted((r["b"], r["n"]) for r in df.groupBy(bin_.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect())
+    if sum(n for _, n in held) <= most:
+        return df
+    total, least = 0, held[-1][0] + 1
+    while held and total + held[-1][1] <= most:
+        least, n = held.pop()
+        total += n
+    return df.where(bin_ >= least)
+
+
 #: A side of a semi join with at most so many keys is broadcast, after they are counted.
 BROADCAST_KEYS = 1 << 20
 

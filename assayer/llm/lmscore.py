@@ -9,7 +9,7 @@ the corpus's occurrences. A document's score is the sum of the log-probabilities
 each masked in turn.
 
 Token counts cover all documents and grow with them: they are summed in a shuffle and joined to the documents'
-tokens in another. The `HOT` most frequent tokens, most of any text, are looked up in a broadcast table of fixed
+tokens in another. The most frequent tokens, `HOT` at most and most of any text, are looked up in a broadcast table of fixed
 size; what is left of each document goes to the join. Training covers all positions of all documents: in each round
 the tasks read all documents, predict every position from its neighbours and descend from the parameters of the
 round before; their results are averaged, weighted by positions, in a shuffle by parameter. As tasks descend apart,
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ProbeTable, col, map_text, small_batches, table, written
+from .common import ProbeTable, col, map_text, most_frequent, small_batches, table, written
 from .words import cut, listed, pieces
 
 FREQUENT, ENDINGS = 64, 64
@@ -228,7 +228,7 @@ def train_round(docs: DataFrame, vocabulary, p: dict[str, np.ndarray], rate: flo
 
 def vocabulary_of(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The parts of a Vocabulary: hashes and counts of the hot tokens, most frequent first, and the classes' counts."""
-    top = counts.select("token", "n").orderBy(F.desc("n"), "token").limit(HOT).toArrow()
+    top = most_frequent(counts.select("token", "n"), "n", HOT).toArrow()
     hashes, n = top.column("token").to_numpy(), top.column("n").to_numpy()
     order = np.lexsort((hashes, -n))
     hashes, n = hashes[order], n[order]

@@ -144,8 +144,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         docs.where(text.isNotNull()).select(col(id_col).alias("__id"), F.xxhash64(text).alias("__h")).join(marks, "__id").groupBy("__y", "__h").agg(F.min("__id").alias("__id"))
     )
     chosen = None
+    held = {r["__y"]: r["count"] for r in hashed.groupBy("__y").count().collect()}
     for label in (0, 1):
-        own = hashed.where(F.col("__y") == label).orderBy("__h").limit(rows_per_class)
+        # hashes are even: a few times the rows that are wanted lie below this bound, and only they are sorted
+        bound = min(2**63 - 1, int(-(2**63) + min(1.0, 4 * rows_per_class / max(1, held.get(label, 0))) * 2**64))
+        own = hashed.where((F.col("__y") == label) & (F.col("__h") <= bound)).orderBy("__h").limit(rows_per_class)
         chosen = own if chosen is None else chosen.unionByName(own)
     chosen = written(chosen)  # at most twice rows_per_class ids
     rows = docs.withColumn("__id", col(id_col)).withColumn("__h", F.xxhash64(text)).join(F.broadcast(chosen), ["__id", "__h"])

@@ -170,10 +170,8 @@ def test_pseudo_likelihood(spark, monkeypatch, hot):
     assert counts.count() == len({t for _, x, _ in rows for t in lm_tokens(x)}) and len(parts[0]) <= hot
     got = lmscore.score(docs, model, ("doc_id", "text")).collect()
     assert len(got) == len(rows)
-    if hot < lmscore.FREQUENT:  # fewer classes of their own
-        frequent = hot
-    else:
-        frequent = lmscore.FREQUENT
+    frequent = min(len(parts[0]), lmscore.FREQUENT)  # fewer classes of their own where fewer tokens are hot
+    assert frequent or hot == 3
     want = dict(zip([t for _, t, _ in rows], brute_pseudo_likelihood([t for _, t, _ in rows], p, frequent)))
     for r in got:
         n, total = want[r.text]
@@ -338,7 +336,11 @@ def test_perplexities_by_brute_force(spark, monkeypatch, vocabulary, hot):
     model = ngram.word_model(docs.where(f"doc_id < {len(trusted)}"))
     words = [lm_tokens(t) for t in trusted]
     count, rows = Counter(w for x in words for w in x), Counter(w for x in words for w in set(x))
-    known = set(sorted((w for w in count if rows[w] > 1), key=lambda w: (-count[w], w))[:vocabulary])
+    held = set(model["small"]["hashes"].tolist())
+    known = {w for w in count if ngram.cut([w]).hash[0] in held}
+    may = {w for w in count if rows[w] > 1}
+    assert len(known) <= vocabulary and (known == may or min(count[w] for w in known) > max(count[w] for w in may - known))
+    assert len(known) == len(held) > 0
     cls = lambda w: w if w in known else "<rare>"
     two, two_rows = Counter(), Counter()
     for x in words:
