@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontam, langid, lmscore, media, ngram, quotes, sharding, simhash, toxicity
+from . import bpe, decontam, langid, lmscore, media, ngram, packing, periodic, quotes, sharding, simhash, spelling, toxicity
 
 
 def queries() -> dict:
@@ -17,6 +17,9 @@ def queries() -> dict:
         "op8_media_columns": media.op8_media_columns,
         "op9_language_id": langid.op9_language_id,
         "op10_simhash": simhash.op10_simhash,
+        "op11_best_fit_packing": packing.op11_best_fit_packing,
+        "op12_spelling_variants": spelling.op12_spelling_variants,
+        "op13_periodic_runs": periodic.op13_periodic_runs,
         "op2_quoted_replies": quotes.op2_quoted_replies,
     }
 
