@@ -1,7 +1,7 @@
-"""The operators on files and judges, applied to folders made from the star schema's small dimensions, and what a
-written and re-read folder must hold, in SQL.
+"""The operators on files and judges, applied to folders made from the star schema's dimensions, and what a written and
+re-read folder must hold, in SQL.
 
-Regions stand for products and nations for tasks; customers for requests to the judge. Folders lie in the shared
+Regions stand for products and nations for tasks; customers for files, addresses and requests to the judge. Folders lie in the shared
 folder, which must be one that the driver's file system shows.
 """
 
@@ -14,15 +14,17 @@ import uuid
 from pathlib import Path
 from zipfile import ZipFile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.digests import task_signature
 from ..functions.prompts import RUBRIC_SYSTEM
+from ..functions.text import deliverable_name, packet_name
 from ..operators.validation import Invalid
 from ..sources import bank, download, files, office, records
 from ..sources.judge import ChatJudge, DeterministicJudge, Reply, ask_all
-from ..sources.shared import shared_base
+from ..sources.listing import listed
+from ..sources.shared import materialised, shared_base
 from . import judging, packet, reports
 from .bound import query, read
 
@@ -158,26 +160,40 @@ def k4(spark, sf_dir):
 # ---------------------------------------------------------------- files
 
 
-@query("s7_file_listing", "SELECT r_name || '/' || CASE WHEN n_nationkey % 2 = 0 THEN '_' ELSE '' END || n_name || '.TXT' AS path, 'txt' AS suffix, sha256(n_name) AS sha256 FROM nation JOIN region ON n_regionkey = r_regionkey")
+def _put(rows: DataFrame, root: Path, path: Column, content: Column) -> None:
+    """Writes a file a row below root, in tasks."""
+    own = rows.select(path.alias("path"), content.cast("binary").alias("content"), F.lit(None).cast("string").alias("source"))
+    failed = files.stored(own, root, []).where("error is not null").select("error").first()
+    if failed:
+        raise Invalid(failed["error"])
+
+
+@query(
+    "s7_file_listing",
+    """SELECT c_mktsegment || '/' || c_nationkey || '/' || CASE WHEN c_custkey % 2 = 0 THEN '_' ELSE '' END || c_name || '.TXT' AS path, 'txt' AS suffix, sha256(c_name) AS sha256 FROM customer""",
+)
 def s7(spark, sf_dir):
-    root = workspace(spark)
-    for r in read(spark, sf_dir, "nation").join(read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).collect():
-        folder = root / r["r_name"]
-        folder.mkdir(exist_ok=True)
-        (folder / f"{'' if r['n_nationkey'] % 2 else '_'}{r['n_name']}.TXT").write_text(r["n_name"])
-        for left in (".DS_Store", f"._{r['n_name']}", f"~${r['n_name']}.docx"):
-            (folder / left).write_text("x")
-    found = spark.createDataFrame([(p, str(files.safe_path(root, p))) for p in files.walk(root)], "path string, full string")
-    return files.with_digests(found, []).select("path", "suffix", "sha256")
-
-
-@query("s8_one_deliverable", "SELECT n_nationkey + 1 AS ordinal, printf('t%02d.', n_nationkey + 1) || CASE WHEN n_nationkey % 2 = 0 THEN 'docx' ELSE 'pdf' END AS name FROM nation")
+    root, own = workspace(spark), read(spark, sf_dir, "customer")
+    folder = F.concat("c_mktsegment", F.lit("/"), F.col("c_nationkey").cast("string"), F.lit("/"))
+    marked = F.concat(F.when(F.col("c_custkey") % 2 == 0, "_").otherwise(""), "c_name")
+    _put(own, root, F.concat(folder, marked, F.lit(".TXT")), F.col("c_name"))
+    _put(own.select("c_mktsegment", "c_nationkey").distinct(), root, F.concat(folder, F.lit(".DS_Store")), F.lit("x"))
+    _put(own, root, F.concat(folder, F.lit("._"), F.col("c_name")), F.lit("x"))
+    _put(own, root, F.concat(folder, F.lit("~$"), F.col("c_name"), F.lit(".docx")), F.lit("x"))
+    files.discard_staged(root)
+    return files.with_digests(files.plain_files(spark, root), []).select("path", "suffix", "sha256")
+
+
+@query(
+    "s8_one_deliverable",
+    """SELECT c_custkey AS ordinal, CASE c_custkey % 4 WHEN 0 THEN printf('t%02d.docx', c_custkey) WHEN 1 THEN printf('t%02d.pdf', c_custkey) END AS name,
+    CASE WHEN c_custkey % 4 = 2 THEN printf('task %d: 2 files match t%02d.*, not one', c_custkey, c_custkey) WHEN c_custkey % 4 = 3 THEN printf('task %d: 0 files match t%02d.*, not one', c_custkey, c_custkey) END AS error FROM customer""",
+)
 def s8(spark, sf_dir):
-    root = workspace(spark)
-    keys = [r["n_nationkey"] for r in read(spark, sf_dir, "nation").select("n_nationkey").collect()]
-    for k in keys:
-        (root / f"t{k + 1:02d}.{'pdf' if k % 2 else 'docx'}").write_bytes(b"")
-    return spark.createDataFrame([(k + 1, files.only_match(root, k + 1).name) for k in keys], "ordinal int, name string")
+    root, own = workspace(spark), read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("ordinal"))
+    for kind, rest in (("docx", (0, 2)), ("pdf", (1, 2))):
+        _put(own.where((F.col("ordinal") % 4).isin(*rest)), root, F.concat(deliverable_name(F.col("ordinal")), F.lit(f".{kind}")), F.lit(""))
+    return files.only_matches(spark, root, own).select("ordinal", "name", "error")
 
 
 @query(
@@ -211,14 +227,11 @@ def s10(spark, sf_dir):
 )
 def k1(spark, sf_dir):
     own, root, names = prepared(spark, sf_dir)
-    for r in own.collect():  # packets of an older layout: the attachment in a folder of its own
-        for product in names[:: 1 + r["ordinal"] % 2]:
-            nested = root / product / f"t_{r['ordinal']:02d}/reference_files/deep"
-            nested.mkdir()
-            (nested / f"{r['task_id']}.txt").write_text(r["reference_urls"][0])
+    nested = bank.packets(spark.createDataFrame(list(enumerate(names)), "k int, product string"), own).where("k = 0 or k % (1 + ordinal % 2) = 0")
+    at = F.concat("product", F.lit("/"), packet_name(F.col("ordinal")), F.lit("/reference_files/deep/"), "task_id", F.lit(".txt"))
+    _put(nested, root, at, F.get("reference_urls", F.lit(0)))  # packets of an older layout: the attachment in a folder of its own
     packet.prepare(spark, own, root, names, root.parent / "downloads", _unreachable)
-    keys = [(p, r["ordinal"]) for p in names for r in own.select("ordinal").collect()]
-    found, _ = files.packet_paths(spark, root, keys, "")
+    found, _ = files.packet_paths(materialised(listed(spark, root)), packet._expected(spark, own, names), "")
     return files.with_digests(found, packet.KEYS).select("product", "ordinal", "path", "sha256")
 
 
@@ -258,31 +271,29 @@ def v12(spark, sf_dir):
 
 @query(
     "s16_s20_downloads",
-    """SELECT n_name AS name, least(n_nationkey % 5 + 1, 3) AS attempts, CASE WHEN n_nationkey % 5 < 3 THEN sha256('https://h/' || n_name) END AS sha256,
-    CASE WHEN n_nationkey % 5 >= 3 THEN 'an attachment can''t be fetched (HTTP 503)' END AS error FROM nation""",
+    """SELECT c_name || x.y AS name, least(c_custkey % 5 + 1, 3) AS attempts, CASE WHEN c_custkey % 5 < 3 THEN 0 ELSE 3 END AS again, CASE WHEN c_custkey % 5 < 3 THEN sha256('https://h/' || c_custkey) END AS sha256,
+    CASE WHEN c_custkey % 5 >= 3 THEN 'an attachment can''t be fetched (HTTP 503)' END AS error FROM customer CROSS JOIN (VALUES ('a'), ('b')) x(y)""",
 )
 def s16(spark, sf_dir):
-    folder, rows = workspace(spark), []
-    for r in read(spark, sf_dir, "nation").collect():
-        url, asked = f"https://h/{r['n_name']}", []
-
-        def fetch(own: str, to: Path) -> None:
-            asked.append(own)
-            if len(asked) <= r["n_nationkey"] % 5:
-                raise urllib.error.HTTPError(own, 503, "busy", None, None)
-            _fetched(own, to)
-
-        try:
-            to = folder / "kept" / r["n_name"]
-            download.download(url, to, fetch, sleep=lambda _: None)
-            again = download.cached(url, "name", folder, lambda u, p: p.write_bytes(to.read_bytes()))
-            same = download.cached(url, "name", folder, _unreachable)
-            rows.append((r["n_name"], len(asked), str(again) if again == same else None, None))
-        except Invalid as e:
-            rows.append((r["n_name"], len(asked), None, str(e)))
-    found = spark.createDataFrame(rows, "name string, attempts int, full string, error string")
-    digests = files.with_digests(found.where("full is not null").select("name", F.lit("x").alias("path"), "full"), ["name"])
-    return found.join(digests.select("name", "sha256"), "name", "left").select("name", "attempts", "sha256", "error")
+    """Two names an address, which is fetched once; the first tries fail; a second run fetches only what isn't there."""
+    folder, url = workspace(spark), F.concat(F.lit("https://h/"), F.col("c_custkey").cast("string"))
+    names = F.explode(F.array(*[F.concat("c_name", F.lit(x)) for x in "ab"])).alias("name")
+    asked = read(spark, sf_dir, "customer").select(url.alias("url"), names)
+    tried: dict[str, int] = {}
+
+    def fetch(own: str, to: Path) -> None:
+        tried[own] = tried.get(own, 0) + 1
+        if tried[own] <= int(own.rsplit("/", 1)[-1]) % 5:
+            raise urllib.error.HTTPError(own, 503, "busy", None, None)
+        _fetched(own, to)
+
+    def busy(own: str, to: Path) -> None:
+        raise urllib.error.HTTPError(own, 503, "busy", None, None)
+
+    first = download.fetched(asked, folder, fetch, sleep=lambda _: None)
+    again = download.fetched(asked, folder, busy, sleep=lambda _: None).select("url", F.col("attempts").alias("again"))
+    digests = files.with_digests(first.where("full is not null").select("url", F.lit("x").alias("path"), "full"), ["url"]).select("url", "sha256")
+    return asked.join(first.join(again, "url").join(digests, "url", "left"), "url").select("name", "attempts", "again", "sha256", "error")
 
 
 @query(

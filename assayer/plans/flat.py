@@ -22,27 +22,21 @@ from ..sources.shared import materialised
 from . import judging, reports
 
 
-def deliverables(spark: SparkSession, folder: Path, ordinals: list[int]) -> DataFrame:
+def deliverables(spark: SparkSession, folder: Path, tasks: DataFrame) -> DataFrame:
     """ordinal, document, sha256, error."""
-    rows, failed = [], []
-    for n in ordinals:
-        try:
-            path = files.only_match(folder, n)
-            rows.append((n, path.name, str(path)))
-        except FileNotFoundError as e:
-            failed.append((n, str(e)))
-    contents = files.with_digests(spark.createDataFrame(rows, "ordinal int, path string, full string"), ["ordinal"])
+    found = materialised(files.only_matches(spark, folder, tasks))
+    one = found.where("error is null").select("ordinal", F.col("name").alias("path"), "full")
+    contents = files.with_digests(one, ["ordinal"])
     texts = office.extract(contents.withColumn("suffix", F.when(F.col("suffix") == "txt", "text").otherwise(F.col("suffix"))), ["ordinal"])  # plain text is no deliverable
-    found = texts.join(contents.select("ordinal", "sha256"), "ordinal").select("ordinal", F.col("text").alias("document"), "sha256", "error")
+    read = texts.join(contents.select("ordinal", "sha256"), "ordinal").select("ordinal", F.col("text").alias("document"), "sha256", "error")
     none = F.lit(None).cast("string")
-    return found.unionByName(spark.createDataFrame(failed, "ordinal int, error string").select("ordinal", none.alias("document"), none.alias("sha256"), "error"))
+    return read.unionByName(found.where("error is not null").select("ordinal", none.alias("document"), none.alias("sha256"), "error"))
 
 
 def run(spark: SparkSession, tasks: DataFrame, folder: Path, product: str, mode: str, judge: Judge, results: Path, limit: int | None = None, experts: DataFrame | None = None, seed: int = 0):
     """Writes <product>.<mode>.csv and returns (total or win rate, cost of new verdicts). A judge's error stops the run."""
     own = tasks if limit is None else bank.first_tasks(tasks, limit)
-    ordinals = [r["ordinal"] for r in own.select("ordinal").orderBy("ordinal").collect()]
-    docs = materialised(deliverables(spark, folder, ordinals))
+    docs = materialised(deliverables(spark, folder, own))
     ready = own.join(docs.where("error is null"), "ordinal").withColumn("reference", F.lit("")).withColumn("input_digest", F.lit("")).withColumnRenamed("sha256", "output_digest")
     notes = docs.select("ordinal", "error")
     log = str(results / f"{product}.{mode}.verdicts")

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import csv
-import hashlib
+from collections.abc import Iterator
 from pathlib import Path, PurePosixPath
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.digests import canonical_map, fingerprint
 from ..functions.numbers import round_exact, task_score
-from ..functions.text import basename, path_steps, under
+from ..functions.text import basename, is_safe_path, packet_name, path_steps, under
 from ..operators import validation
 from ..operators.bundles import bundle, files_digest
 from ..operators.leaderboard import leaderboard
@@ -21,6 +22,7 @@ from ..operators.validation import Invalid, require_none
 from ..schemas import DELIVERABLE_SUFFIXES, METRIC_FIELDS
 from ..sources import bank, download, files, office, records
 from ..sources.judge import Judge
+from ..sources.listing import listed
 from ..sources.shared import materialised
 from . import judging, reports
 
@@ -43,54 +45,103 @@ def _listed(tasks: DataFrame) -> list:
     return rows
 
 
-def _attached(name: str) -> str:
+def _attached(name: Column) -> Column:
     """Where an attachment lies in a packet: all are side by side, whatever folders their names have."""
-    steps = path_steps(name)
-    if steps is None:
-        raise Invalid(f"an attachment's name is no path in a folder: {name[:80]!r}")
-    return REFERENCES + steps[-1]
+    return F.concat(F.lit(REFERENCES), basename(name))
+
+
+def _count(c: str) -> Column:
+    return F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0))
+
+
+def _attachments(tasks: DataFrame, names: str, urls: str) -> DataFrame:
+    """(ordinal, i, name, url) of the tasks' attachments."""
+    both = F.transform(F.col(names), lambda name, i: F.struct(name.alias("name"), F.get(F.col(urls), i).alias("url")))
+    return tasks.select("ordinal", F.posexplode(both).alias("i", "x")).select("ordinal", "i", "x.name", "x.url")
+
+
+def _inputs(tasks: DataFrame, attachments: DataFrame, got: DataFrame) -> DataFrame:
+    """(ordinal, path, content, source, sha256) of what a packet of each task holds besides its own work."""
+    none = F.lit(None)
+    texts = {"prompt.txt": F.coalesce("prompt", F.lit("")), "START.txt": F.lit(START)}
+    written = tasks.select("ordinal", F.explode(F.array(*[F.struct(F.lit(p).alias("path"), t.cast("binary").alias("content")) for p, t in texts.items()])).alias("x"))
+    own = written.select("ordinal", "x.path", "x.content", none.cast("string").alias("source"), F.sha2("x.content", 256).alias("sha256"))
+    kept = files.with_digests(got.where("error is null").select(F.lit("").alias("path"), "url", "full"), ["url"]).select("url", F.col("full").alias("source"), "sha256")
+    fetched = attachments.join(kept, "url").select("ordinal", _attached(F.col("name")).alias("path"), none.cast("binary").alias("content"), "source", "sha256")
+    return materialised(own.unionByName(fetched))
+
+
+def _older(attachments: DataFrame, inputs: DataFrame, packets: DataFrame, listing: DataFrame) -> DataFrame:
+    """KEYS, path, full, sha256 of attachments in folders of their own, from the time when packets had these; one that isn't
+    what the address gives is an error."""
+    name = F.col("name")
+    nested = attachments.select("ordinal", F.when(under(name, REFERENCES), name).otherwise(F.concat(F.lit(REFERENCES), name)).alias("path"), _attached(name).alias("now"))
+    wanted = inputs.select("ordinal", F.col("path").alias("now"), F.col("sha256").alias("wanted"))
+    found, _ = files.packet_paths(listing, packets, "")
+    old = found.join(nested.where("path <> now").join(wanted, ["ordinal", "now"]), ["ordinal", "path"])
+    same = files.with_digests(old, [*KEYS, "wanted"])
+    same = materialised(same)
+    require_none(validation.violations(same.where("sha256 <> wanted"), "an attachment has been changed", F.concat_ws("/", *KEYS, "path")))
+    return same
+
+
+def _flatten(old: DataFrame, root: Path) -> None:
+    """Removes attachments in folders of their own, and these folders if nothing else lies in them; in tasks."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for full, path in zip(batch["full"], batch["path"]):
+                file = Path(full)
+                file.unlink(missing_ok=True)
+                for folder in list(file.parents)[: len(PurePosixPath(path).parts) - 2]:
+                    try:
+                        folder.rmdir()
+                    except OSError:  # it holds something else, or another task has removed it
+                        break
+            yield batch[["full"]]
+
+    old.select("path", "full").mapInPandas(run, "full string").count()  # nothing to do without rows
 
 
 def prepare(spark: SparkSession, tasks: DataFrame, root: Path, products: list[str], downloads: Path, fetch: download.Fetch = download.https_fetch) -> None:
     """Writes every product's packets: prompt, start note, attachments, an empty output folder; the manifest; a blank
     metrics.csv if there is none. Running it again changes nothing; an input with other contents is an error.
 
-    Older packets with attachments in folders of their own are flattened, after the manifest is in place.
+    Two phases: everything is checked, fetched, written and read back in tasks; if every file is there with the digest
+    that it must have, the manifest is moved into place, and with it the packets count. A run that ends before that
+    leaves an older manifest and the packets it tells of as they were. After it, older packets with attachments in
+    folders of their own are flattened.
     """
     rows = _listed(tasks)
-    names = tasks.select("ordinal", F.explode("reference_names").alias("name"))
-    placed = names.select("ordinal", F.concat(F.lit(REFERENCES), basename(F.col("name"))).alias("path")).unionByName(tasks.select("ordinal", F.explode(F.array(F.lit("prompt.txt"), F.lit("START.txt"))).alias("path")))
-    require_none(validation.together(validation.attachment_collisions(names), validation.covered_inputs(placed)))
+    for product in products:
+        if path_steps(product) != [product]:
+            raise Invalid(f"a product's name is one step of a path: {product!r}")
+    uneven = tasks.where(_count("reference_names") != _count("reference_urls"))
+    require_none(validation.violations(uneven, "every attachment has a name and an address", F.col("ordinal")))
+    attachments = _attachments(tasks, "reference_names", "reference_urls")
+    placed = attachments.select("ordinal", _attached(F.col("name")).alias("path")).unionByName(tasks.select("ordinal", F.explode(F.array(F.lit("prompt.txt"), F.lit("START.txt"))).alias("path")))
+    require_none(validation.together(validation.unsafe_paths(attachments, "name"), validation.attachment_collisions(attachments), validation.covered_inputs(placed)))
     root.mkdir(parents=True, exist_ok=True)
     identities = [(t["ordinal"], t["signature"]) for t in rows]
     if files.safe_path(root, "manifest.json").exists():
         records.read_manifest(spark, root, products, identities)
-    manifest, old = [], []
-    for t in rows:
-        inputs = {"prompt.txt": (t["prompt"] or "").encode(), "START.txt": START.encode()}
-        for name, url in zip(t["reference_names"] or [], t["reference_urls"] or [], strict=True):
-            to = _attached(name)
-            inputs[to] = download.cached(url, PurePosixPath(to).name, downloads, fetch).read_bytes()
-        for product in products:
-            packet = files.safe_path(root, f"{product}/t_{t['ordinal']:02d}")
-            for name in t["reference_names"] or []:
-                nested = files.safe_path(packet, name if name.startswith(REFERENCES) else REFERENCES + name)
-                if nested != packet / _attached(name) and nested.exists():
-                    if nested.read_bytes() != inputs[_attached(name)]:
-                        raise Invalid(f"{product}, task {t['ordinal']}: an attachment has been changed")
-                    old.append((nested, packet / "reference_files"))
-            for name, content in inputs.items():
-                files.write_once(files.safe_path(packet, name), content)
-            for folder in ("reference_files", "output"):
-                files.safe_path(packet, folder).mkdir(parents=True, exist_ok=True)
-        manifest.append({"ordinal": t["ordinal"], "signature": t["signature"], "files": {n: hashlib.sha256(c).hexdigest() for n, c in inputs.items()}})
-    records.write_manifest(root, products, manifest)
-    for nested, top in old:
-        nested.unlink()
-        for parent in nested.parents:
-            if parent == top or any(parent.iterdir()):
-                break
-            parent.rmdir()
+    got = download.fetched(attachments, downloads, fetch)
+    require_none(validation.violations(got.where("error is not null"), "attachments must be had", F.col("url"), F.col("error")))
+    inputs = _inputs(tasks, attachments, got)
+    packets = _expected(spark, tasks, products).select(*KEYS)
+    at = lambda path: F.concat_ws("/", "product", packet_name(F.col("ordinal")), path)
+    old = _older(attachments, inputs, packets, materialised(listed(spark, root)))
+
+    every = packets.join(inputs, "ordinal").withColumn("path", at("path"))
+    done = materialised(files.stored(every.repartition(spark.sparkContext.defaultParallelism, "path"), root, KEYS))
+    require_none(validation.violations(done.where("error is not null"), "packets can't be written", F.col("path"), F.col("error")))
+    require_none(validation.violations(every.join(done.select("path", F.col("sha256").alias("now")), "path", "left").where("now is null or now <> sha256"), "a packet isn't what it must be", F.col("path")))
+    for product, ordinal in [(p, t["ordinal"]) for p in products for t in rows]:
+        for folder in ("reference_files", "output"):
+            files.safe_path(root, f"{product}/t_{ordinal:02d}/{folder}").mkdir(parents=True, exist_ok=True)
+    held = {r["ordinal"]: dict(r["f"]) for r in inputs.groupBy("ordinal").agg(F.array_sort(F.collect_list(F.struct("path", "sha256"))).alias("f")).collect()}
+    records.write_manifest(root, products, [{"ordinal": t["ordinal"], "signature": t["signature"], "files": held[t["ordinal"]]} for t in rows])
+    _flatten(old, root)
+    files.discard_staged(root)
     metrics = files.safe_path(root, "metrics.csv")
     if not metrics.exists():
         with metrics.open("w", newline="", encoding="utf-8-sig") as f:
@@ -116,11 +167,11 @@ def _first_errors(*tables: DataFrame) -> DataFrame:
 
 def evidence(spark: SparkSession, rows: DataFrame, manifest: DataFrame, root: Path) -> tuple[DataFrame, DataFrame]:
     """Documents of the rows to be judged: (KEYS, document, reference, input_digest, output_digest), (KEYS, error)."""
-    packets = [(r["product"], r["ordinal"]) for r in rows.select(*KEYS).collect()]
     recorded = rows.select(*KEYS).join(manifest, "ordinal")
-    inputs, bad_inputs = files.packet_paths(spark, root, packets, "")
-    outputs, bad_outputs = files.packet_paths(spark, root, packets, "output")
-    listing = spark.createDataFrame([(*k, e) for k, e in (bad_inputs | bad_outputs).items()], "product string, ordinal int, error string")
+    there = materialised(listed(spark, root))
+    inputs, bad_inputs = files.packet_paths(there, rows, "")
+    outputs, bad_outputs = files.packet_paths(there, rows, "output")
+    listing = _first_errors(bad_inputs, bad_outputs)
 
     wanted = inputs.where(~under(F.col("path"), "output/"))
     now = materialised(files.with_digests(wanted, KEYS))
@@ -217,20 +268,17 @@ def expert_texts(spark: SparkSession, tasks: DataFrame, folder: Path, fetch: dow
 
     A file that can't be had or read, or is blank or at the cap, makes the whole task an error.
     """
-    rows, failed = [], []
-    for t in _listed(tasks):
-        try:
-            for i, (url, name) in enumerate(zip(t["gold_urls"] or [], t["gold_names"] or [], strict=True)):
-                to = files.safe_path(folder, f"{t['signature']}/{name}")
-                if not to.exists():
-                    download.download(url, to, fetch)
-                rows.append((t["ordinal"], f"{i:06d}{PurePosixPath(name).suffix}", str(to)))
-            if not t["gold_urls"]:
-                failed.append((t["ordinal"], "there is no expert deliverable"))
-        except (Invalid, OSError, ValueError) as e:
-            failed.append((t["ordinal"], str(e) if type(e) is Invalid else type(e).__name__))
-    paths = spark.createDataFrame(rows, "ordinal int, path string, full string")
+    _listed(tasks)
+    attachments = _attachments(tasks, "gold_names", "gold_urls")
+    got = download.fetched(attachments, folder, fetch)
+    joined = attachments.join(got, "url", "left")
+    unsafe = joined.where(~is_safe_path(F.col("name"))).select("ordinal", F.lit("a path must be relative and stay in its folder").alias("error"))
+    uneven = tasks.where(_count("gold_names") != _count("gold_urls")).select("ordinal", F.lit("names and addresses aren't as many").alias("error"))
+    bare = tasks.where(_count("gold_urls") == 0).select("ordinal", F.lit("there is no expert deliverable").alias("error"))
+    unread = joined.where("full is null and error is not null").select("ordinal", "error")
+    bad = materialised(unsafe.union(uneven).union(unread).union(bare).groupBy("ordinal").agg(F.min("error").alias("error")))
+    ending = F.regexp_extract(basename(F.col("name")), r"^.+(\.[^.]+)$", 1)
+    paths = joined.join(bad, "ordinal", "left_anti").select("ordinal", F.concat(F.format_string("%06d", "i"), ending).alias("path"), "full")
     found = bundle(office.extract(files.with_digests(paths, ["ordinal"]), ["ordinal"]), ["ordinal"], error="error")
     text = F.regexp_replace(F.col("bundle"), r"(?m)^\[文件 [0-9]{6}\.[^\]\n]*\]\n", "")
-    bad = spark.createDataFrame(failed, "ordinal int, error string")
     return found.join(bad, "ordinal", "left_anti").select("ordinal", text.alias("expert"), "error").unionByName(bad.select("ordinal", F.lit(None).cast("string").alias("expert"), "error"))

@@ -6,18 +6,14 @@ from assayer import cli
 from assayer.operators.validation import Invalid
 from assayer.plans import packet, reports
 from assayer.sources import files, records
+from assayer.sources.listing import listed
 
 
 def test_commands_and_exit_codes(spark, tmp_path, monkeypatch, capsys):
     make_tasks(spark, tmp_path)
     common = ["--bank", str(tmp_path / "bank"), "--ids", str(tmp_path / "ids.txt"), "--root", str(tmp_path / "root"), "--data", str(tmp_path / "data")]
-    monkeypatch.setattr(packet.download, "https_fetch", None)
-    real = packet.download.cached
-
-    def cached(url, name, folder, fetch):
-        return real(url, name, folder, lambda u, p: p.write_bytes(b"reference"))
-
-    monkeypatch.setattr(packet.download, "cached", cached)
+    real = packet.download.fetched
+    monkeypatch.setattr(packet.download, "fetched", lambda requests, folder, fetch: real(requests, folder, lambda u, p: p.write_bytes(b"reference")))
     assert cli.main(["prepare", *common, "--products", "alpha, beta,gamma"], spark) == 0
     judged = [*common, "--products", "alpha,beta,gamma", "--mode", "rubric", "--results", str(tmp_path / "results")]
     write_metrics(tmp_path / "root", statuses())
@@ -36,7 +32,7 @@ def test_commands_and_exit_codes(spark, tmp_path, monkeypatch, capsys):
             cli.main(bad, spark)
 
 
-def test_paths_and_listing(tmp_path):
+def test_paths_and_listing(spark, tmp_path):
     assert files.safe_path(tmp_path, "./a//b.txt") == tmp_path / "a/b.txt"
     for bad in ("", "/a", "../a", "a/../b", "a\\b", "c:a", "./"):
         with pytest.raises(Invalid):
@@ -44,14 +40,43 @@ def test_paths_and_listing(tmp_path):
     (tmp_path / "a/._kept").mkdir(parents=True)
     for name in ("a/_x", "a/.y", "a/._kept/z", "a/Thumbs.db", "~$a.docx"):
         (tmp_path / name).write_text("x")
-    assert sorted(files.walk(tmp_path)) == ["a/._kept/z", "a/.y", "a/_x"]
+    for splits in (1, 2, 64):
+        assert sorted(r["path"] for r in listed(spark, tmp_path, splits=splits).where("kind = 'file'").collect()) == ["a/._kept/z", "a/.y", "a/_x"]
+    assert sorted((r["path"], r["kind"]) for r in listed(spark, tmp_path).where("kind <> 'file'").collect()) == [("a", "folder"), ("a/._kept", "folder")]
+    assert [r["path"] for r in listed(spark, tmp_path, recursive=False).collect()] == ["a"]
+    assert sorted(r["path"] for r in files.plain_files(spark, tmp_path).collect()) == ["a/._kept/z", "a/.y", "a/_x"]
+    assert [r["kind"] for r in listed(spark, tmp_path / "none").collect()] == ["unreadable"]
     (tmp_path / "link").symlink_to(tmp_path / "a")
-    with pytest.raises(Invalid):
-        list(files.walk(tmp_path))
+    with pytest.raises(Exception, match="no links"):
+        files.plain_files(spark, tmp_path).collect()
     with pytest.raises(Invalid):
         files.safe_path(tmp_path, "link/_x")
 
 
+def test_listing_in_many_tasks(spark, tmp_path):
+    want = set()
+    for a in range(7):
+        for b in range(a):
+            folder = tmp_path / f"f{a}" / f"_g{b}"
+            folder.mkdir(parents=True)
+            for c in range(3):
+                (folder / f"{c}.txt").write_text("x" * c)
+                want.add((f"f{a}/_g{b}/{c}.txt", c))
+    for splits in (1, 3, 10, 500):
+        found = listed(spark, tmp_path, splits=splits)
+        assert {(r["path"], r["bytes"]) for r in found.where("kind = 'file'").collect()} == want
+        assert found.count() == len(want) + 21 + 7 - 1
+        assert found.rdd.getNumPartitions() <= splits
+
+
+def test_one_deliverable_each(spark, tmp_path):
+    for name in ("t01.docx", "t02.a", "t02.b", "t100.x", "t1.x", "t04"):
+        (tmp_path / name).write_text("")
+    ordinals = spark.createDataFrame([(1,), (2,), (3,), (4,), (100,)], "ordinal int")
+    got = {r["ordinal"]: (r["name"], r["error"] is None) for r in files.only_matches(spark, tmp_path, ordinals).collect()}
+    assert got == {1: ("t01.docx", True), 2: (None, False), 3: (None, False), 4: (None, False), 100: ("t100.x", True)}
+
+
 def test_verdicts_of_an_absent_log(spark, tmp_path):
     assert records.read_verdicts(spark, f"file://{tmp_path}/none").isEmpty()
 

@@ -1,12 +1,14 @@
 import csv
 import json
+import shutil
 
 import pytest
 from makers import docx, para
+from pyspark.sql import functions as F
 
 from assayer.operators.validation import Invalid
 from assayer.plans import flat, packet
-from assayer.sources import bank
+from assayer.sources import bank, download
 from assayer.sources.judge import DeterministicJudge, JudgeError, Reply
 from assayer.schemas import BANK
 
@@ -60,13 +62,20 @@ def statuses(**by):
     return [(p, t, *by.get(f"{p}{t}", ("pending", "", "", "", ""))) for p in PRODUCTS for t in (1, 2)]
 
 
+@pytest.fixture(scope="module")
+def template(spark, tmp_path_factory):
+    at = tmp_path_factory.mktemp("template")
+    tasks = make_tasks(spark, at)
+    packet.prepare(spark, tasks, at / "root", PRODUCTS, at / "dl", fetch)
+    return tasks, at
+
+
 @pytest.fixture
-def prepared(spark, tmp_path):
-    tasks = make_tasks(spark, tmp_path)
-    root = tmp_path / "root"
-    packet.prepare(spark, tasks, root, PRODUCTS, tmp_path / "dl", fetch)
+def prepared(template, tmp_path):
+    tasks, at = template
+    shutil.copytree(at, tmp_path, dirs_exist_ok=True)
     calls()
-    return tasks, root, tmp_path
+    return tasks, tmp_path / "root", tmp_path
 
 
 def test_tasks(spark, tmp_path):
@@ -99,6 +108,78 @@ def test_prepare_is_idempotent_and_guards(spark, prepared):
         packet.prepare(spark, tasks, root, PRODUCTS, tmp / "dl", fetch)
 
 
+def test_the_manifest_is_the_commit(spark, prepared, monkeypatch):
+    """A run that ends between writing and the manifest leaves the old manifest and its packets; the next one mends."""
+    tasks, root, tmp = prepared
+    before = (root / "manifest.json").read_bytes()
+    lost = root / "alpha/t_01/reference_files/data.txt"
+    lost.unlink()
+    nested = root / "beta/t_01/reference_files/abc/data.txt"
+    nested.parent.mkdir()
+    nested.write_bytes(b"reference")
+    with monkeypatch.context() as m:
+        m.setattr(packet.records, "write_manifest", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+        with pytest.raises(KeyboardInterrupt):
+            packet.prepare(spark, tasks, root, PRODUCTS, tmp / "dl", fetch)
+    assert (root / "manifest.json").read_bytes() == before and nested.exists() and lost.read_bytes() == b"reference"
+    identities = [(r["ordinal"], r["signature"]) for r in tasks.orderBy("ordinal").collect()]
+    assert packet.records.read_manifest(spark, root, PRODUCTS, identities).count() == 6
+    packet.prepare(spark, tasks, root, PRODUCTS, tmp / "dl", fetch)
+    assert not nested.parent.exists() and (root / "manifest.json").read_bytes() == before and not (root / ".staged").exists()
+    # a nested attachment with other contents is an error before anything is written
+    nested.parent.mkdir()
+    nested.write_bytes(b"other")
+    lost.unlink()
+    with pytest.raises(Invalid, match="changed"):
+        packet.prepare(spark, tasks, root, PRODUCTS, tmp / "dl", fetch)
+    assert not lost.exists() and nested.exists()
+
+
+def test_an_address_is_fetched_once(spark, tmp_path):
+    """However many ask; a task that is run again fetches only what its first run hasn't moved into place."""
+    log, broken = tmp_path / "log", tmp_path / "broken"
+
+    def fetch(url, to):
+        with open(log, "a") as f:
+            f.write(url + "\n")
+        to.write_bytes(b"half")
+        if url.endswith("/7") and not broken.exists():
+            broken.write_text("")
+            raise RuntimeError("the task is lost")
+        if url.endswith("/3"):
+            raise OSError
+        to.write_bytes(url.encode())
+
+    urls = [f"https://h/{i}" for i in range(10)]
+    asked = spark.createDataFrame([(u,) for u in urls * 30] + [(None,), ("http://plain/1",)], "url string")
+    with pytest.raises(Exception, match="lost"):  # the session of tests has no second try
+        download.fetched(asked, tmp_path / "kept", fetch, sleep=lambda _: None, tasks=1)
+    first = set(log.read_text().split())
+    got = {r["url"]: r for r in download.fetched(asked, tmp_path / "kept", fetch, sleep=lambda _: None, tasks=1).collect()}
+    assert sorted(got) == sorted([*urls, "http://plain/1"])
+    seen = log.read_text().split()
+    assert all(seen.count(u) == 1 for u in urls if u[-1] not in "37") and seen.count(urls[7]) == 2 and "https://h/7" in first
+    assert {u: r["error"] for u, r in got.items() if r["error"]} == {urls[3]: "an attachment can't be fetched (OSError)", "http://plain/1": "attachments come over HTTPS"}
+    assert all(open(got[u]["full"], "rb").read() == u.encode() for u in urls if u != urls[3])
+    # a file of another name in the address's folder is its contents too
+    again = download.fetched(asked.where("url = 'https://h/0'"), tmp_path / "kept", lambda u, p: pytest.fail("fetched again")).first()
+    assert again["attempts"] == 0
+
+
+def test_packets_refuse_what_they_must(spark, tmp_path):
+    tasks = make_tasks(spark, tmp_path)
+    change = lambda name, value: tasks.withColumn(name, F.array(*[F.lit(x) for x in value]))
+    for bad in (change("reference_names", ["../x"]), change("reference_names", ["a/x", "b/X"]).withColumn("reference_urls", F.array(F.lit("https://h/1"), F.lit("https://h/2"))), change("reference_urls", []), change("reference_urls", ["ftp://h/1"])):
+        with pytest.raises(Invalid):
+            packet.prepare(spark, bad, tmp_path / "root", PRODUCTS, tmp_path / "dl", fetch)
+    with pytest.raises(Invalid):
+        packet.prepare(spark, tasks, tmp_path / "root", ["a/b"], tmp_path / "dl", fetch)
+    assert not (tmp_path / "root/manifest.json").exists()
+    odd = change("gold_names", ["/x"]).where("ordinal = 1").unionByName(change("gold_urls", []).where("ordinal = 2"))
+    odd = odd.withColumn("gold_urls", F.when(F.col("ordinal") == 1, F.array(F.lit("https://h/1.docx"))).otherwise(F.col("gold_urls")))
+    assert {r["ordinal"]: r["error"] for r in packet.expert_texts(spark, odd, tmp_path / "e", fetch).collect()} == {1: "a path must be relative and stay in its folder", 2: "names and addresses aren't as many"}
+
+
 def test_nested_attachments_are_flattened(spark, prepared):
     tasks, root, tmp = prepared
     folder = root / "beta/t_02/reference_files"
