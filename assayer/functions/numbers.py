@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,11 +42,32 @@ def rounded(c: Column, places: int) -> Column:
     return F.bround(c, places)
 
 
-def round_exact(c: Column, places: int) -> Column:
-    """Half-even on the exact binary value. Crosses into Python: for totals before a ranking, which are few."""
+#: 2^27 + 1, which parts a double in two halves whose products are exact.
+_HALVES = 134217729.0
+
 
-    @F.pandas_udf("double")
-    def f(x: pd.Series) -> pd.Series:
-        return x.map(lambda v: round(v, places), na_action="ignore")
+def _halves(x: float) -> tuple[float, float]:
+    high = _HALVES * x - (_HALVES * x - x)
+    return high, x - high
 
-    return f(c)
+
+def round_exact(c: Column, places: int) -> Column:
+    """Half-even on the exact binary value, in the JVM; places from 0 to 22.
+
+    The product with 10^places is taken without error, as a double and what it lacks, so that its distance from the
+    middle between two integers has the right sign; the integer over 10^places is then the nearest double. Numbers of
+    2^51 / 10^places or more, beyond which halves are lost, are rounded on their decimal rendering."""
+    scale = float(10**places)
+    high, low = _halves(scale)
+    x = F.abs(c)
+    product = x * scale
+    split = x * _HALVES
+    x_high = split - (split - x)
+    x_low = x - x_high
+    lacks = ((x_high * high - product) + x_high * low + x_low * high) + x_low * low
+    whole = F.floor(product).cast("double")
+    beyond = ((product - whole) - 0.5) + lacks
+    up = (beyond > 0) | ((beyond == 0) & (whole % 2 == 1))
+    near = F.when(up, whole + 1).otherwise(whole) / scale
+    signed = F.when(c < 0, -near).otherwise(near)
+    return F.when(F.isnan(c) | (product >= float(1 << 51)), F.bround(c, places)).when(c == 0, c).otherwise(signed)  # 0 keeps its sign

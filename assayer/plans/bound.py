@@ -481,6 +481,14 @@ def f11(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", text.folded(text.basename(F.col("url"))).alias("name"))
 
 
+@query("f12_folded_texts", "SELECT doc_id, sha256(replace(lower(text), 'ß', 'ss')) AS folded FROM documents UNION ALL SELECT -doc_id - 1, sha256(replace(lower(upper(text)), 'ß', 'ss')) FROM documents")
+def f12(spark, sf_dir):
+    """The whole texts of four languages, and the same in upper case."""
+    docs = read(spark, sf_dir, "documents")
+    every = docs.select("doc_id", "text").union(docs.select(-F.col("doc_id") - 1, F.upper("text")))
+    return every.select("doc_id", F.sha2(text.folded(F.col("text")), 256).alias("folded"))
+
+
 @query("f13_padded_names", "SELECT o_orderkey AS task, printf('t_%02d', o_orderkey) AS packet, printf('t%02d', o_orderkey) AS deliverable FROM orders")
 def f13(spark, sf_dir):
     key = F.col("o_orderkey")
@@ -544,6 +552,18 @@ def f3(spark, sf_dir):
     return tasks.select("ordinal", digests.task_signature().alias("signature"))
 
 
+@query(
+    "f23_exact_halves",
+    """SELECT l_orderkey, l_linenumber, k / 8.0::DOUBLE AS value, CASE WHEN (k * 25) % 2 = 0 THEN k * 25 // 2 WHEN (k * 25 // 2) % 2 = 0 THEN k * 25 // 2 ELSE k * 25 // 2 + 1 END / 100.0::DOUBLE AS rounded
+    FROM (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) * 1000 + l_linenumber + l_orderkey * 8 AS k FROM lineitem)""",
+)
+def f23(spark, sf_dir):
+    """Eighths, which binary numbers hold exactly: half of the odd ones lie in the middle between two hundredths."""
+    k = F.col("l_quantity").cast("bigint") * 1000 + F.col("l_linenumber") + F.col("l_orderkey") * 8
+    value = k.cast("double") / 8
+    return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", value.alias("value"), numbers.round_exact(value, 2).alias("rounded"))
+
+
 @query("f24_https_urls", "SELECT page_id, starts_with(lower(url), 'https://') AND length(url) > 8 AS https FROM pages")
 def f24(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", text.is_https(F.col("url")).alias("https"))

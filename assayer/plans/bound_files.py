@@ -21,7 +21,7 @@ from ..functions.digests import task_signature
 from ..functions.prompts import RUBRIC_SYSTEM
 from ..functions.text import deliverable_name, packet_name
 from ..operators.validation import Invalid
-from ..sources import bank, download, files, office, records
+from ..sources import bank, download, files, office, records, verdict_log
 from ..sources.judge import ChatJudge, DeterministicJudge, Reply, ask_all
 from ..sources.listing import listed
 from ..sources.shared import materialised, shared_base
@@ -150,6 +150,27 @@ def s6(spark, sf_dir):
     return records.read_verdicts(spark, log).select("key", F.col("seq").cast("int").alias("seq"), "met")
 
 
+@query(
+    "k5_compacted_log",
+    """SELECT CAST(c_custkey AS VARCHAR) AS key, CASE WHEN c_custkey % 3 = 0 THEN 3 WHEN c_custkey % 2 = 0 THEN 2 ELSE 1 END AS seq, c_custkey % 3 <> 0 AND c_custkey % 2 = 0 AS met
+    FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)""",
+)
+def k5(spark, sf_dir):
+    """Batches, two snapshots, later batches with older and newer records; probed by the keys of the customers with orders."""
+    log, none = f"{shared_base(spark)}/log-{uuid.uuid4().hex}", F.lit(None)
+    told = lambda seq, met: read(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("key"), F.lit(seq).cast("bigint").alias("seq"), F.lit(met).alias("met"), none.cast("double").alias("score"),
+        none.cast("string").alias("a_side"), F.lit(0.0).alias("cost"),
+    )
+    verdict_log.append_verdicts(told(2, True).where("cast(key as bigint) % 2 = 0"), log)
+    verdict_log.compact(spark, log)
+    verdict_log.append_verdicts(told(1, False), log)
+    verdict_log.compact(spark, log)
+    verdict_log.append_verdicts(told(3, False).where("cast(key as bigint) % 3 = 0"), log)
+    asked = read(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("key"))
+    return verdict_log.probe_verdicts(asked, log).select("key", F.col("seq").cast("int").alias("seq"), "met")
+
+
 @query("k4_csv_file", "SELECT s_suppkey, s_name, CASE WHEN s_suppkey % 2 = 0 THEN s_acctbal END AS s_acctbal FROM supplier")
 def k4(spark, sf_dir):
     path = workspace(spark) / "table.csv"

@@ -17,8 +17,8 @@ from ..operators.scoring import flat_totals, item_sums, unjudged, win_rate
 from ..operators.validation import Invalid
 from ..sources import bank, files, office
 from ..sources.judge import Judge
-from ..sources.records import read_verdicts
 from ..sources.shared import materialised
+from ..sources.verdict_log import probe_verdicts
 from . import judging, reports
 
 
@@ -52,7 +52,7 @@ def run(spark: SparkSession, tasks: DataFrame, folder: Path, product: str, mode:
     else:
         raise Invalid("the mode is rubric or pairwise")
     requests = materialised(requests)
-    new = materialised(unjudged(requests, read_verdicts(spark, log)).select("key").dropDuplicates())  # told before the judge answers
+    new = materialised(unjudged(requests, probe_verdicts(requests.select("key"), log)).select("key").dropDuplicates())  # told before the judge answers
     asked = judging.judged(requests, mode, judge, log)
     failed = asked.where("error is not null").select("error").first()
     if failed:

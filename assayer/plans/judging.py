@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import time
+import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,9 +14,9 @@ from ..functions.digests import cache_key, canonical, coin
 from ..functions.prompts import PAIRWISE_SYSTEM, RUBRIC_SYSTEM, pairwise_prompt, rubric_prompt
 from ..functions.verdicts import pairwise_choice, pairwise_score, rubric_met
 from ..operators.scoring import reused, unjudged
-from ..sources.judge import Judge, ask_all
-from ..sources.records import append_verdicts, read_verdicts
+from ..sources.judge import ANSWER, Judge, ask_all
 from ..sources.shared import materialised
+from ..sources.verdict_log import COMPACT_AFTER, append_verdicts, compact, probe_verdicts, state
 
 SYSTEMS = (RUBRIC_SYSTEM, PAIRWISE_SYSTEM)
 
@@ -45,19 +48,33 @@ def _identity(judge: Judge, mode: str, expert):
     return cache_key(F.col("signature"), judge.model, mode, judge.provider, SYSTEMS, *evidence)
 
 
-def judged(requests: DataFrame, mode: str, judge: Judge, log: str, at_once: int | None = None) -> DataFrame:
+def _journal(log: str) -> Path | None:
+    """The folder for answers that no verdict has been made of yet; none where the log isn't in a mounted file system."""
+    path = re.sub(r"^file:(//)?(?=/)", "", log)
+    return None if re.match(r"[a-z][a-z0-9+.-]*:", path) else Path(path) / "_replies" / "waiting"
+
+
+def judged(requests: DataFrame, mode: str, judge: Judge, log: str, at_once: int | None = None, per_second: float | None = None) -> DataFrame:
     """requests with met (rubric) or score (pairwise), cost and error.
 
-    Requests that no verdict answers are dealt over at_once tasks, each asking one after the other; by default as many
-    as Spark runs at a time.
+    Requests that no verdict answers go to the judge, at most at_once at a time and per_second a second (ask_all()).
 
-    New replies are written to the log and read back, so a prompt is sent once however often the plan is read.
-    Replies that fail or can't be understood are errors and aren't kept: the next run asks again.
+    Every answer is in a journal beside the log before it counts: what a run that was stopped has been told is not asked
+    again by the next. New replies are written to the log and read back, so a prompt is sent once however often the plan
+    is read; the log is compacted when many batches wait. Replies that fail or can't be understood are errors and aren't
+    kept: the next run asks again.
     """
     spark, requests = requests.sparkSession, materialised(requests)
-    known = read_verdicts(spark, log)
-    misses = unjudged(requests, known).dropDuplicates(["key"])
-    replies = materialised(ask_all(misses.repartition(at_once or spark.sparkContext.defaultParallelism, "key"), judge))
+    keys = requests.select("key").distinct()
+    misses = materialised(unjudged(requests, probe_verdicts(keys, log)).dropDuplicates(["key"]))
+    journal = _journal(log)
+    told_before, run = spark.createDataFrame([], ANSWER), uuid.uuid4().hex
+    older = list(journal.iterdir()) if journal and journal.is_dir() else []
+    if older:
+        found = spark.read.schema(f"{ANSWER}, _corrupt_record string").json(f"file://{journal}").where("_corrupt_record is null and key is not null").drop("_corrupt_record")
+        told_before = materialised(found.dropDuplicates(["key"]).join(misses.select("key"), "key", "left_semi"))
+    asked = ask_all(unjudged(misses, told_before), judge, at_once=at_once, per_second=per_second, journal=journal, run=run)
+    replies = materialised(asked.unionByName(told_before))
     a = requests.select("key", *(["product_is_a"] if mode == "pairwise" else [])).dropDuplicates(["key"])
     said = replies.join(a, "key")
     none = F.lit(None)
@@ -71,8 +88,13 @@ def judged(requests: DataFrame, mode: str, judge: Judge, log: str, at_once: int
     told = said.select("key", F.lit(time.time_ns()).alias("seq"), met.alias("met"), score.alias("score"), side.alias("a_side"), "cost", F.coalesce("error", F.when(failed, "the judge's last line isn't a verdict")).alias("error"))
     append_verdicts(told.where("error is null"), log)
     errors = materialised(told.where("error is not null").select("key", "error"))
-    now = read_verdicts(spark, log).select("key", "met", F.col("score").alias("verdict_score"), "a_side", "cost")
+    for answers in [*older, *(journal.glob(f"{run}-*") if journal else [])]:
+        answers.unlink(missing_ok=True)  # all of it is in the log, or answered by it
+    now = probe_verdicts(keys, log).select("key", "met", F.col("score").alias("verdict_score"), "a_side", "cost")
     # written, as two readings of the growing log in one plan would be taken for the same table
-    return materialised(reused(requests, now).withColumn("error", F.lit(None).cast("string")).unionByName(
+    out = materialised(reused(requests, now).withColumn("error", F.lit(None).cast("string")).unionByName(
         unjudged(requests, now).join(errors, "key", "left").withColumn("error", F.coalesce("error", F.lit("no verdict"))), allowMissingColumns=True
     ))
+    if len(state(spark, log).deltas) >= COMPACT_AFTER:
+        compact(spark, log)
+    return out

@@ -1,4 +1,4 @@
-"""The run's own records: manifest, metrics, verdict log."""
+"""The run's own records: manifest and metrics; the verdict log is in verdict_log."""
 
 from __future__ import annotations
 
@@ -10,11 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import strip
-from ..operators.scoring import latest_records
 from ..operators.validation import Invalid, metrics_violations, require_none, typed_metrics
-from ..schemas import MANIFEST, METRIC_FIELDS, VERDICT, fields
+from ..schemas import MANIFEST, METRIC_FIELDS, fields
 from .files import replace_whole, safe_path
-from .shared import is_stored
+from .verdict_log import append_verdicts, read_verdicts  # noqa: F401
 
 
 def read_manifest(spark: SparkSession, root: Path, products: list[str], identities: list[tuple[int, str]]) -> DataFrame:
@@ -45,15 +44,3 @@ def read_metrics(spark: SparkSession, path: Path, expected: DataFrame) -> DataFr
     staged = raw.select(*[F.coalesce(strip(F.col(c)), F.lit("")).alias(c) for c in METRIC_FIELDS], record.alias("record"))
     require_none(metrics_violations(staged, expected.select("product", F.col("ordinal").cast("bigint").alias("task"))))
     return typed_metrics(staged)
-
-
-def read_verdicts(spark: SparkSession, path: str) -> DataFrame:
-    """The last verdict of each key in an append-only log of JSON lines; an absent log has none."""
-    if not is_stored(spark, path):
-        return spark.createDataFrame([], VERDICT)
-    return latest_records(spark.read.schema(VERDICT).json(path), "key", ["seq"])
-
-
-def append_verdicts(verdicts: DataFrame, path: str) -> None:
-    """Appends judged rows; each task's rows are committed as it ends, so a stopped run loses the running batch alone."""
-    verdicts.select(*VERDICT.names).write.mode("append").json(path)

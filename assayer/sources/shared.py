@@ -20,12 +20,6 @@ def shared_base(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
-def is_stored(spark: SparkSession, path: str) -> bool:
-    """Whether there is anything at a path, in whatever file system the path names."""
-    own = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return own.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(own)
-
-
 def materialised(df: DataFrame) -> DataFrame:
     """df, written to the shared folder and read again: computed once, its plan ends there, and lost executors don't
     take it along."""
