@@ -10,14 +10,15 @@ each masked in turn.
 
 Token counts cover all documents and grow with them: they are summed in a shuffle and joined to the documents'
 tokens in another. The most frequent tokens, `HOT` at most and most of any text, are looked up in a broadcast table of fixed
-size; what is left of each document goes to the join. Training covers all positions of all documents: in each round
-the tasks read all documents, predict every position from its neighbours and descend from the parameters of the
-round before; their results are averaged, weighted by positions, in a shuffle by parameter. As tasks descend apart,
-parameters depend a little on how the input is split. What reaches the driver is one parameter set a round, the hot
-tokens and the classes' counts.
+size; what is left of each document goes to the join. Training covers all positions of all documents. Documents, as a
+byte a token, are dealt into blocks of about `BLOCK` tokens by a hash of id and text and lie in its order there. In each
+round every block is descended over from the parameters of the round before, every position predicted from its
+neighbours, in batches that the block's own order makes; the blocks' parameters are averaged, weighted by positions, in
+a shuffle by parameter. So the model follows from the rows alone, not from how tasks divide them (sums of floating
+numbers apart). What reaches the driver is one parameter set a round, the hot tokens and the classes' counts.
 
 Null and empty texts have no tokens, the score 0 and no perplexity. Tokens of equal count are ranked by hash.
-Repeated rows count and are scored each. An empty table gives no rows. Columns in keep that are named as a result
+Repeated rows count and are scored each (rows equal in id and text lie in one block). An empty table gives no rows. Columns in keep that are named as a result
 give way to it; other columns are not used.
 """
 
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ProbeTable, col, map_text, most_frequent, small_batches, table, written
+from .common import ProbeTable, col, discard, map_text, most_frequent, small_batches, table, written
 from .words import cut, listed, pieces
 
 FREQUENT, ENDINGS = 64, 64
@@ -42,11 +43,14 @@ EDGE = CLASSES
 SIDE, HIDDEN = 2, 16
 ROUNDS = 2
 BATCH = 1024
+#: Tokens that are descended over from one set of parameters, about, before averaging.
+BLOCK = 1 << 21
 #: Tokens whose counts are broadcast; all others' are joined.
 HOT = 1 << 17
 #: Tokens that a task gathers before it passes on their counts.
 COUNTED = 4_000_000
 
+
 def tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of the tokens of all texts in order: hash, ending class (whether or not it is frequent) and text number."""
     w = cut(texts)
@@ -193,34 +197,88 @@ def neighbourhoods(classes: np.ndarray, of: np.ndarray) -> np.ndarray:
     return out
 
 
-def descend_over(net: WindowNetwork, vocabulary: Vocabulary, texts: list[str | None], rate: float) -> int:
-    """Descends once on every position of the texts; their number."""
-    h, ending, of = tokens(texts)
-    middle = vocabulary.classes(h, ending)
-    sides = neighbourhoods(middle, of)
-    for b in range(0, len(middle), BATCH):
-        net.descend(sides[:, b : b + BATCH], middle[b : b + BATCH], rate)
-    return len(middle)
+class Descent:
+    """One block's descent: documents are taken in order, and batches of BATCH positions go on from one to the next."""
+
+    def __init__(self, p: dict[str, np.ndarray], rate: float):
+        self.net, self.rate, self.seen = WindowNetwork(p), rate, 0
+        self.sides, self.middle = np.empty((2 * SIDE, 0), dtype=np.int16), np.empty(0, dtype=np.int16)
+
+    def take(self, documents: list[bytes]) -> None:
+        """Documents as a byte a token, its class."""
+        own = np.frombuffer(b"".join(documents), dtype=np.uint8).astype(np.int16)
+        of = np.repeat(np.arange(len(documents)), [len(d) for d in documents])
+        self.sides = np.concatenate([self.sides, neighbourhoods(own, of)], axis=1)
+        self.middle = np.concatenate([self.middle, own])
+        whole = len(self.middle) // BATCH * BATCH
+        self._descend(whole)
+        self.sides, self.middle = self.sides[:, whole:], self.middle[whole:]
+
+    def _descend(self, n: int) -> None:
+        for b in range(0, n, BATCH):
+            e = min(b + BATCH, n)
+            self.net.descend(self.sides[:, b:e], self.middle[b:e], self.rate)
+        self.seen += n
 
+    def end(self) -> tuple[np.ndarray, int]:
+        """The parameters and how many positions made them."""
+        self._descend(len(self.middle))
+        return flat(self.net.p).astype(np.float64), self.seen
 
-def train_round(docs: DataFrame, vocabulary, p: dict[str, np.ndarray], rate: float, text_col: str = "text") -> dict[str, np.ndarray]:
-    """Parameters after each task has descended over its documents, averaged by positions. vocabulary: a broadcast one's parts."""
-    shared = docs.sparkSession.sparkContext.broadcast(p)
+
+def in_blocks(docs: DataFrame, vocabulary, blocks: int, text_col: str = "text", by: tuple[str, ...] = ()) -> DataFrame:
+    """(block, at, classes): every document with tokens, as its tokens' classes, a byte each; stored. vocabulary: a broadcast
+    one's parts; by: columns that tell equal texts apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, net, seen = Vocabulary(*vocabulary.value), WindowNetwork(shared.value), 0
+        known = Vocabulary(*vocabulary.value)
         for batch in batches:
-            for texts in pieces(batch.column(0).to_pylist()):
-                seen += descend_over(net, known, texts, rate)
-        if seen:
-            own = flat(net.p).astype(np.float64) * seen
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(own), dtype=np.int32)), pa.array(own), pa.array(np.full(len(own), seen, dtype=np.int64))], names=["i", "x", "n"]
-            )
+            at = 0
+            for texts in pieces(batch.column(1).to_pylist()):
+                h, ending, of = tokens(texts)
+                c = known.classes(h, ending).astype(np.uint8).tobytes()
+                ends = np.searchsorted(of, np.arange(len(texts) + 1)).tolist()
+                own = [c[a:b] for a, b in zip(ends, ends[1:])]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), pa.array(own, pa.binary())], names=["at", "classes"])
+                at += len(texts)
 
     small_batches(docs)
-    own = docs.select(col(text_col).cast("string").alias("t")).where("t is not null")
-    summed = own.mapInArrow(run, "i int, x double, n long").groupBy("i").agg(F.sum("x").alias("x"), F.sum("n").alias("n"))
+    text = col(text_col).cast("string")
+    own = docs.select(F.xxhash64(*[col(c) for c in by], text).alias("at"), text.alias("t")).where("t is not null")
+    coded = own.mapInArrow(run, "at long, classes binary").where("length(classes) > 0")
+    return written(coded.select(F.pmod("at", F.lit(blocks)).cast("int").alias("block"), "at", "classes"))
+
+
+def train_round(coded: DataFrame, blocks: int, p: dict[str, np.ndarray], rate: float) -> dict[str, np.ndarray]:
+    """Parameters after each block of in_blocks() has been descended over, averaged by positions."""
+    spark = coded.sparkSession
+    shared = spark.sparkContext.broadcast(p)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, descent, ended = None, None, []
+
+        def end() -> None:
+            if descent is not None:
+                x, n = descent.end()
+                ended[:] = [(ended[0][0] + x * n, ended[0][1] + n) if ended else (x * n, n)]
+
+        for batch in batches:
+            of, documents = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            edges = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
+            for a, b in zip(edges, edges[1:]):
+                if a < b and of[a] != block:
+                    end()
+                    block, descent = of[a], Descent(shared.value, rate)
+                for some in pieces(documents[a:b]):
+                    descent.take(some)
+        end()
+        for x, n in ended:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(x), dtype=np.int32)), pa.array(x), pa.array(np.full(len(x), n, dtype=np.int64))], names=["i", "x", "n"])
+
+    small_batches(coded)
+    tasks = min(blocks, max(200, 4 * spark.sparkContext.defaultParallelism))
+    ordered = coded.repartition(tasks, "block").sortWithinPartitions("block", "at", "classes").select("block", "classes")
+    summed = ordered.mapInArrow(run, "i int, x double, n long").groupBy("i").agg(F.sum("x").alias("x"), F.sum("n").alias("n"))
     got = summed.toArrow().sort_by("i")
     shared.unpersist()
     return shaped(got.column("x").to_numpy() / got.column("n").to_numpy()) if got.num_rows else p
@@ -241,13 +299,16 @@ def vocabulary_of(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return hashes, n, totals
 
 
-def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tuple[DataFrame, tuple, dict[str, np.ndarray]]:
-    """The counts (a written table), the vocabulary's parts and the network's parameters."""
+def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, by: tuple[str, ...] = ()) -> tuple[DataFrame, tuple, dict[str, np.ndarray]]:
+    """The counts (a written table), the vocabulary's parts and the network's parameters. by: as in in_blocks()."""
     counts = written(token_counts(docs, text_col))
     parts, p = vocabulary_of(counts), first_parameters()
     shared = docs.sparkSession.sparkContext.broadcast(parts)
+    blocks = max(1, -(-int(parts[2].sum()) // BLOCK))
+    coded = in_blocks(docs, shared, blocks, text_col, by)
     for k in range(rounds):
-        p = train_round(docs, shared, p, 0.1 / (k + 1), text_col)
+        p = train_round(coded, blocks, p, 0.1 / (k + 1))
+    discard(coded)
     shared.unpersist()
     return counts, parts, p
 
@@ -299,4 +360,4 @@ def score(docs: DataFrame, model: tuple, keep: tuple[str, ...] = ("doc_id",), te
 
 def op3_lm_pseudo_likelihood(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return score(docs, train(docs))
+    return score(docs, train(docs, by=("doc_id",)))

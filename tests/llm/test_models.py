@@ -204,21 +204,41 @@ def test_pseudo_likelihood_trains_on_every_position(spark, monkeypatch):
     class Spy(lmscore.WindowNetwork):
         def descend(self, sides, middle, rate):
             targets.extend(middle.tolist())
+            sizes.append(len(middle))
 
-    texts, targets = ["a b c, " * 300, None, "", "b a"], []
+    texts, targets, sizes = ["a b c, " * 300, None, "", "b a"], [], []
     hashes = np.unique(lmscore.tokens(["a b c ,"])[0])
     vocabulary = lmscore.Vocabulary(hashes, np.ones(4), np.ones(lmscore.CLASSES))
-    n = lmscore.descend_over(Spy(lmscore.first_parameters()), vocabulary, texts, 0.1)
-    assert n == 1202 and targets == [k for t in texts for k in vocabulary.classes(*lmscore.tokens([t])[:2]).tolist()]
+    classes = [vocabulary.classes(*lmscore.tokens([t])[:2]).tolist() for t in texts]
+    monkeypatch.setattr(lmscore, "WindowNetwork", Spy)
+    for cuts in ([0, 4], [0, 1, 2, 3, 4]):  # batches go on from one document to the next, however these are handed over
+        targets.clear(), sizes.clear()
+        descent = lmscore.Descent(lmscore.first_parameters(), 0.1)
+        for a, b in zip(cuts, cuts[1:]):
+            descent.take([bytes(c) for c in classes[a:b]])
+        assert descent.end()[1] == 1202 and targets == [k for c in classes for k in c] and sizes == [lmscore.BATCH, 1202 - lmscore.BATCH]
+    monkeypatch.undo()
     docs, rounds, real = spark.createDataFrame([(t,) for t in texts], "text string"), [], lmscore.train_round
 
-    def counted(d, *own):
-        rounds.append(d.count())
-        return real(d, *own)
+    def counted(coded, *own):
+        rounds.append(coded.agg({"classes": "count"}).first()[0])
+        return real(coded, *own)
 
     monkeypatch.setattr(lmscore, "train_round", counted)
     lmscore.train(docs)
-    assert rounds == [4] * lmscore.ROUNDS
+    assert rounds == [2] * lmscore.ROUNDS  # the two documents that have tokens
+
+
+def test_pseudo_likelihood_does_not_hang_on_the_split(spark, monkeypatch):
+    monkeypatch.setattr(lmscore, "BLOCK", 40_000)  # some ten blocks
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    scores = []
+    for n in (1, 4, 16, 64):
+        dealt = docs.repartition(n)
+        got = lmscore.score(dealt, lmscore.train(dealt, by=("doc_id",))).where("n_tokens > 0").collect()
+        scores.append({r.doc_id: r.log_prob / r.n_tokens for r in got})
+    for other in scores[1:]:
+        assert other.keys() == scores[0].keys() and max(abs(other[k] - scores[0][k]) for k in other) < 1e-3
 
 
 def test_gradient_of_the_window_network():
