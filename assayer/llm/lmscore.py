@@ -3,9 +3,10 @@
 Tokens are words (lower case) and single punctuation marks; every different token of the corpus is one of the
 vocabulary, under a 64-bit hash of its letters. A token's probability is that of its class times its own within the
 class. The network predicts the class from `SIDE` neighbours on either side: one embedding table for each
-neighbour's place, summed, tanh, softmax. The `FREQUENT` most frequent tokens are classes of their own; the others
-are classed by their ending (a hash of the last two letters), and within such a class a token has its share of all
-the corpus's occurrences. A document's score is the sum of the log-probabilities of every token of the whole text,
+neighbour's place, summed, tanh, then two softmaxes: which of the `FREQUENT` most frequent tokens, classes of their
+own, or any other; and, for another, its class, which is that of its ending (a hash of the last two letters). The second
+is worked out only where a token isn't a frequent one. Within a class of endings a token has its share of all the
+corpus's occurrences. A document's score is the sum of the log-probabilities of every token of the whole text,
 each masked in turn.
 
 Token counts cover all documents and grow with them: they are summed in a shuffle and joined to the documents'
@@ -42,7 +43,7 @@ CLASSES = FREQUENT + ENDINGS
 EDGE = CLASSES
 SIDE, HIDDEN = 2, 16
 ROUNDS = 2
-BATCH = 1024
+BATCH = 4096
 #: Tokens that are descended over from one set of parameters, about, before averaging.
 BLOCK = 1 << 21
 #: Tokens whose counts are broadcast; all others' are joined.
@@ -107,7 +108,10 @@ class Vocabulary:
         return np.where(own >= 0, own, ending)
 
 
-SHAPES = {"E": (2 * SIDE, CLASSES + 1, HIDDEN), "a": (HIDDEN,), "W": (HIDDEN, CLASSES), "b": (CLASSES,)}
+#: W and b tell the frequent tokens and, in the last column, all others; V and c the others' classes among these.
+SHAPES = {
+    "E": (2 * SIDE, CLASSES + 1, HIDDEN), "a": (HIDDEN,), "W": (HIDDEN, FREQUENT + 1), "b": (FREQUENT + 1,), "V": (HIDDEN, ENDINGS), "c": (ENDINGS,),
+}
 
 
 def first_parameters(seed: int = 13) -> dict[str, np.ndarray]:
@@ -140,40 +144,56 @@ class WindowNetwork:
         h += self.p["a"]
         return np.tanh(h, out=h)
 
-    def outputs(self, h: np.ndarray) -> np.ndarray:
-        """The output layer for hidden rows, less the row's maximum only where exp could overflow without."""
-        z = h @ self.p["W"]
-        z += self.p["b"]
-        if (np.abs(self.p["W"]).sum(axis=0) + np.abs(self.p["b"])).max() > 60:
+    def outputs(self, h: np.ndarray, w: str, b: str) -> tuple[np.ndarray, np.ndarray]:
+        """Hidden rows with a 1 behind them, and an output layer's values for them, less the row's maximum only where exp
+        could overflow without."""
+        one = np.ones((len(h), HIDDEN + 1), dtype=np.float32)
+        one[:, :HIDDEN] = h
+        z = one @ np.vstack([self.p[w], self.p[b]])
+        if len(z) and (np.abs(self.p[w]).sum(axis=0) + np.abs(self.p[b])).max() > 60:
             z -= z.max(axis=1, keepdims=True)
-        return z
+        return one, z
+
+    def _own(self, h: np.ndarray, own: np.ndarray, w: str, b: str) -> np.ndarray:
+        """The log-probability of each row's own column."""
+        _, z = self.outputs(h, w, b)
+        at = z[np.arange(len(own)), own]
+        return at - np.log(np.exp(z, out=z) @ np.ones(z.shape[1], dtype=np.float32))
 
     def log_probabilities(self, sides: np.ndarray, middle: np.ndarray) -> np.ndarray:
         """Of each middle class between its neighbours."""
-        out, ones = np.empty(len(middle)), np.ones(CLASSES, dtype=np.float32)
+        out = np.empty(len(middle))
         for at in range(0, len(middle), BATCH):
-            z = self.outputs(self.hidden(sides[:, at : at + BATCH]))
-            m = middle[at : at + BATCH]
-            own = z[np.arange(len(m)), m]
-            out[at : at + BATCH] = own - np.log(np.exp(z, out=z) @ ones)
+            h, m = self.hidden(sides[:, at : at + BATCH]), middle[at : at + BATCH]
+            each = self._own(h, np.minimum(m, FREQUENT), "W", "b")
+            rest = np.flatnonzero(m >= FREQUENT)
+            each[rest] += self._own(h[rest], m[rest] - FREQUENT, "V", "c")
+            out[at : at + BATCH] = each
         return out
 
+    def _gradient(self, h: np.ndarray, own: np.ndarray, n: int, w: str, b: str, g: dict[str, np.ndarray]) -> np.ndarray:
+        """Puts an output layer's gradient, over n positions of which these are some, into g; gives the hidden rows'."""
+        one, q = self.outputs(h, w, b)
+        np.exp(q, out=q)
+        # the gradient of the outputs is q / sum - 1 at the row's own column; its scale goes to the narrow side of the products
+        scale = 1 / ((q @ np.ones(q.shape[1], dtype=np.float32)) * n)
+        q[np.arange(len(own)), own] -= 1 / (scale * n)
+        one *= scale[:, None]
+        both = one.T @ q
+        g[w], g[b] = both[:HIDDEN], both[HIDDEN]
+        dh = q @ self.p[w].T
+        dh *= scale[:, None]
+        return dh
+
     def descend(self, sides: np.ndarray, middle: np.ndarray, rate: float) -> None:
         """One step of Adagrad on a batch of positions."""
         h, n = self.hidden(sides), len(middle)
-        q = self.outputs(h)
-        np.exp(q, out=q)
-        # the gradient of the outputs is q / sum - 1 at the middle; its scale goes to the narrow side of the products
-        scale = 1 / ((q @ np.ones(CLASSES, dtype=np.float32)) * n)
-        q[np.arange(n), middle] -= 1 / (scale * n)
-        both = np.empty((n, HIDDEN + 1), dtype=np.float32)
-        np.multiply(h, scale[:, None], out=both[:, :HIDDEN])
-        both[:, HIDDEN] = scale
-        gw = both.T @ q
-        dh = q @ self.p["W"].T
-        dh *= scale[:, None]
+        g = {"E": np.empty(SHAPES["E"], dtype=np.float32)}
+        dh = self._gradient(h, np.minimum(middle, FREQUENT), n, "W", "b", g)
+        rest = np.flatnonzero(middle >= FREQUENT)
+        dh[rest] += self._gradient(h[rest], middle[rest] - FREQUENT, n, "V", "c", g)
         dh *= 1 - h * h
-        g = {"W": gw[:HIDDEN], "b": gw[HIDDEN], "a": dh.sum(axis=0), "E": np.empty(SHAPES["E"], dtype=np.float32)}
+        g["a"] = dh.sum(axis=0)
         for k in range(2 * SIDE):  # rows of one class are brought together and summed; 16-bit classes are sorted by radix
             order = np.argsort(sides[k], kind="stable")
             own = sides[k][order]

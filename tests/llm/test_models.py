@@ -154,8 +154,11 @@ def brute_pseudo_likelihood(texts, p, frequent=lmscore.FREQUENT):
         ids, total = [lmscore.EDGE] * 2 + [cls[t] for t in own] + [lmscore.EDGE] * 2, 0.0
         for k, t in enumerate(own, start=2):
             h = np.tanh(p["a"] + sum(p["E"][j][ids[k + d]].astype(float) for j, d in enumerate((-2, -1, 1, 2))))
-            z = h @ p["W"] + p["b"]
-            total += z[ids[k]] - z.max() - math.log(np.exp(z - z.max()).sum()) + math.log(count[t] / totals[cls[t]])
+            parts = [("W", "b", min(ids[k], lmscore.FREQUENT))] + ([("V", "c", ids[k] - lmscore.FREQUENT)] if ids[k] >= lmscore.FREQUENT else [])
+            for w, b, own_column in parts:
+                z = h @ p[w] + p[b]
+                total += z[own_column] - z.max() - math.log(np.exp(z - z.max()).sum())
+            total += math.log(count[t] / totals[cls[t]])
         out.append((len(own), total))
     return out
 
@@ -206,7 +209,7 @@ def test_pseudo_likelihood_trains_on_every_position(spark, monkeypatch):
             targets.extend(middle.tolist())
             sizes.append(len(middle))
 
-    texts, targets, sizes = ["a b c, " * 300, None, "", "b a"], [], []
+    texts, targets, sizes = ["a b c, " * 1200, None, "", "b a"], [], []
     hashes = np.unique(lmscore.tokens(["a b c ,"])[0])
     vocabulary = lmscore.Vocabulary(hashes, np.ones(4), np.ones(lmscore.CLASSES))
     classes = [vocabulary.classes(*lmscore.tokens([t])[:2]).tolist() for t in texts]
@@ -216,7 +219,7 @@ def test_pseudo_likelihood_trains_on_every_position(spark, monkeypatch):
         descent = lmscore.Descent(lmscore.first_parameters(), 0.1)
         for a, b in zip(cuts, cuts[1:]):
             descent.take([bytes(c) for c in classes[a:b]])
-        assert descent.end()[1] == 1202 and targets == [k for c in classes for k in c] and sizes == [lmscore.BATCH, 1202 - lmscore.BATCH]
+        assert descent.end()[1] == 4802 and targets == [k for c in classes for k in c] and sizes == [lmscore.BATCH, 4802 - lmscore.BATCH]
     monkeypatch.undo()
     docs, rounds, real = spark.createDataFrame([(t,) for t in texts], "text string"), [], lmscore.train_round
 
@@ -249,8 +252,10 @@ def test_gradient_of_the_window_network():
 
     def loss(p):
         h = np.tanh(p["a"] + sum(p["E"][k][sides[k]] for k in range(4)))
-        z = h @ p["W"] + p["b"]
-        return -np.mean(z[np.arange(50), middle] - np.log(np.exp(z).sum(axis=1)))
+        z, y = h @ p["W"] + p["b"], h @ p["V"] + p["c"]
+        first = z[np.arange(50), np.minimum(middle, lmscore.FREQUENT)] - np.log(np.exp(z).sum(axis=1))
+        second = y[np.arange(50), np.maximum(middle - lmscore.FREQUENT, 0)] - np.log(np.exp(y).sum(axis=1))
+        return -np.mean(first + np.where(middle >= lmscore.FREQUENT, second, 0))
 
     class Plain(dict):  # Adagrad's divisor left out: parameters move by the gradient
         def __getitem__(self, k):
@@ -262,7 +267,7 @@ def test_gradient_of_the_window_network():
     net.seen = Plain()
     with np.errstate(divide="ignore", invalid="ignore"):
         net.descend(sides, middle, 0.0)
-    for k in ("W", "b", "a", "E"):
+    for k in ("W", "b", "V", "c", "a", "E"):
         g2 = net.seen.squares[k]
         for _ in range(6):
             at = tuple(int(r.integers(s)) for s in lmscore.SHAPES[k]) if k != "E" else (1, int(sides[1][r.integers(50)]), int(r.integers(lmscore.HIDDEN)))
