@@ -42,6 +42,38 @@ def _xml(package: ZipFile, name: str) -> ElementTree.Element:
     return ElementTree.fromstring(raw)
 
 
+#: Bytes of a part that are parsed at once.
+STEP = 1 << 16
+
+
+def _pulled(package: ZipFile, name: str, tag: str) -> Iterator[ElementTree.Element]:
+    """The elements of one tag in a part (not within one another), each as soon as it ends, while the part is unpacked and
+    parsed step by step; what was told, and whatever lies beside it, is forgotten. The part is never whole in memory, and
+    parsing stops when the caller does."""
+    parser, before = ElementTree.XMLPullParser(("start", "end")), b""
+    above: list[ElementTree.Element] = []
+    inside = 0
+    with package.open(name) as part:
+        while step := part.read(STEP):
+            seen = before + step
+            if b"<!DOCTYPE" in seen or b"<!ENTITY" in seen:
+                raise Unreadable("a part declares entities")
+            before = seen[-10:]
+            parser.feed(step)
+            for event, node in parser.read_events():
+                if event == "start":
+                    above.append(node)
+                    inside += node.tag == tag
+                    continue
+                above.pop()
+                if node.tag == tag:
+                    inside -= 1
+                    yield node
+                if above and not inside:
+                    above[-1].clear()
+    parser.close()
+
+
 def _targets(package: ZipFile, part: str) -> dict[str, str]:
     folder, name = posixpath.split(part)
     rels = _xml(package, f"{folder}/_rels/{name}.rels")
@@ -88,28 +120,35 @@ def xlsx_lines(raw: bytes, max_cells: int = MAX_CELLS) -> Iterator[str]:
         targets, dates = _targets(package, "xl/workbook.xml"), _date_styles(package)
         shared = []
         if "xl/sharedStrings.xml" in package.namelist():
-            shared = ["".join(t.text or "" for t in s.iter(f"{X}t")) for s in _xml(package, "xl/sharedStrings.xml").findall(f"{X}si")]
+            shared = ["".join(t.text or "" for t in s.iter(f"{X}t")) for s in _pulled(package, "xl/sharedStrings.xml", f"{X}si")]
         yield SHEETS + ", ".join(name for name, _ in sheets)
         cells = 0
         for name, rid in sheets:
-            rows = [list(row.findall(f"{X}c")) for row in _xml(package, targets[rid]).iter(f"{X}row")]
-            cells += len(rows) * max(map(len, rows), default=0)  # empty cells of the used range count
-            if cells > max_cells:
-                raise Unreadable(f"xlsx: more than {max_cells} cells")
-            for cell in (c for row in rows for c in row):
-                kind, v = cell.get("t", "n"), cell.find(f"{X}v")
-                if kind == "inlineStr":
-                    value = "".join(t.text or "" for t in cell.iter(f"{X}t"))
-                elif v is None or v.text is None:
-                    continue
-                elif kind == "s":
-                    value = shared[int(v.text)]
-                elif kind == "b":
-                    value = str(v.text == "1")
-                else:
-                    style = int(cell.get("s", 0))
-                    value = _number(v.text, style < len(dates) and dates[style]) if kind == "n" else v.text
-                yield f"{name}!{cell.get('r')}: {value}"
+            rows = widest = 0
+            for row in _pulled(package, targets[rid], f"{X}row"):
+                own = row.findall(f"{X}c")
+                rows, widest = rows + 1, max(widest, len(own))
+                if cells + rows * widest > max_cells:  # empty cells of the used range count; more rows can only add to them
+                    raise Unreadable(f"xlsx: more than {max_cells} cells")
+                yield from _cell_lines(name, own, shared, dates)
+            cells += rows * widest
+
+
+def _cell_lines(sheet: str, cells: list[ElementTree.Element], shared: list[str], dates: list[bool]) -> Iterator[str]:
+    for cell in cells:
+        kind, v = cell.get("t", "n"), cell.find(f"{X}v")
+        if kind == "inlineStr":
+            value = "".join(t.text or "" for t in cell.iter(f"{X}t"))
+        elif v is None or v.text is None:
+            continue
+        elif kind == "s":
+            value = shared[int(v.text)]
+        elif kind == "b":
+            value = str(v.text == "1")
+        else:
+            style = int(cell.get("s", 0))
+            value = _number(v.text, style < len(dates) and dates[style]) if kind == "n" else v.text
+        yield f"{sheet}!{cell.get('r')}: {value}"
 
 
 def _frame_text(body: ElementTree.Element | None) -> str:

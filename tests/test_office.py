@@ -39,6 +39,48 @@ def test_xlsx_cell_limit():
     assert len(list(office.xlsx_lines(raw, 3))) == 4
 
 
+def test_a_sheet_is_parsed_no_further_than_its_limit(tmp_path):
+    """Ten million cells in one sheet: parsing stops at the limit, and the sheet is never whole in memory."""
+    import resource
+    import time
+    from zipfile import ZIP_DEFLATED, ZipFile
+
+    small = xlsx({"S": row(1, '<x:c r="A1"><x:v>1</x:v></x:c>')})
+    (tmp_path / "s.xlsx").write_bytes(small)
+    one = row(1, *['<x:c r="A1" t="str"><x:v>a value of some length</x:v></x:c>'] * 1000).encode()
+    with ZipFile(tmp_path / "s.xlsx") as src, ZipFile(tmp_path / "big.xlsx", "w", ZIP_DEFLATED, compresslevel=1) as out:
+        for n in src.namelist():
+            if "worksheets" not in n:
+                out.writestr(n, src.read(n))
+                continue
+            with out.open(n, "w", force_zip64=True) as part:
+                part.write(f'<x:worksheet xmlns:x="{NS["x"]}"><x:sheetData>'.encode())
+                for _ in range(10_000):
+                    part.write(one)
+                part.write(b"</x:sheetData></x:worksheet>")
+    raw = (tmp_path / "big.xlsx").read_bytes()
+    before, began = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.process_time()
+    assert read("xlsx", raw) == ([], "xlsx: more than 200000 cells")
+    assert time.process_time() - began < 20 and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 200_000
+    told = 0
+    for line in office.xlsx_lines(raw, 2_000_000):  # a caller that has enough stops the parsing
+        told += 1
+        if told == 1000:
+            break
+    assert line == "S!A1: a value of some length"
+
+
+def test_parts_with_entities_are_refused():
+    raw = packed(**{"xl/workbook.xml": f'<x:workbook xmlns:x="{NS["x"]}"/>', "a.xml": "<!--" + " " * (office.STEP - 12) + "--><!DOCTYPE a [<!ENTITY b 'x'>]><a><c>&b;</c></a>", "b.xml": "<a>" + "<r><r2/>x</r><s/>" * 30_000 + "</a>"})
+    from io import BytesIO
+    from zipfile import ZipFile
+
+    with ZipFile(BytesIO(raw)) as package:
+        with pytest.raises(office.Unreadable, match="entities"):
+            list(office._pulled(package, "a.xml", "c"))
+        assert [(n.tag, len(n)) for n in office._pulled(package, "b.xml", "r")] == [("r", 1)] * 30_000
+
+
 def test_pptx_order_groups_tables_charts():
     grid = '<p:graphicFrame><a:graphic><a:graphicData uri="x/table"><a:tbl>' + "".join(
         "<a:tr>" + "".join(f"<a:tc><a:txBody><a:p><a:r><a:t>{c}</a:t></a:r></a:p></a:txBody></a:tc>" for c in r) + "</a:tr>" for r in (["a", "b"],)
