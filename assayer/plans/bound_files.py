@@ -171,11 +171,15 @@ def k5(spark, sf_dir):
     return verdict_log.probe_verdicts(asked, log).select("key", F.col("seq").cast("int").alias("seq"), "met")
 
 
-@query("k4_csv_file", "SELECT s_suppkey, s_name, CASE WHEN s_suppkey % 2 = 0 THEN s_acctbal END AS s_acctbal FROM supplier")
+@query("k4_csv_file", "SELECT o_orderkey, 'a \"b\", ' || o_orderpriority AS o_orderpriority, CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice END AS o_totalprice, row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1 AS line FROM orders")
 def k4(spark, sf_dir):
-    path = workspace(spark) / "table.csv"
-    reports.write_csv(read(spark, sf_dir, "supplier").select("s_suppkey", "s_name", F.when(F.col("s_suppkey") % 2 == 0, F.col("s_acctbal")).alias("s_acctbal")), path)
-    return spark.read.schema("s_suppkey bigint, s_name string, s_acctbal double").csv(f"file://{path}", header=True)
+    """One file of all orders by price; `line` is a row's place in it, found by reading the file as one text."""
+    path, price = workspace(spark) / "table.csv", F.col("o_totalprice")
+    rows = read(spark, sf_dir, "orders").orderBy(price, "o_orderkey")
+    reports.write_csv(rows.select("o_orderkey", F.concat(F.lit('a "b", '), "o_orderpriority").alias("o_orderpriority"), F.when(F.col("o_orderkey") % 2 == 0, price).alias("o_totalprice")), path)
+    lines = spark.read.text(f"file://{path}", wholetext=True).select(F.posexplode(F.split(F.regexp_replace("value", "\r\n$", ""), "\r\n")).alias("at", "text")).where("at > 0")
+    own = F.from_csv("text", "o_orderkey bigint, o_orderpriority string, o_totalprice double", {"escape": '"'}).alias("x")
+    return lines.select((F.col("at") - 1).cast("bigint").alias("line"), own).select("x.*", "line")
 
 
 # ---------------------------------------------------------------- files

@@ -1,43 +1,16 @@
-"""Results to files for people: small tables, written from the driver."""
+"""Results to files for people: tables as one CSV file each, and the report, which is a few rows."""
 
 from __future__ import annotations
 
-import csv
 import hashlib
 from pathlib import Path
 
-from pyspark.sql import DataFrame
-
 from ..sources.files import replace_whole
+from ..sources.one_file import shown, write_csv  # noqa: F401
 
 BLANK = "—"
 
 
-def shown(value) -> str:
-    if value is None or value == "":
-        return ""
-    return str(int(value)) if hasattr(value, "as_tuple") and value == value.to_integral_value() else str(value)
-
-
-def write_csv(df: DataFrame, path: Path) -> int:
-    """UTF-8 with BOM, one header; no file for an empty table. Rows stream to the driver a partition at a time."""
-    n = 0
-    out = writer = None
-    try:
-        for row in df.toLocalIterator():
-            if out is None:
-                path.parent.mkdir(parents=True, exist_ok=True)
-                out = path.open("w", newline="", encoding="utf-8-sig")
-                writer = csv.writer(out)
-                writer.writerow(df.columns)
-            writer.writerow([shown(v) for v in row])
-            n += 1
-    finally:
-        if out:
-            out.close()
-    return n
-
-
 def report_folder(results: Path, root: Path) -> Path:
     return results / f"{root.name}-{hashlib.sha256(str(root.resolve()).encode()).hexdigest()[:10]}"
 
