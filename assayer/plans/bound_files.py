@@ -296,7 +296,7 @@ def v12(spark, sf_dir):
 
 @query(
     "s16_s20_downloads",
-    """SELECT c_name || x.y AS name, least(c_custkey % 5 + 1, 3) AS attempts, CASE WHEN c_custkey % 5 < 3 THEN 0 ELSE 3 END AS again, CASE WHEN c_custkey % 5 < 3 THEN sha256('https://h/' || c_custkey) END AS sha256,
+    """SELECT c_name || x.y AS name, CAST(least(c_custkey % 5 + 1, 3) AS INTEGER) AS attempts, CASE WHEN c_custkey % 5 < 3 THEN 0 ELSE 3 END AS again, CASE WHEN c_custkey % 5 < 3 THEN sha256('https://h/' || c_custkey) END AS sha256,
     CASE WHEN c_custkey % 5 >= 3 THEN 'an attachment can''t be fetched (HTTP 503)' END AS error FROM customer CROSS JOIN (VALUES ('a'), ('b')) x(y)""",
 )
 def s16(spark, sf_dir):
