@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.digests import canonical_map, fingerprint
+from ..functions.digests import fingerprint, json_map
 from ..functions.text import is_blank, path_key, reaches
 from ..schemas import MAX_CHARS
 
@@ -34,9 +34,9 @@ def bundle(files: DataFrame, keys: list[str], path: str = "path", text: str = "t
 
 
 def files_digest(files: DataFrame, keys: list[str], path: str = "path", sha256: str = "sha256") -> DataFrame:
-    """keys, digest: of the map from a task's paths to their contents' digests."""
+    """keys, digest, files: the map from a task's paths to their contents' digests in canonical form, and its digest."""
     entries = F.map_from_entries(F.collect_list(F.struct(path, sha256)))
-    return files.groupBy(*keys).agg(fingerprint(canonical_map(entries)).alias("digest"))
+    return files.groupBy(*keys).agg(json_map(entries).alias("files")).select(*keys, fingerprint(F.col("files")).alias("digest"), "files")
 
 
 def kept_before_cap(size: Column, keys: list[str], order: list[str], cap: int) -> Column:

@@ -331,8 +331,8 @@ def a10(spark, sf_dir):
 @query(
     "a11_output_digest",
     """WITH f AS (SELECT conv_id, printf('%04d', turn) AS p, sha256(text) AS h FROM conversations),
-    m AS (SELECT conv_id, 'm' || count(*) || '[' || string_agg('s' || length(p) || ':' || p || 's64:' || h, '' ORDER BY p) || ']' AS m FROM f GROUP BY conv_id)
-    SELECT conv_id, sha256('a1[' || m || ']') AS digest FROM m""",
+    m AS (SELECT conv_id, '{' || string_agg('"' || p || '": "' || h || '"', ', ' ORDER BY p) || '}' AS files FROM f GROUP BY conv_id)
+    SELECT conv_id, sha256('[' || files || ']') AS digest, files FROM m""",
 )
 def a11(spark, sf_dir):
     files = read(spark, sf_dir, "conversations").select("conv_id", F.format_string("%04d", "turn").alias("path"), F.sha2("text", 256).alias("sha256"))
@@ -437,9 +437,9 @@ def u5(spark, sf_dir):
 # ---------------------------------------------------------------- functions
 
 
-@query("f2_f4_cache_key", """SELECT item_id, sha256('a6[s' || length(i) || ':' || i || 's1:ms6:rubrics1:ps1:xs1:ys' || strlen(text) || ':' || text || ']') AS key FROM (SELECT item_id, CAST(item_id AS VARCHAR) AS i, text FROM benchmark)""".replace("a6[", "a7["))
+@query("f2_f4_cache_key", """SELECT item_id, sha256('["' || item_id || '", "m", "rubric", {"only": ["p"]}, "x", "é \\\\ \\"", [' || coalesce(CAST(to_json(text) AS VARCHAR), 'null') || ', ' || length(text) || ']]') AS key FROM benchmark""")
 def f4(spark, sf_dir):
-    key = digests.cache_key(F.col("item_id").cast("string"), "m", "rubric", "p", ("x", "y"), digests.canonical(F.col("text")))
+    key = digests.cache_key(F.col("item_id").cast("string"), "m", "rubric", {"only": ["p"]}, ("x", 'é \\ "'), digests.json_text(F.col("text")), digests.json_whole(F.length("text")))
     return read(spark, sf_dir, "benchmark").select("item_id", key.alias("key"))
 
 
@@ -533,14 +533,14 @@ def f21_pairwise(spark, sf_dir):
 
 
 def _form(x: str) -> str:
-    return f"'s' || strlen({x}) || ':' || {x}"
+    return f"CAST(to_json({x}) AS VARCHAR)"
 
 
 @query(
     "f3_task_signature",
-    f"""SELECT p_partkey AS ordinal, sha256('a9[' || {_form("CAST(p_partkey AS VARCHAR)")} || {_form("p_name")} || {_form("p_brand")} || {_form("p_type")}
-    || 'a1[' || 's1:i' || {_form("p_brand")} || {_form("CAST(p_size AS VARCHAR)")} || ']' || 'a1[' || {_form("p_name")} || ']' || 'a0[]'
-    || 'a2[' || {_form("p_type")} || {_form("p_brand")} || ']' || 'n' || ']') AS signature FROM part""",
+    f"""SELECT p_partkey AS ordinal, sha256('[{{"gold_names": [], "gold_urls": [' || {_form("p_name")} || '], "occupation": ' || {_form("p_brand")} || ', "ordinal": ' || p_partkey
+    || ', "prompt": ' || {_form("p_type")} || ', "reference_names": [' || {_form("p_type")} || ', ' || {_form("p_brand")} || '], "reference_urls": null, "rubric": [{{"criterion": '
+    || {_form("p_brand")} || ', "item_id": "i", "score": ' || p_size || '}}], "task_id": ' || {_form("p_name")} || '}}]') AS signature FROM part""",
 )
 def f3(spark, sf_dir):
     item = F.struct(F.lit("i").alias("item_id"), F.col("p_brand").alias("criterion"), F.col("p_size").alias("score"))

@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.digests import canonical, fingerprint
+from ..functions.digests import coin, fingerprint, json_text, json_whole
 from ..functions.numbers import round_exact, task_score
 from ..operators.scoring import flat_totals, item_sums, unjudged, win_rate
 from ..operators.validation import Invalid
@@ -37,18 +37,20 @@ def run(spark: SparkSession, tasks: DataFrame, folder: Path, product: str, mode:
     """Writes <product>.<mode>.csv and returns (total or win rate, cost of new verdicts). A judge's error stops the run."""
     own = tasks if limit is None else bank.first_tasks(tasks, limit)
     docs = materialised(deliverables(spark, folder, own))
-    ready = own.join(docs.where("error is null"), "ordinal").withColumn("reference", F.lit("")).withColumn("input_digest", F.lit("")).withColumnRenamed("sha256", "output_digest")
+    ready = own.join(docs.where("error is null"), "ordinal").withColumn("reference", F.lit(""))
     notes = docs.select("ordinal", "error")
     log = str(results / f"{product}.{mode}.verdicts")
     results.mkdir(parents=True, exist_ok=True)
     if mode == "rubric":
-        requests = judging.rubric_requests(ready, ["ordinal"], judge)
+        requests = judging.rubric_requests(ready, ["ordinal"], judge, [json_text(F.col("document")), json_text(F.col("sha256"))])
     elif mode == "pairwise":
         if experts is None:
             raise Invalid("pairwise needs the experts' texts")
         notes = notes.join(experts.select("ordinal", F.col("error").alias("e")), "ordinal", "left").select("ordinal", F.coalesce("error", "e").alias("error"))
-        seeded = ready.join(experts.where("error is null").select("ordinal", "expert"), "ordinal").withColumn("signature", fingerprint(canonical(F.col("signature")), canonical(F.lit(seed))))
-        requests = judging.pairwise_requests(seeded, ["ordinal"], judge)
+        seeded = ready.join(experts.where("error is null").select("ordinal", "expert"), "ordinal")
+        proof = [json_text(F.col("document")), json_text(F.col("expert")), json_whole(F.lit(seed)), json_text(F.col("sha256"))]
+        side = coin(fingerprint(json_text(F.col("signature")), json_whole(F.lit(seed))))  # by task, so that no task's side hangs on which were asked before
+        requests = judging.pairwise_requests(seeded, ["ordinal"], judge, proof, side)
     else:
         raise Invalid("the mode is rubric or pairwise")
     requests = materialised(requests)

@@ -7,10 +7,10 @@ import time
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.digests import cache_key, canonical, coin
+from ..functions.digests import cache_key, json_text, seeded_coin
 from ..functions.prompts import PAIRWISE_SYSTEM, RUBRIC_SYSTEM, pairwise_prompt, rubric_prompt
 from ..functions.verdicts import pairwise_choice, pairwise_score, rubric_met
 from ..operators.scoring import reused, unjudged
@@ -21,12 +21,13 @@ from ..sources.verdict_log import COMPACT_AFTER, append_verdicts, compact, probe
 SYSTEMS = (RUBRIC_SYSTEM, PAIRWISE_SYSTEM)
 
 
-def rubric_requests(evidence: DataFrame, keys: list[str], judge: Judge) -> DataFrame:
+def rubric_requests(evidence: DataFrame, keys: list[str], judge: Judge, proof: list[Column] | None = None) -> DataFrame:
     """keys, key, item_id, score, prompt, system: one row a rubric item.
 
-    evidence has keys, signature, prompt, rubric, document, reference and input_digest, output_digest.
+    evidence has keys, signature, prompt, rubric, document, reference. A verdict's key hangs on proof, values in canonical
+    form: unless given, input_files, output_files, document and reference.
     """
-    identity = _identity(judge, "rubric", F.lit(""))
+    identity = _identity(judge, "rubric", proof or _proof(F.lit("")))
     each = evidence.select(*keys, identity.alias("identity"), F.col("prompt").alias("task_prompt"), "reference", "document", F.explode("rubric").alias("i"))
     return each.select(
         *keys, F.concat("identity", F.lit(":"), F.col("i.item_id")).alias("key"), F.col("i.item_id").alias("item_id"), F.col("i.score").alias("score"),
@@ -34,18 +35,23 @@ def rubric_requests(evidence: DataFrame, keys: list[str], judge: Judge) -> DataF
     )
 
 
-def pairwise_requests(evidence: DataFrame, keys: list[str], judge: Judge) -> DataFrame:
-    """keys, key, product_is_a, prompt, system; evidence has the expert's text too. The side is a coin of the signature."""
-    side = coin(F.col("signature"))
-    return evidence.select(
-        *keys, _identity(judge, "pairwise", F.col("expert")).alias("key"), side.alias("product_is_a"),
-        pairwise_prompt(F.col("prompt"), F.col("reference"), F.col("document"), F.col("expert"), side).alias("prompt"), F.lit(PAIRWISE_SYSTEM).alias("system"),
+def pairwise_requests(evidence: DataFrame, keys: list[str], judge: Judge, proof: list[Column] | None = None, side: Column | None = None) -> DataFrame:
+    """keys, key, product_is_a, prompt, system; evidence has the expert's text too. The side is the coin that the
+    signature seeds, unless one is given."""
+    sided = evidence.withColumn("product_is_a", seeded_coin(F.col("signature")) if side is None else side)
+    a = F.col("product_is_a")
+    return sided.select(
+        *keys, _identity(judge, "pairwise", proof or _proof(F.col("expert"))).alias("key"), a.alias("product_is_a"),
+        pairwise_prompt(F.col("prompt"), F.col("reference"), F.col("document"), F.col("expert"), a).alias("prompt"), F.lit(PAIRWISE_SYSTEM).alias("system"),
     )
 
 
-def _identity(judge: Judge, mode: str, expert):
-    evidence = [canonical(c) for c in (F.col("input_digest"), F.col("output_digest"), F.col("document"), F.col("reference"), expert)]
-    return cache_key(F.col("signature"), judge.model, mode, judge.provider, SYSTEMS, *evidence)
+def _proof(expert: Column) -> list[Column]:
+    return [F.col("input_files"), F.col("output_files"), *[json_text(c) for c in (F.col("document"), F.col("reference"), expert)]]
+
+
+def _identity(judge: Judge, mode: str, proof: list[Column]) -> Column:
+    return cache_key(F.col("signature"), judge.model, mode, judge.provider, SYSTEMS, *proof)
 
 
 def _journal(log: str) -> Path | None:

@@ -10,7 +10,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.digests import canonical_map, fingerprint
 from ..functions.numbers import round_exact, task_score
 from ..functions.text import basename, is_safe_path, packet_name, path_steps, under
 from ..operators import validation
@@ -166,7 +165,7 @@ def _first_errors(*tables: DataFrame) -> DataFrame:
 
 
 def evidence(spark: SparkSession, rows: DataFrame, manifest: DataFrame, root: Path) -> tuple[DataFrame, DataFrame]:
-    """Documents of the rows to be judged: (KEYS, document, reference, input_digest, output_digest), (KEYS, error)."""
+    """Documents of the rows to be judged: (KEYS, document, reference, input_files, output_files, output_digest), (KEYS, error)."""
     recorded = rows.select(*KEYS).join(manifest, "ordinal")
     there = materialised(listed(spark, root))
     inputs, bad_inputs = files.packet_paths(there, rows, "")
@@ -184,11 +183,12 @@ def evidence(spark: SparkSession, rows: DataFrame, manifest: DataFrame, root: Pa
     attached = now.join(recorded.where(under(F.col("path"), REFERENCES)).select(*KEYS, "path"), [*KEYS, "path"], "left_semi")
     document = bundle(office.extract(made.where(F.col("suffix").isin(*DELIVERABLE_SUFFIXES)), KEYS), KEYS, error="error")
     document, reference = materialised(document), materialised(bundle(office.extract(attached, KEYS), KEYS, error="error"))
-    in_digest = recorded.groupBy(*KEYS).agg(fingerprint(canonical_map(F.map_from_entries(F.collect_list(F.struct("path", "sha256"))))).alias("input_digest"))
+    inputs = files_digest(recorded, KEYS).select(*KEYS, F.col("files").alias("input_files"))
+    produced = files_digest(made, KEYS).select(*KEYS, F.col("digest").alias("output_digest"), F.col("files").alias("output_files"))
     errors = materialised(_first_errors(listing, changed, surplus, none, odd, document, reference))
     texts = (
         rows.join(document.select(*KEYS, F.col("bundle").alias("document")), KEYS).join(reference.select(*KEYS, F.col("bundle").alias("reference")), KEYS, "left")
-        .withColumn("reference", F.coalesce("reference", F.lit(""))).join(in_digest, KEYS).join(files_digest(made, KEYS).withColumnRenamed("digest", "output_digest"), KEYS)
+        .withColumn("reference", F.coalesce("reference", F.lit(""))).join(inputs, KEYS).join(produced, KEYS)
         .join(errors, KEYS, "left_anti")
     )
     return texts, errors
