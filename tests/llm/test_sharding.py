@@ -27,9 +27,10 @@ def least_capacity(sizes, shards):
 def test_cuts_are_minimax(spark):
     sizes = [5, 1, 9, 2, 2, 8, 3, 3, 7, 1, 6, 4, 2, 5, 5, 1]
     for shards in (2, 3, 4):
-        atoms = spark.createDataFrame(list(enumerate(sizes)), "bucket int, size long")
-        plan = {r.bucket: r.shard for r in sharding.plan_shards(atoms, shards).collect()}
-        cut = [plan[b] for b in range(len(sizes))]
+        groups = spark.createDataFrame([(f"{i:x}0", size) for i, size in enumerate(sizes)], "hash string, size long")
+        big, cuts = sharding.cut_points(groups, shards, 16)
+        assert not big
+        cut = [sum(c <= f"{b:x}0" for c in cuts) - 1 for b in range(len(sizes))]
         assert cut == sorted(cut) and max(cut) < shards
         most = max(sum(sizes[b] for b in own) for _, own in groupby(range(len(sizes)), lambda b: cut[b]))
         assert most == least_capacity(sizes, shards)
@@ -70,14 +71,13 @@ def test_whole_table_and_empty(spark):
 
 
 def test_capacity_is_the_least_over_a_whole_table(spark):
-    """By brute force over the table's buckets, and close to the least over its groups of equal texts."""
+    """By brute force over the table's groups of equal texts, from fine buckets and from coarse ones."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
-    groups, buckets = Counter(), Counter()
+    groups = Counter()
     for r in docs.collect():
         raw = (r.text or "").encode()
         digest = hashlib.md5(raw).hexdigest()
         groups[digest] += len(raw) + 16
-        buckets[digest[:4]] += len(raw) + 16
 
     def least(atoms, shards=40):
         left, giants = sum(atoms.values()), set()
@@ -88,9 +88,9 @@ def test_capacity_is_the_least_over_a_whole_table(spark):
             left -= size
         return least_capacity([size for key, size in sorted(atoms.items()) if key not in giants], shards - len(giants)), len(giants)
 
-    load = Counter()
-    for r in sharding.shard_rows(docs).collect():
-        load[r.shard] += r.size
-    want, giants = least(buckets)
-    assert len(load) == 40 and max(n for k, n in load.items() if k >= giants) == want
-    assert want <= 1.01 * least(groups)[0]
+    want, giants = least(groups)
+    for buckets in (16, 256, sharding.BUCKETS):
+        load = Counter()
+        for r in sharding.shard_rows(docs, buckets=buckets).collect():
+            load[r.shard] += r.size
+        assert len(load) == 40 and max(n for k, n in load.items() if k >= giants) == want
