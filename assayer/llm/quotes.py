@@ -3,9 +3,10 @@ r"""Chat formatting by quotation linking, in DataFrame operations only.
 A line that begins with one or more ">" (white space between them allowed) is quoted, its level their number.
 Consecutive lines of one level are a passage. Passages are normalised (lower case, white space collapsed) and
 hashed, and joined to the message of the same conversation that holds them first: as its whole own text, as a
-paragraph of it, as a line of it, quotes excluded, or as a run of its lines between quotes. A passage of several
-paragraphs that nobody holds whole has the origin of the longest of its paragraphs that has one (of these, the
-first's). OP2_SQL knows neither runs nor paragraphs of quotes: there its links are fewer. A message replies to the message that its outermost
+paragraph of it, as a line of it, quotes excluded, or as a run of its lines between quotes. A passage of several lines
+that nobody holds so is looked for as just as many consecutive lines of a message, blank lines and quotes left out.
+A passage of several paragraphs that isn't found then has the origin of the longest of its paragraphs that has one (of
+these, the first's). OP2_SQL knows neither runs between quotes nor paragraphs of quotes: there its links are fewer. A message replies to the message that its outermost
 linked passage (of these the longest, then the first) comes from; a message without one starts a thread.
 
 Conversations are rebuilt without quotes in reply order: by thread, by depth in the thread, by turn. `position`
@@ -65,7 +66,35 @@ def quoted_passages(messages: DataFrame) -> DataFrame:
     joined = runs.groupBy("conv_id", "turn", "mid", "run", "level").agg(F.array_sort(F.collect_list(F.struct("at", "body"))).alias("b"))
     text = F.array_join(F.transform("b", lambda x: x["body"]), "\n")
     paragraphs = F.filter(F.transform(F.split(text, r"\n[ \t]*\n"), lambda x: normalised(x)), lambda x: x != "")
-    return joined.select("conv_id", "turn", "mid", F.get("b", F.lit(0))["at"].alias("at"), "level", normalised(text).alias("passage"), paragraphs.alias("paragraphs"))
+    worded = _worded(F.transform("b", lambda x: x["body"]))
+    return joined.select(
+        "conv_id", "turn", "mid", F.get("b", F.lit(0))["at"].alias("at"), "level", normalised(text).alias("passage"), paragraphs.alias("paragraphs"),
+        _hash(F.get(worded, F.lit(0))).alias("first_line"), F.size(worded).alias("n_lines"),
+    )
+
+
+def _worded(lines: Column) -> Column:
+    return F.filter(F.transform(lines, normalised), lambda x: x != "")
+
+
+def lines_holding(messages: DataFrame, lost: DataFrame) -> DataFrame:
+    """(c, h, held_by): the hashes of runs of consecutive lines of messages(conv_id, turn, mid, body) that begin as a passage of
+    lost(conv_id, first_line, n_lines) does and are as long, and the first turn that holds each.
+
+    A line meets each pair of first line and length once, however many passages share it. The runs of a message are hashed
+    beside its body, so no text is carried by its lines.
+    """
+    wanted = lost.select(F.col("conv_id").alias("wc"), F.col("first_line").alias("wh"), "n_lines").distinct()
+    lines = _worded(F.split("body", "\n"))
+    known = messages.where("turn is not null")
+    each = known.select("conv_id", "turn", "mid", F.posexplode(lines).alias("k", "line")).select("conv_id", "turn", "mid", "k", _hash(F.col("line")).alias("line"))
+    met = each.join(wanted, F.col("conv_id").eqNullSafe(F.col("wc")) & (F.col("line") == F.col("wh")))
+    starts = met.groupBy(F.col("conv_id").alias("sc"), F.col("turn").alias("st"), F.col("mid").alias("sm")).agg(F.collect_set(F.struct("k", "n_lines")).alias("starts"))
+    same = F.col("conv_id").eqNullSafe(F.col("sc")) & (F.col("turn") == F.col("st")) & (F.col("mid") == F.col("sm"))
+    listed = known.join(starts, same).select("conv_id", "turn", lines.alias("lines"), "starts")
+    run = lambda s: _hash(F.array_join(F.slice("lines", s["k"] + 1, s["n_lines"]), " "))
+    runs = F.transform(F.filter("starts", lambda s: s["k"] + s["n_lines"] <= F.size("lines")), run)
+    return listed.select("conv_id", "turn", F.explode(runs).alias("h")).groupBy(F.col("conv_id").alias("c"), "h").agg(F.min("turn").alias("held_by"))
 
 
 def own_runs(text: Column) -> Column:
@@ -103,13 +132,17 @@ def _threads(parents: DataFrame) -> DataFrame:
 def link_quotes(conversations: DataFrame) -> DataFrame:
     """conv_id, turn, role, body, n_quotes, n_linked, reply_to, thread, depth, position and the formatted message."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    messages = conversations.select("conv_id", "turn", "role", text.alias("text"), body(text).alias("body"), F.xxhash64("role", text).alias("mid"))
+    messages = conversations.select("conv_id", "turn", "role", text.alias("text"), body(text).alias("body"), F.unhex(F.md5(F.concat(F.coalesce("role", F.lit("")), F.lit("\0"), text).cast("binary"))).alias("mid"))
     # equal rows share an id, and with it their links
     once = messages.dropDuplicates(["conv_id", "turn", "mid"])
     quotes = quoted_passages(once).withColumn("hash", _hash(F.col("passage")))
     origins = original_passages(once).withColumnRenamed("conv_id", "c").withColumnRenamed("hash", "h")
     held = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("hash") == F.col("h")) & (F.col("origin") < F.col("turn"))
     whole = written(quotes.join(origins, held, "left").drop("c", "h"))
+    lost = whole.where(F.col("origin").isNull() & (F.col("n_lines") > 1))
+    if not lost.isEmpty():
+        of_lines = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("hash") == F.col("h")) & (F.col("held_by") < F.col("turn"))
+        whole = written(whole.join(lines_holding(once, lost), of_lines, "left").withColumn("origin", F.coalesce("origin", "held_by")).drop("c", "h", "held_by"))
     # the paragraphs of passages that nobody holds whole
     parts = whole.where(F.col("origin").isNull() & (F.size("paragraphs") > 1)).drop("origin", "hash")
     each = parts.select("conv_id", "turn", "mid", "at", F.posexplode("paragraphs").alias("k", "part")).withColumn("hash", _hash(F.col("part")))
@@ -183,11 +216,17 @@ b AS (SELECT m.*, regexp_replace(coalesce(o.t, ''), '^[ \t\r\n\f]+|[ \t\r\n\f]+$
       FROM m LEFT JOIN (SELECT r, string_agg(body, chr(10) ORDER BY loc) AS t FROM ll WHERE level = 0 GROUP BY r) o USING (r)),
 runs AS (SELECT *, sum(new) OVER (PARTITION BY r ORDER BY loc) AS run
          FROM (SELECT *, CASE WHEN level = lag(level, 1, -1) OVER (PARTITION BY r ORDER BY loc) THEN 0 ELSE 1 END AS new FROM ll)),
-q AS (SELECT r, conv_id, turn, min(loc) AS loc, level, {_N.format("string_agg(body, chr(10) ORDER BY loc)")} AS p FROM runs WHERE level > 0 GROUP BY r, conv_id, turn, run, level),
+q AS (SELECT r, conv_id, turn, min(loc) AS loc, level, {_N.format("string_agg(body, chr(10) ORDER BY loc)")} AS p,
+             count(*) FILTER ({_N.format("body")} <> '') AS m, arg_min({_N.format("body")}, loc) FILTER ({_N.format("body")} <> '') AS head FROM runs WHERE level > 0 GROUP BY r, conv_id, turn, run, level),
 pieces AS (SELECT conv_id, turn, {_N.format("x")} AS p
            FROM (SELECT conv_id, turn, unnest(list_concat([body], list_concat(regexp_split_to_array(body, '\n[ \t]*\n'), string_split(body, chr(10))))) AS x FROM b WHERE turn IS NOT NULL)),
 o AS (SELECT conv_id, p, min(turn) AS origin FROM pieces WHERE p <> '' GROUP BY conv_id, p),
-f AS (SELECT q.*, o.origin FROM q LEFT JOIN o ON q.conv_id IS NOT DISTINCT FROM o.conv_id AND q.p = o.p AND o.origin < q.turn),
+f0 AS (SELECT q.*, o.origin FROM q LEFT JOIN o ON q.conv_id IS NOT DISTINCT FROM o.conv_id AND q.p = o.p AND o.origin < q.turn),
+own AS (SELECT r, conv_id, turn, list_filter(list_transform(string_split(body, chr(10)), lambda x: {_N.format("x")}), lambda x: x <> '') AS xs FROM b WHERE turn IS NOT NULL),
+heads AS (SELECT r, conv_id, turn, unnest(range(1, len(xs) + 1)) AS k, unnest(xs) AS x FROM own),
+held AS (SELECT f0.r, f0.loc, min(heads.turn) AS held_by FROM f0 JOIN heads ON f0.conv_id IS NOT DISTINCT FROM heads.conv_id AND f0.head = heads.x AND heads.turn < f0.turn
+         JOIN own ON own.r = heads.r WHERE f0.origin IS NULL AND f0.m > 1 AND k + m - 1 <= len(xs) AND array_to_string(xs[k : k + m - 1], ' ') = f0.p GROUP BY f0.r, f0.loc),
+f AS (SELECT f0.* EXCLUDE (origin), coalesce(origin, held_by) AS origin FROM f0 LEFT JOIN held ON f0.r = held.r AND f0.loc = held.loc),
 links AS (SELECT r, count(*) AS n_quotes, count(origin) AS n_linked,
                  arg_min(origin, (level, -length(p), loc)) FILTER (origin IS NOT NULL) AS reply_to FROM f GROUP BY r),
 par AS (SELECT conv_id, turn, min(reply_to) AS parent FROM links JOIN m USING (r) WHERE reply_to IS NOT NULL GROUP BY conv_id, turn),

@@ -50,7 +50,7 @@ def test_links(spark):
     assert got[2, 3].reply_to is None and got[2, 3].body == "empty quotes"
     assert got[None, 1].reply_to == 0
     assert got[3, 5].reply_to is None or got[3, 5].reply_to == 2
-    assert got[3, 5].n_quotes == 2 and got[3, 5].n_linked == 1 and got[3, 5].reply_to == 2
+    assert got[3, 5].n_quotes == 2 and got[3, 5].n_linked == 2 and got[3, 5].reply_to == 2
     order = [r.turn for r in sorted((r for r in quotes.link_quotes(spark.createDataFrame(ROWS, SCHEMA)).collect() if r.conv_id == 1), key=lambda r: r.position)]
     assert order == [0, 1, 3, 2, 4, 5, 5]
 
@@ -78,6 +78,31 @@ def test_runs_between_quotes_and_paragraphs_of_quotes(spark):
     assert (got[2, 2].n_quotes, got[2, 2].n_linked, got[2, 2].reply_to) == (1, 0, None)
 
 
+def test_consecutive_lines_of_a_longer_paragraph(spark):
+    rows = [
+        (1, 0, "user", "alpha one\nBeta  two\ngamma three\n\ndelta four"),
+        (1, 1, "assistant", "> beta two\n> gamma three\nyes"),
+        (1, 2, "user", "> gamma three\n>\n> delta four\n> > beta two\n> > gamma three\nno"),
+        (1, 3, "user", "> beta two\n> delta four\nnot consecutive"),
+        (1, 4, "user", "> gamma three\n> delta four\n> nothing\nlonger than the rest"),
+        (None, 0, "user", "same\nsame\nsame\nend"),
+        (None, 1, "user", "> same\n> same\n> end\nx"),
+        (2, 0, "user", "> beta two\n> gamma three\nanother conversation"),
+        (3, 0, "user", "> later one\n> later two\nx"),
+        (3, 1, "user", "before\nlater one\nlater two\nafter"),
+    ]
+    rows += [(4, t, "user", "hot line\nhot line\n" * 200 + f"own {t}") for t in range(40)] + [(4, 40 + t, "user", f"> hot line\n> own {t}\nlast") for t in range(40)]
+    got = {(r.conv_id, r.turn): (r.n_quotes, r.n_linked, r.reply_to) for r in quotes.link_quotes(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got[1, 1] == (1, 1, 0) and got[1, 2] == (2, 2, 0)
+    assert got[1, 3] == got[1, 4] == (1, 0, None) and got[None, 1] == (1, 1, 0)
+    assert got[2, 0] == got[3, 0] == (1, 0, None)
+    assert all(got[4, 40 + t] == (1, 1, t) for t in range(40))
+    con = duckdb.connect()
+    con.register("conversations", pd.DataFrame(rows, columns=["conv_id", "turn", "role", "text"]).astype({"conv_id": "Int64", "turn": "Int64"}))
+    want = con.execute(f"SELECT conv_id, turn, n_quotes, n_linked, reply_to FROM ({quotes.OP2_SQL})").fetchall()
+    assert {(c, t): tuple(x) for c, t, *x in want} == got
+
+
 def test_derived_replies_are_all_linked(spark):
     own = spark.createDataFrame([(c, t, "user", f"line {c} {t}\n\nmore of {c} {t}") for c in range(3) for t in range(6)], SCHEMA)
     got = quotes.link_quotes(quotes.with_quotes(own)).collect()
