@@ -4,8 +4,9 @@ A pair of adjacent bytes that stands inside no token of the vocabulary can never
 every place where such a pair occurs is a certain cut. A word is cut there, its fragments are encoded
 independently and their ids are concatenated; the result is that of encoding the word whole.
 
-Letters and digits are told by the regex module's Unicode tables; code points that a newer Unicode version
-has added since the library's own tables may fall into another class there (assigned ones before it agree).
+The library's parts have Unicode tables of different ages: its normal form is of Unicode 9, its letters and digits are
+older than the regex module's and its capitals newer than Python's. What differs is listed below, and a test compares
+the code points one by one.
 
 Words, normal form and tokens are those of a `tokenizers` JSON file of the kind "BPE with word ends" (NFC,
 lower case, white space dropped, byte-level symbols, a suffix on the last symbol of a word). Added special
@@ -18,6 +19,7 @@ each; an empty table gives no rows. Other columns are carried along if they are
 from __future__ import annotations
 
 import json
+import re
 import sys
 import unicodedata
 from array import array
@@ -38,6 +40,36 @@ PAIRS_KEPT = 250_000
 END = "\ue000"
 NONE = 1 << 60
 
+# Code points by which the library's Unicode tables differ, in hexadecimal.
+#: Marks that are newer than its normal form, which leaves them in place, and a vowel sign with a newer composition.
+LEFT_IN_PLACE = """07FD 0898-089F 08CA-08D3 09FE 0C3C 0D3B-0D3C 0EBA 1715 1ABF-1ACE 1DF6-1DFA A82C 10D24-10D27 10EAB-10EAC
+    10EFD-10EFF 10F46-10F50 10F82-10F85 11070 1133B 1145E 11839-1183A 11930 1193D-1193E 11943 119E0 11A34 11A47 11A99
+    11D42 11D44-11D45 11D97 11F41-11F42 16FF0-16FF1 1E08F 1E130-1E136 1E2AE 1E2EC-1E2EF 1E4EC-1E4EF"""
+#: Letters that its pattern takes for signs.
+NO_LETTERS = """0558 058B-058C 088F 0C5C 0CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7DD A7E2 A7F1 AB6C-AB6D 107BB-107BF 10940-10959
+    10EC5-10EC7 10ED9-10EEE 11B0A 11DB0-11DDB 11DF1 16EA0-16EB8 16EBB-16ED3 16FF2-16FF3 187F8-187FF 18CD6-18CDA
+    18D09-18D20 18D80-18DF2 18E00-19191 191A0-191D2 1B123-1B128 1B168 1D6A6 1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96
+    1DFCD-1DFFF 1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED 1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E 2CEA2-2CEAD
+    323B0-33479 3D000-3FC3F"""
+#: Digits that its pattern takes for signs.
+NO_DIGITS = "11DE0-11DE9 1246F 12475-1247F 12550-12686 16FF4-16FF6"
+#: Capitals that it lowers and Python may not.
+CAPITALS = (
+    {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7DC: 0x19B}
+    | {c: c + 1 for c in (0xA7CC, 0xA7CE, 0xA7D2, 0xA7D4, 0xA7DA)}
+    | {c: c + 0x20 for c in range(0x10D50, 0x10D66)}
+    | {c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}
+)
+
+
+def char_class(listed: str) -> str:
+    """The inside of a pattern's class of the code points and ranges of a list."""
+    return "".join("-".join(chr(int(c, 16)) for c in part.split("-")) for part in listed.split())
+
+
+_IN_PLACE = re.compile(f"([{char_class(LEFT_IN_PLACE)}]+)")
+_ODD = re.compile(f"[{char_class(LEFT_IN_PLACE)}{''.join(map(chr, CAPITALS))}]")
+
 
 @cache
 def byte_symbols() -> list[str]:
@@ -66,6 +98,8 @@ class ForcedBoundaryBPE:
         self.added = added
         split = next(x for x in spec["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split")
         self.words = regex.compile(split["pattern"]["Regex"], regex.V0)
+        own = split["pattern"]["Regex"].replace("\\p{L}", f"[\\p{{L}}--[{char_class(NO_LETTERS)}]]").replace("\\p{N}", f"[\\p{{N}}--[{char_class(NO_DIGITS)}]]")
+        self.words_beyond_ascii = regex.compile(own, regex.V1)
         self.symbols = byte_symbols()
         of = {s: b for b, s in enumerate(self.symbols)}
         inside = np.zeros((256, 256), dtype=bool)
@@ -181,7 +215,7 @@ class ForcedBoundaryBPE:
         """The packed ids of a normalised stretch of text that isn't among the newest known."""
         if (got := self.old.get(chunk)) is not None:
             return self._keep(chunk, got)
-        words = self.words.findall(chunk)
+        words = (self.words if chunk.isascii() else self.words_beyond_ascii).findall(chunk)
         if words == [chunk]:
             return self._packed(chunk)
         return self._keep(chunk, b"".join([self._packed(w) for w in words]))
@@ -190,7 +224,11 @@ class ForcedBoundaryBPE:
         if text.isascii():
             return text.lower()
         # the library lowers character by character, so the final sigma has no form of its own
-        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        if not _ODD.search(text):
+            return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        # what is left in place has neither an order among marks nor a composition: the stretches between are normal for themselves
+        normal = "".join(x if k % 2 else unicodedata.normalize("NFC", x) for k, x in enumerate(_IN_PLACE.split(text)))
+        return normal.replace("Σ", "σ").lower().translate(CAPITALS)
 
     def encode(self, text: str | None) -> bytes:
         if not text:

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import unicodedata
 
 import public_tokenizers
 import pytest
@@ -37,6 +38,34 @@ def test_encodes_and_decodes_as_the_library(library):
         assert own.decode(packed(ids)) == library.decode(ids, skip_special_tokens=False), text
 
 
+def test_every_code_point_as_the_library(library):
+    own = bpe.coder(PATH)
+    edges = [int(c, 16) + d for listed in (bpe.LEFT_IN_PLACE, bpe.NO_LETTERS, bpe.NO_DIGITS) for part in listed.split() for c in part.split("-") for d in (-1, 0, 1)]
+    points = sorted({*range(0xD800), *range(0xE000, 0x20000), *range(0x20000, 0x110000, 97), *edges})
+    for at in range(0, len(points), 500):
+        # beside letters, a digit, and marks of a low and a high class on either side
+        text = " ".join(f"a{c}b{c}1 x{c}\u0334\u0301 X\u0345{c}\u0323" for c in map(chr, points[at : at + 500]))
+        assert own.encode(text) == packed(library.encode(text, add_special_tokens=False).ids), hex(points[at])
+
+
+def test_assigned_code_points_in_any_order(library):
+    own = bpe.coder(PATH)
+    r = random.Random(9)
+    points = [chr(c) for c in range(0x20000) if not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c)) != "Cn"]
+    marks = [c for c in points if unicodedata.combining(c)]
+    for _ in range(20_000):
+        text = "".join(r.choice(marks if r.random() < 0.5 else points) for _ in range(r.randrange(2, 9)))
+        assert own.encode(text) == packed(library.encode(text, add_special_tokens=False).ids), [hex(ord(c)) for c in text]
+    text = "\U00011935\U00011930 \U00011938 " + "".join(c + "\u0301" for c in points[::7])
+    assert own.encode(text) == packed(library.encode(text, add_special_tokens=False).ids)
+
+
+def test_very_long_text(library):
+    text = "ten million bytes of text, café und Straße 1234 " * 200_000
+    ids = library.encode(text, add_special_tokens=False).ids
+    assert bpe.coder(PATH).encode(text) == packed(ids)
+
+
 def test_cuts_are_certain():
     own = bpe.coder(PATH)
     of = {s: b for b, s in enumerate(own.symbols)}
