@@ -1,7 +1,7 @@
 """Toxicity by a factorization machine over hashed terms.
 
-A text's terms are its words (runs of letters, lower case) and the beginnings of the longer ones, each hashed
-into one of `BUCKETS` and counted once a text. The machine scores sigmoid(bias + sum of weights + sum over
+A text's terms are its words (runs of letters, lower case), the beginnings of the longer ones, and the beginnings that
+two or more of its words share, each hashed into one of `BUCKETS` and counted once a text. The machine scores sigmoid(bias + sum of weights + sum over
 pairs of <v_i, v_j>), so that two terms can mean together what neither means alone. It is trained in numpy on
 a bounded sample of labelled rows, on the terms whose presence depends on the label by a chi-squared test, over all
 rows or over those that hold another such term; weights have an L1 and factors an L2 penalty.
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -53,8 +54,16 @@ def buckets(word: str) -> list[int]:
     return [zlib.crc32(x.encode("utf-8", "replace")) % BUCKETS for x in forms]
 
 
+def shared_buckets(word: str) -> list[int]:
+    """The buckets of a word's beginnings as those that another word of the text has too: one stem in several words says
+    more than in one."""
+    return list({zlib.crc32((word[:k] + "=").encode("utf-8", "replace")) % BUCKETS for k in BEGINNINGS if k < len(word)})
+
+
 def terms(text: str | None) -> np.ndarray:
-    return np.unique(np.array([b for w in words(text) for b in buckets(w)], dtype=np.int32))
+    own = words(text)
+    held = Counter(b for w in own for b in shared_buckets(w))
+    return np.unique(np.array([*(b for w in own for b in buckets(w)), *(b for b, n in held.items() if n > 1)], dtype=np.int32))
 
 
 class FactorizationMachine:
@@ -160,14 +169,19 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     lists = sample.column("terms").combine_chunks()
     ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
     rows_ = [flat[a:z] for a, z in zip(ends, ends[1:])]
-    held = np.bincount(np.concatenate(rows_), minlength=BUCKETS).astype(float)
-    toxic = np.bincount(np.concatenate([x for x, t in zip(rows_, y) if t] or [rows_[0][:0]]), minlength=BUCKETS)
+    return fit_terms(rows_, y)
+
+
+def fit_terms(rows: list[np.ndarray], y: np.ndarray) -> dict:
+    """The model of rows of terms and their labels: the terms that pass the screens, and the machine over them."""
+    held = np.bincount(np.concatenate(rows), minlength=BUCKETS).astype(float)
+    toxic = np.bincount(np.concatenate([x for x, t in zip(rows, y) if t] or [rows[0][:0]]), minlength=BUCKETS)
     active = np.flatnonzero((held >= LEAST_ROWS) & (chi_squared(held, toxic, len(y), y.sum()) >= LEAST_CHI2)).astype(np.int32)
-    active = np.union1d(active, partners(rows_, y, active)).astype(np.int32)
+    active = np.union1d(active, partners(rows, y, active)).astype(np.int32)
     number = np.full(BUCKETS, -1, dtype=np.int32)
     number[active] = np.arange(len(active))
-    rows_ = [x[x >= 0] for x in (number[own] for own in rows_)]
-    fm = FactorizationMachine(active).fit(rows_, y)
+    rows = [x[x >= 0] for x in (number[own] for own in rows)]
+    fm = FactorizationMachine(active).fit(rows, y)
     return {"bias": float(fm.bias), "active": active, "w": fm.w, "v": fm.v}
 
 
@@ -178,17 +192,20 @@ class Scorer:
         self.fm = FactorizationMachine(model["active"])
         self.fm.bias, self.fm.w, self.fm.v = model["bias"], model["w"], model["v"]
         self.number = {int(b): i for i, b in enumerate(model["active"])}
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, tuple[tuple[int, ...], tuple[int, ...]]] = {}
 
     def terms(self, text: str | None) -> np.ndarray:
         if len(self.known) > 300_000:
             self.known.clear()
         own: set[int] = set()
+        once: set[int] = set()
         for w in words(text):
             if (got := self.known.get(w)) is None:
-                got = self.known[w] = tuple(i for b in buckets(w) if (i := self.number.get(b)) is not None)
-            if got:
-                own.update(got)
+                got = self.known[w] = tuple(tuple(i for b in of(w) if (i := self.number.get(b)) is not None) for of in (buckets, shared_buckets))
+            if got[0]:
+                own.update(got[0])
+            for i in got[1]:
+                (own if i in once else once).add(i)
         return np.array(sorted(own), dtype=np.int64)
 
     def __call__(self, texts: list) -> np.ndarray:

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from assayer.llm import langid, lmscore, ngram, registry, toxicity
@@ -72,7 +73,35 @@ def test_toxicity_held_out(spark):
     own = [(labels[r.doc_id], r.score, r.predicted) for r in got if r.held_out and labels.get(r.doc_id) is not None]
     y, s, p = map(np.array, zip(*own))
     print("toxicity", len(y), y.mean(), auc(y, s), (p == y).mean())
-    assert auc(y, s) > 0.9 and (p == y).mean() > 0.9
+    assert auc(y, s) > 0.9 and (p == y).mean() > 0.98
+    # eight of the 97 toxic rows hold no word that tells them
+    assert p[y == 1].mean() > 0.89 and p[y == 0].mean() < 0.005
+
+
+def test_toxicity_scorer_has_the_terms_of_training():
+    texts = ["Scumbag scumbags scumming", "scumbag other words", "", None, "Réeuxan réeuxle réeuxpa achlich achlicher", "a b c"]
+    for text in texts:
+        held = toxicity.terms(text)
+        scorer = toxicity.Scorer({"active": held, "bias": 0.0, "w": np.zeros(len(held)), "v": np.zeros((len(held), toxicity.FACTORS))})
+        assert scorer.terms(text).tolist() == list(range(len(held))), text
+    shared = zlib.crc32(b"scumb=") % toxicity.BUCKETS
+    assert shared in toxicity.terms(texts[0]) and shared not in toxicity.terms(texts[1])
+
+
+def test_toxicity_recall_over_folds():
+    """Toxic rows found, and clean rows taken for toxic, where folds of the rows that aren't held out are scored by the others."""
+    docs = pd.read_parquet(f"{SF}/documents.parquet").merge(pd.read_parquet(f"{SF}/labels.parquet"), on="doc_id")
+    docs = docs[docs.text.notna() & np.array([crc(i) % 5 != 0 for i in docs.doc_id])]
+    own = [toxicity.terms(t) for t in docs.text]
+    y, fold = docs.toxic.to_numpy(), np.array([zlib.crc32(t.encode()) % 4 for t in docs.text])
+    found = np.zeros(len(y), dtype=bool)
+    for k in range(4):
+        model = toxicity.fit_terms([x for x, f in zip(own, fold) if f != k], y[fold != k].astype(float))
+        at = np.flatnonzero(fold == k)
+        scorer = toxicity.Scorer(model)
+        found[at] = scorer([docs.text.iloc[i] for i in at]) >= 0.5
+    print("toxicity folds", found[y == 1].mean(), found[y == 0].mean())
+    assert found[y == 1].mean() >= 0.9 and found[y == 0].mean() <= 0.01
 
 
 def test_factorization_machine():
