@@ -5,7 +5,11 @@ several widths, the maximum of each filter over a window is pooled, and a softma
 language probabilities; a text's are the mean over all its windows, weighted by their bytes. The network is
 trained in numpy on a bounded sample of labelled rows.
 
-Texts that are null or have no letter are `und` with score 0. Rows with a null label teach nothing; with no
+A softmax always tells one of the learnt languages. So each text has a share `unseen` too: of its pairs of neighbouring
+bytes of letters (a-z and all beyond ASCII), those that stand nowhere in the sample. Another script has nearly 1,
+another language in the same script or mere letters some tenths, a learnt language next to nothing.
+
+Texts that are null or have no letter are `und` with score 0 and unseen 0. Rows with a null label teach nothing; with no
 labelled row at all every text is `und`. Of languages that are equally likely the first by name is told. Repeated
 rows are predicted each; an empty table gives no rows. Columns named as a result give way to it.
 """
@@ -31,6 +35,16 @@ EPOCHS = 6
 UND = "und"
 
 _LETTER = regex.compile(r"\p{L}")
+#: Bytes that count as letters in pairs.
+_LETTER_BYTE = np.array([chr(b).isalpha() if b < 128 else True for b in range(256)])
+
+
+def letter_pairs(text: bytes) -> np.ndarray:
+    """The pairs of neighbouring bytes of letters, as first * 256 + second, repeats included."""
+    raw = np.frombuffer(text.lower(), dtype=np.uint8)
+    held = _LETTER_BYTE[raw]
+    at = np.flatnonzero(held[:-1] & held[1:])
+    return raw[at].astype(np.int32) * 256 + raw[at + 1]
 
 
 def windows(text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -110,6 +124,7 @@ class Predictor:
 
     def __init__(self, langs: list[str], p: dict[str, np.ndarray]):
         self.langs, self.p = langs, p
+        self.seen = p.get("seen", np.ones(65536, dtype=bool))
         e, f = p["E"], FILTERS
         at = {w: p[f"W{w}"].reshape(w, EMBEDDED, f) for w in WIDTHS}
         byte = lambda w, k: e @ at[w][k]  # noqa: E731  what byte number k adds to a filter of width w
@@ -138,18 +153,25 @@ class Predictor:
         q = np.exp(z - z.max(axis=1, keepdims=True))
         return q / q.sum(axis=1, keepdims=True)
 
-    def texts(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+    def unseen(self, text: bytes) -> float:
+        own = letter_pairs(text)
+        return 1.0 - float(self.seen[own].mean()) if len(own) else 0.0
+
+    def texts(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float]]:
         lettered = [i for i, t in enumerate(texts) if t and self.langs and _LETTER.search(t)]
-        lang, score = [UND] * len(texts), [0.0] * len(texts)
+        lang, score, unseen = [UND] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
         for some in _slices(lettered, texts):
-            got = [windows(texts[i].encode("utf-8", "replace")) for i in some]
+            raw = [texts[i].encode("utf-8", "replace") for i in some]
+            for i, t in zip(some, raw):
+                unseen[i] = self.unseen(t)
+            got = [windows(t) for t in raw]
             q = self.windows(np.concatenate([x for x, _ in got])) * np.concatenate([held for _, held in got])[:, None]
             start = np.cumsum([0, *(len(x) for x, _ in got[:-1])])
             means = np.add.reduceat(q, start, axis=0)
             means /= means.sum(axis=1, keepdims=True)
             for i, row in zip(some, means):
                 lang[i], score[i] = self.langs[int(row.argmax())], float(row.max())
-        return lang, score
+        return lang, score, unseen
 
 
 def _slices(ids: list[int], texts: list[str], chars: int = 1 << 19):
@@ -184,15 +206,17 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "lang",
     once = low.groupBy("lang", "h").agg(F.min("text").alias("text"))
     first = Window.partitionBy("lang").orderBy("h")
     sample = once.withColumn("n", F.row_number().over(first)).where(F.col("n") <= rows_per_lang)
-    x, y = [], []
+    x, y, seen = [], [], np.zeros(65536, dtype=bool)
     for r in sorted(sample.collect(), key=lambda r: (r["lang"], r["h"])):
         if _LETTER.search(r["text"]):
-            w, _ = windows(r["text"].encode("utf-8", "replace"))
+            raw = r["text"].encode("utf-8", "replace")
+            seen[letter_pairs(raw)] = True
+            w, _ = windows(raw)
             x.append(w)
             y += [langs.index(r["lang"])] * len(w)
     if not x:
         return [], {}
-    return langs, ByteCNN(langs).fit(np.concatenate(x), np.array(y)).p
+    return langs, ByteCNN(langs).fit(np.concatenate(x), np.array(y)).p | {"seen": seen}
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -200,7 +224,7 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def predict_languages(docs: DataFrame, model: tuple, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
-    """keep, lang_pred and score of every whole text."""
+    """keep, lang_pred, score and unseen of every whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
@@ -208,16 +232,16 @@ def predict_languages(docs: DataFrame, model: tuple, keep: tuple[str, ...] = ("d
         predictor = Predictor(langs, p) if langs else None
 
         def f(texts: list) -> dict:
-            lang, score = predictor.texts(texts) if predictor else ([UND] * len(texts), [0.0] * len(texts))
-            return {"lang_pred": lang, "score": score}
+            lang, score, unseen = predictor.texts(texts) if predictor else ([UND] * len(texts), [0.0] * len(texts), [0.0] * len(texts))
+            return {"lang_pred": lang, "score": score, "unseen": unseen}
 
         return f
 
-    return map_text(docs, make, [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())], keep, text_col)
+    return map_text(docs, make, [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("unseen", T.DoubleType())], keep, text_col)
 
 
 def identify_languages(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> DataFrame:
-    """Trains on the rows that aren't held out and predicts all: keep, held_out, lang_pred, score."""
+    """Trains on the rows that aren't held out and predicts all: keep, held_out, lang_pred, score, unseen."""
     model = train(docs.where(~held_out(id_col)), text_col, label_col)
     marked = docs.withColumn("held_out", held_out(id_col))
     return predict_languages(marked, model, (*keep, "held_out"), text_col)
