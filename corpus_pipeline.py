@@ -1,10 +1,11 @@
 """A corpus pipeline: each stage takes the documents that the stage before kept.
 
-Language ID drops texts without a letter (`und`) and those whose best language is hardly likelier than any
-other; toxicity drops texts scored 0.5 or more; SimHash keeps one document of each near-duplicate group;
+Language ID drops texts without a letter (`und`) and those of no learnt language: more than three tenths of their pairs
+of letters stand nowhere in the sample, as in another script, a far language or mere letters; toxicity drops texts scored 0.5 or more; SimHash keeps one document of each near-duplicate group;
 decontamination drops documents in which a benchmark window occurs; BPE encodes what is left.
 
-All stages but the last return the columns of documents as they came, whatever else these hold. Null and
+All stages but the last return the columns of documents as they came, whatever else these hold; documents have
+doc_id, text and lang. Null and
 empty texts go with the first stage; repeated rows go with the third; an empty table stays empty.
 """
 
@@ -16,8 +17,8 @@ from pyspark.sql import functions as F
 from assayer.llm import bpe, decontam, langid, simhash, toxicity
 from assayer.llm.common import table, written
 
-#: A text whose best language is less probable than this is taken for no language.
-LEAST_LANGUAGE_SCORE = 0.3
+#: A text with a greater share of pairs of letters never met in training is taken for none of the learnt languages.
+MOST_UNSEEN = 0.3
 
 
 def _apart(docs: DataFrame) -> tuple[DataFrame, dict[str, str], list]:
@@ -30,7 +31,7 @@ def _apart(docs: DataFrame) -> tuple[DataFrame, dict[str, str], list]:
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     own, name, back = _apart(docs)
     found = langid.identify_languages(own, own.columns, name["doc_id"], name["text"], name["lang"])
-    return found.where((F.col("lang_pred") != langid.UND) & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select(*back)
+    return found.where((F.col("lang_pred") != langid.UND) & (F.col("unseen") <= MOST_UNSEEN)).select(*back)
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
