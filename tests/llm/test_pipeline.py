@@ -34,7 +34,9 @@ def test_stages_keep_and_drop(spark, stages):
     found = decontam.contamination(frame(by["near_dedup"]), spark.read.parquet(f"{SF}/benchmark.parquet")).collect()
     assert ids(by["decontamination"]) == sorted(r.doc_id for r in found if not r.spans)
     langs = langid.identify_languages(frame(by["documents"])).collect()
-    assert ids(by["language_id"]) == sorted(r.doc_id for r in langs if r.lang_pred != "und" and r.score >= corpus_pipeline.LEAST_LANGUAGE_SCORE)
+    assert ids(by["language_id"]) == sorted(r.doc_id for r in langs if r.lang_pred != "und" and r.unseen <= corpus_pipeline.MOST_UNSEEN)
+    lettered = [r.doc_id for r in by["documents"] if any(c.isalpha() for c in r.text or "")]
+    assert len(by["language_id"]) >= 0.99 * len(lettered)
     scored = toxicity.score_toxicity(frame(by["language_id"]), spark.read.parquet(f"{SF}/labels.parquet")).collect()
     assert ids(by["toxicity"]) == sorted(r.doc_id for r in scored if not r.predicted)
     import public_tokenizers
@@ -55,3 +57,19 @@ def test_empty_and_odd_documents(spark):
         got = f(spark, odd, SF)
         assert got.columns == odd.columns, name
         got.collect()
+
+
+def test_language_stage_rejects_what_was_not_learnt(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    strange = [
+        "Съешь же ещё этих мягких французских булок, да выпей чаю.",
+        "Ξεσκεπάζω την ψυχοφθόρα βδελυγμία.",
+        "Zażółć gęślą jaźń, wszyscy ludzie rodzą się wolni i równi pod względem swej godności.",
+        "xqzj wvkk qzxv jjqk vxzq kwqx zzvq",
+        "人人生而自由，在尊严和权利上一律平等",
+        "12 34 !?",
+    ]
+    plain = ["Tous les êtres humains naissent libres et égaux en dignité et en droits.", "Alle Menschen sind frei und gleich an Würde und Rechten geboren.", "the"]
+    rows = spark.createDataFrame([(10**9 + i, t, None, "x", len(t)) for i, t in enumerate(strange + plain)], docs.schema)
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, docs.unionByName(rows), SF).where("doc_id >= 1000000000").collect()}
+    assert kept == {10**9 + len(strange) + i for i in range(len(plain))}
