@@ -74,7 +74,7 @@ def test_toxicity_held_out(spark):
     y, s, p = map(np.array, zip(*own))
     print("toxicity", len(y), y.mean(), auc(y, s), (p == y).mean())
     assert auc(y, s) > 0.9 and (p == y).mean() > 0.98
-    # eight of the 97 toxic rows hold no word that tells them
+    # some of the 97 toxic rows hold no word that tells them
     assert p[y == 1].mean() > 0.89 and p[y == 0].mean() < 0.005
 
 
