@@ -17,6 +17,7 @@ Buckets whose members are linked already can tell nothing new; only those in whi
   other. All that meet from the first side are one group; each of the second is linked to it.
 
 No bucket gives its pairs: every member gives a bounded number of rows, however dense a group of near copies is.
+Tables that grow with the input are joined by shuffles alone, so that none of them passes the driver.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import bitmap, col, map_text, perhaps_in, table, written
+from .common import bitmap, col, map_text, perhaps_in, shuffled, table, written
 from .components import connected_components
 
 RADIUS = 3
@@ -113,7 +114,7 @@ def near_links(distinct: DataFrame) -> DataFrame:
     proven = balls.select(F.array_sort("s").alias("s")).select(F.explode(F.slice("s", 2, 64)).alias("a"), F.get("s", F.lit(0)).alias("b"))
     near = written(proven.distinct())
     roots = connected_components(near).withColumnRenamed("node", "fp")
-    grouped = _spread(written(distinct.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))))
+    grouped = _spread(written(distinct.join(shuffled(roots), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))))
 
     cut = [64 * k // BLOCKS for k in range(BLOCKS + 1)]
     long = lambda x: F.lit(_signed(x)).cast("long")
@@ -134,18 +135,18 @@ def near_links(distinct: DataFrame) -> DataFrame:
     around = F.when(F.lit(False), F.array().cast("array<bigint>"))
     for k in range(BLOCKS):
         around = around.when(F.col("k") == k, _variants(F.col("v"), [b for b in range(64) if not cut[k] <= b < cut[k + 1]], 0))
-    opened = mixed.select("k", "v", F.explode(around).alias("rest")).join(members.select("k", "rest", "inside", "root"), ["k", "rest"]).select("k", "v", "inside", "root").distinct()
+    opened = shuffled(mixed.select("k", "v", F.explode(around).alias("rest"))).join(shuffled(members.select("k", "rest", "inside", "root")), ["k", "rest"]).select("k", "v", "inside", "root").distinct()
     less_one = opened.select("k", "v", "inside", "root", F.explode(flips).alias("bit")).select("k", "v", "root", "bit", F.col("inside").bitwiseAND(F.bitwise_not("bit")).alias("left"))
     one = several(less_one, "k", "v", "bit", "left").select(F.col("lo").alias("a"), F.col("hi").alias("b"))
 
     # 3 bits inside
-    alike = members.join(several(members, "k", "rest").select("k", "rest"), ["k", "rest"]).withColumn("flips", flips)
+    alike = members.join(shuffled(several(members, "k", "rest").select("k", "rest")), ["k", "rest"]).withColumn("flips", flips)
     xor = lambda m: F.col("inside").bitwiseXOR(m)
     once = F.concat(F.array("inside"), F.transform("flips", xor))
     twice = F.flatten(F.transform("flips", lambda m, i: F.transform(F.slice("flips", i + 2, F.size("flips")), lambda n: xor(m).bitwiseXOR(n))))
     near_side = alike.select("k", "rest", F.col("root").alias("a"), F.explode(once).alias("x")).distinct()
     far_side = alike.select("k", "rest", F.col("root").alias("b"), F.explode(twice).alias("x"))
-    three = far_side.join(near_side, ["k", "rest", "x"]).where("a <> b").select("a", "b")
+    three = far_side.join(shuffled(near_side), ["k", "rest", "x"]).where("a <> b").select("a", "b")
     return near.unionByName(one.unionByName(three).distinct())
 
 
@@ -162,10 +163,10 @@ def near_duplicates(docs: DataFrame, keep: tuple[str, ...] = (), id_col: str = "
     distinct = written(fps.groupBy("fp").agg(F.min("__id").alias("least")))
     links = near_links(distinct.select("fp"))
     roots = connected_components(links).withColumnRenamed("node", "fp")
-    rooted = written(distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
+    rooted = written(distinct.join(shuffled(roots), "fp", "left").withColumn("root", F.coalesce("root", "fp")))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
-    return fps.join(of, "fp").select(*[F.col(f"__{i}").alias(c) for i, c in enumerate(names)], F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    of = rooted.select("fp", "root").join(shuffled(least), "root").select("fp", "component_id")
+    return fps.join(shuffled(of), "fp").select(*[F.col(f"__{i}").alias(c) for i, c in enumerate(names)], F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:

@@ -118,3 +118,13 @@ def test_three_bits_in_one_block(spark):
     signed = np.array(fps, dtype=np.uint64).view(np.int64).tolist()
     got = {frozenset((x.a, x.b)) for x in simhash.near_links(spark.createDataFrame([(x,) for x in signed], "fp long")).collect()}
     assert got == {frozenset(signed[2 * k : 2 * k + 2]) for k in range(0, 30, 2)}
+
+
+def test_growing_tables_are_not_broadcast(spark):
+    """Explodes multiply rows behind the planner's estimate: what it would broadcast grows with the input."""
+    r = random.Random(13)
+    fps = [r.getrandbits(64) - (1 << 63) for _ in range(50)]
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan(simhash.near_links(spark.createDataFrame([(x,) for x in fps], "fp long")))
+    docs = spark.createDataFrame([(i, f"text {i % 9} of some words") for i in range(20)], "doc_id long, text string")
+    assert "Broadcast" not in plan(simhash.near_duplicates(docs))
