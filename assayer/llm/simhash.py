@@ -186,12 +186,12 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     least = F.min(F.struct(F.col("__id").isNull(), "__id", "__h")).alias("k")
     stay = keys.groupBy(*group).agg(least).select(F.col("k.__id").alias("k_id"), F.col("k.__h").alias("k_h"))
     same = F.col("__id").eqNullSafe(F.col("k_id")) & (F.col("__h") == F.col("k_h"))
-    gone = written(keys.join(stay, same, "left_anti").select(F.col("__id").alias("k_id"), F.col("__h").alias("k_h")))
+    gone = written(keys.join(shuffled(stay), same, "left_anti").select(F.col("__id").alias("k_id"), F.col("__h").alias("k_h")))
     key = F.xxhash64("__id", "__h")
     odd = gone.select("k_id", "k_h").unionByName(keys.where("n > 1").select(F.col("__id").alias("k_id"), F.col("__h").alias("k_h")))
     told = perhaps_in(marked.drop("__t"), key, bitmap(odd, F.xxhash64("k_id", "k_h")), "__odd")
     once = Window.partitionBy("__id", "__h").orderBy(F.lit(0))
-    met = told.where("__odd").join(gone, same, "left_anti").withColumn("__n", F.row_number().over(once)).where("__n = 1")
+    met = told.where("__odd").join(shuffled(gone), same, "left_anti").withColumn("__n", F.row_number().over(once)).where("__n = 1")
     return told.where("not __odd").select("__row").unionByName(met.select("__row")).select("__row.*")
 
 

@@ -128,3 +128,10 @@ def test_growing_tables_are_not_broadcast(spark):
     assert "Broadcast" not in plan(simhash.near_links(spark.createDataFrame([(x,) for x in fps], "fp long")))
     docs = spark.createDataFrame([(i, f"text {i % 9} of some words") for i in range(20)], "doc_id long, text string")
     assert "Broadcast" not in plan(simhash.near_duplicates(docs))
+
+
+def test_deduplication_broadcasts_its_bitmap_alone(spark):
+    docs = spark.createDataFrame([(i, f"text {i % 9} of some words") for i in range(20)], "doc_id long, text string")
+    plan = simhash.deduplicate(docs)._jdf.queryExecution().executedPlan().toString()
+    joins = [x for x in plan.splitlines() if "BroadcastHashJoin" in x or "BroadcastNestedLoopJoin" in x]
+    assert joins and all("__word" in x for x in joins)
