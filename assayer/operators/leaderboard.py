@@ -9,19 +9,25 @@ from pyspark.sql.window import Window
 from ..functions.numbers import round_exact, rounded
 
 
+#: Scores are rounded to 6 places.
+SCORE = "decimal(24,10)"
+
+
 def product_totals(
     rows: DataFrame, modes: tuple[str, ...] = ("rubric", "pairwise"), task_count: int | None = None, product: str = "product", exact: bool = False
 ) -> DataFrame:
     """One row a product: completeness, score totals, and recorded metrics with totals if all are known.
 
-    task_count is the number of tasks of every product; by default each product's own rows are its tasks.
+    task_count is the number of tasks of every product; by default each product's own rows are its tasks. Unless exact,
+    scores are added as the decimals that they render to, so that a half is a half in whatever order rows are added.
     """
     n = F.lit(task_count).cast("bigint") if task_count is not None else F.count(F.lit(1))
-    cut = round_exact if exact else rounded
+    cut = round_exact if exact else lambda c, places: rounded(c, places).cast("double")
+    own = lambda c: F.col(c) if exact else F.col(c).cast(SCORE)
     done = F.count(F.when(F.col("status").isin("graded", "failed"), 1))
     sums = rows.groupBy(product).agg(
         done.alias("scored_tasks"), n.alias("total_tasks"), F.count(F.lit(1)).alias("entries"),
-        F.sum("rubric_score").alias("rubric"), F.sum("pairwise_score").alias("pairwise"),
+        F.sum(own("rubric_score")).alias("rubric"), F.sum(own("pairwise_score")).alias("pairwise"),
         F.count("elapsed_seconds").alias("elapsed_seconds_recorded"), F.sum("elapsed_seconds").alias("elapsed"),
         F.count("tokens").alias("tokens_recorded"), F.sum("tokens").alias("used"),
     )
