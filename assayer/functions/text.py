@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from functools import cache, reduce
+from functools import reduce
 from operator import or_
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 WHITE = r"[\t\n\x0b\f\r \x1c-\x1f\x85\p{Z}]"
 LINE_END = r"\r\n|[\n\r\x0b\f\x1c-\x1e\x85\x{2028}\x{2029}]"
@@ -75,23 +77,17 @@ def reaches(c: Column, most: int) -> Column:
     return F.length(c) >= most
 
 
-@cache
-def _folds() -> tuple[str, str, dict[str, str]]:
-    """From Unicode's case folding: characters that become another one, what they become, and those that become several."""
-    to = {c: c.casefold() for c in map(chr, range(0x110000)) if c.casefold() != c}
-    one = {c: f for c, f in to.items() if len(f) == 1}
-    return "".join(one), "".join(one.values()), {c: f for c, f in to.items() if len(f) > 1}
+@F.pandas_udf(StringType())
+def _casefold(texts: pd.Series) -> pd.Series:
+    return texts.map(str.casefold, na_action="ignore")
 
 
 def folded(c: Column) -> Column:
     """For comparison without case, by Unicode's full folding: one letter and its two-letter form agree.
 
     lower() and upper() aren't that: they know the place of a letter in its word, and the optimizer takes one of the two
-    away. Letters that become several are rare, so they are looked for first."""
-    before, after, several = _folds()
-    longer = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in several.items()])
-    spelled = F.aggregate(longer, c, lambda text, pair: F.replace(text, pair["x"], pair["y"]))
-    return F.translate(F.when(c.rlike(f"[{''.join(several)}]"), spelled).otherwise(c), before, after)
+    away. Texts are folded in batches in Python, as a look at each letter by expressions takes several times as long."""
+    return _casefold(c)
 
 
 # Names and beginnings of names of files that office programs and file managers leave behind.

@@ -61,3 +61,10 @@ def test_signatures_and_keys_are_those_of_json(spark):
         assert r["c"] == (random.Random(r["s"]).random() < 0.5)
     some = spark.range(2000).select(digests.seeded_coin(F.sha2(F.col("id").cast("string"), 256)).alias("c")).groupBy("c").count().collect()
     assert len(some) == 2 and all(900 < r["count"] < 1100 for r in some)
+
+
+def test_folding_looks_at_batches(spark):
+    """Letters that become several were replaced one after the other, each over the whole text."""
+    df = spark.createDataFrame([("Straße ŉ İ",), (None,)], "t string").select(text.folded(F.col("t")).alias("f"))
+    assert "ArrowEvalPython" in df._jdf.queryExecution().executedPlan().toString()
+    assert [r["f"] for r in df.collect()] == ["Straße ŉ İ".casefold(), None]
