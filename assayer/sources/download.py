@@ -77,8 +77,7 @@ def fetched(requests: DataFrame, folder: Path, fetch: Fetch = https_fetch, attem
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for url in batch["url"]:
-                yield pd.DataFrame([(url, *one(url))], columns=["url", "full", "attempts", "error"])
+            yield pd.DataFrame([(url, *one(url)) for url in batch["url"]], columns=["url", "full", "attempts", "error"])
 
     apart = requests.where("url is not null").select("url").distinct().repartition(tasks or spark.sparkContext.defaultParallelism, "url")
     return materialised(apart.mapInPandas(run, "url string, full string, attempts int, error string"))
