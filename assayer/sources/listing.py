@@ -6,12 +6,14 @@ bytes of a file. Links are told and never followed; unreadable is a folder that
 
 The folder is split breadth-first: the driver opens folders from the top until there are `splits` of them or no more
 below, and each task walks its share of these. The driver keeps names of folders alone. The folder must be one that
-the driver and all executors see. Options: splits (64); recursive (true), else only the folder's own entries.
+the driver and all executors see. Options: splits (64); recursive (true), else only the folder's own entries, which
+FLAT tasks divide by the CRC-32 of their names: each reads all names and asks the file system about its own.
 """
 
 from __future__ import annotations
 
 import os
+import zlib
 from collections import deque
 from collections.abc import Iterator
 
@@ -20,6 +22,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions.text import LEFT_BEGINNINGS, LEFT_BEHIND
 
+FLAT = 16
 SCHEMA = "path string, full string, kind string, bytes long"
 Entry = tuple[str, str, str, int | None]
 
@@ -33,10 +36,12 @@ def entries(folder: str) -> Iterator[os.DirEntry]:
 
 
 class Folders(InputPartition):
-    """Folders relative to the root, and of each whether what lies below it belongs to it."""
+    """Folders relative to the root, and of each whether what lies below it belongs to it; of their entries, those whose
+    names' CRC-32 leaves `rest` modulo `of`."""
 
-    def __init__(self, folders: list[tuple[str, bool]]):
+    def __init__(self, folders: list[tuple[str, bool]], rest: int = 0, of: int = 1):
         super().__init__(folders)
+        self.rest, self.of = rest, of
 
 
 class ListingReader(DataSourceReader):
@@ -47,7 +52,7 @@ class ListingReader(DataSourceReader):
 
     def partitions(self) -> list[InputPartition]:
         if not self.recursive:
-            return [Folders([("", False)])]
+            return [Folders([("", False)], k, FLAT) for k in range(FLAT)]
         opened: list[str] = []
         waiting = deque([""])
         while waiting and len(waiting) < self.splits:
@@ -68,9 +73,10 @@ class ListingReader(DataSourceReader):
         while stack:
             folder, below = stack.pop()
             try:
-                found = list(entries(os.path.join(self.root, folder)))
+                found = [e for e in entries(os.path.join(self.root, folder)) if partition.of == 1 or zlib.crc32(os.fsencode(e.name)) % partition.of == partition.rest]
             except OSError:
-                yield folder, os.path.join(self.root, folder), "unreadable", None
+                if not partition.rest:
+                    yield folder, os.path.join(self.root, folder), "unreadable", None
                 continue
             for e in found:
                 path = os.path.join(folder, e.name)
