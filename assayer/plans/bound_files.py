@@ -16,6 +16,7 @@ from zipfile import ZipFile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.digests import task_signature
 from ..functions.prompts import RUBRIC_SYSTEM
@@ -171,15 +172,25 @@ def k5(spark, sf_dir):
     return verdict_log.probe_verdicts(asked, log).select("key", F.col("seq").cast("int").alias("seq"), "met")
 
 
+def numbered_lines(spark: SparkSession, path: Path, ends: str) -> DataFrame:
+    """(text, at) of one file's lines, numbered from 0. The file is read in splits: a line's number is its place in its
+    split and the lines of the splits before, of which there is a row each."""
+    raw = spark.read.text(f"file://{path}", lineSep=ends)
+    each = raw.select(F.col("value").alias("text"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("id"))
+    splits = each.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return each.join(F.broadcast(splits.select("split", "first", before.alias("before"))), "split").select("text", (F.col("before") + F.col("id") - F.col("first")).alias("at"))
+
+
 @query("k4_csv_file", "SELECT o_orderkey, 'a \"b\", ' || o_orderpriority AS o_orderpriority, CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice END AS o_totalprice, row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1 AS line FROM orders")
 def k4(spark, sf_dir):
-    """One file of all orders by price; `line` is a row's place in it, found by reading the file as one text."""
+    """One file of all orders by price; `line` is a row's place in it, found by reading the file."""
     path, price = workspace(spark) / "table.csv", F.col("o_totalprice")
     rows = read(spark, sf_dir, "orders").orderBy(price, "o_orderkey")
     reports.write_csv(rows.select("o_orderkey", F.concat(F.lit('a "b", '), "o_orderpriority").alias("o_orderpriority"), F.when(F.col("o_orderkey") % 2 == 0, price).alias("o_totalprice")), path)
-    lines = spark.read.text(f"file://{path}", wholetext=True).select(F.posexplode(F.split(F.regexp_replace("value", "\r\n$", ""), "\r\n")).alias("at", "text")).where("at > 0")
+    lines = numbered_lines(spark, path, "\r\n").where("at > 0")
     own = F.from_csv("text", "o_orderkey bigint, o_orderpriority string, o_totalprice double", {"escape": '"'}).alias("x")
-    return lines.select((F.col("at") - 1).cast("bigint").alias("line"), own).select("x.*", "line")
+    return lines.select((F.col("at") - 1).alias("line"), own).select("x.*", "line")
 
 
 # ---------------------------------------------------------------- files

@@ -31,3 +31,18 @@ def test_nothing_is_left_of_a_failure(spark, tmp_path):
     assert path.read_bytes() == before and [p.name for p in tmp_path.iterdir()] == ["table.csv"]
     with pytest.raises(Exception, match="already"):
         spark.range(1).write.format("one_csv_file").mode("append").save(str(path))
+
+
+def test_lines_are_numbered_over_splits(spark, tmp_path):
+    from assayer.plans.bound_files import numbered_lines
+
+    path, name = tmp_path / "lines", "spark.sql.files.maxPartitionBytes"
+    path.write_bytes(b"".join(b"%d%s\r\n" % (k, b"x" * (k % 50)) for k in range(3000)))
+    before = spark.conf.get(name)
+    spark.conf.set(name, "4096")
+    try:
+        got = numbered_lines(spark, path, "\r\n")
+        assert got.rdd.getNumPartitions() > 1
+        assert {(r["at"], r["text"]) for r in got.collect()} == {(k, f"{k}{'x' * (k % 50)}") for k in range(3000)}
+    finally:
+        spark.conf.set(name, before)
