@@ -430,6 +430,29 @@ def test_perplexities_by_brute_force(spark, monkeypatch, vocabulary, hot):
         assert (r_.bits is None) == (not own) and (not own or math.isclose(r_.bits, bits / r_.n_symbols, rel_tol=1e-4))
 
 
+def test_asked_pairs_move_packed(spark, monkeypatch):
+    r = np.random.default_rng(5)
+    n, buckets = 40_000, 11
+    gram = r.integers(1 << 18, size=n) << ngram.SHIFT | r.integers(1 << 18, size=n)
+    row, times = r.integers(500, size=n), np.where(r.random(n) < 0.02, 2, 1)
+    lists = ngram.packed(gram, row, times, buckets)
+    got = [ngram.unpacked(x["bucket"], x["n"], x["packed"], buckets) for x in lists]
+    assert sorted(zip(*(np.concatenate(c).tolist() for c in zip(*got)))) == sorted(zip(gram.tolist(), row.tolist(), times.tolist()))
+    assert sum(len(x["packed"]) for x in lists) < 5 * n  # a row of a shuffle takes 11 bytes or so
+    assert ngram.packed(gram[:0], row[:0], times[:0], 1) == []
+    # a small bucket: a batch asks each once, however many pairs its documents have, and the sums stay
+    monkeypatch.setattr(ngram, "HOT", 20)
+    texts = [" ".join(f"w{int(k)}" for k in r.zipf(1.3, 60) % 90) for _ in range(80)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    model, join, lists = ngram.word_model(docs), ngram.joined_gains, []
+    monkeypatch.setattr(ngram, "joined_gains", lambda asked, gains, buckets: lists.append((asked.count(), asked.agg({"n": "sum"}).first()[0], buckets)) or join(asked, gains, buckets))
+    of = lambda: {x.doc_id: x.bits for x in ngram.perplexities(docs, model).collect()}
+    whole = of()
+    monkeypatch.setattr(ngram, "BUCKET", 40)
+    assert of() == pytest.approx(whole, rel=1e-12)
+    assert lists[0][0] == 2 and lists[0][2] == 1 and lists[1][2] > 3 and lists[1][0] <= 2 * lists[1][2] < lists[1][1] == lists[0][1]
+
+
 def test_quality_edge_cases(spark):
     docs = spark.createDataFrame([(i, t, None, 1) for i, t in ODD], "doc_id long, text string, lang string, bits int")
     labels = spark.createDataFrame([(5, 1), (None, 1), (4, 0), (3, None)], "doc_id long, quality int")
