@@ -414,6 +414,8 @@ def o5(spark, sf_dir):
     return bank.first_tasks(read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("task")), 20, "task")
 
 
+#: Rows of a partition in which a table's keys are compared.
+PART_ROWS = 1 << 21
 _PATHS = "SELECT DISTINCT CAST(l_orderkey AS VARCHAR) || '/' || l_linenumber AS key FROM lineitem WHERE l_linestatus = '{s}'"
 
 
@@ -424,8 +426,11 @@ _PATHS = "SELECT DISTINCT CAST(l_orderkey AS VARCHAR) || '/' || l_linenumber AS
     UNION ALL SELECT 'attachments: unexpected', key, NULL FROM (SELECT key FROM o EXCEPT SELECT key FROM f)""",
 )
 def u2(spark, sf_dir):
-    paths = lambda s: read(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == s).select("l_orderkey", "l_linenumber").distinct()
-    return validation.set_difference(paths("F"), paths("O"), ["l_orderkey", "l_linenumber"], "attachments")
+    lines = read(spark, sf_dir, "lineitem")
+    # the count is read from the files' footers; a task holds PART_ROWS keys or so, however many there are
+    parts = max(spark.sparkContext.defaultParallelism, lines.count() // PART_ROWS + 1)
+    paths = lambda s: lines.where(F.col("l_linestatus") == s).select("l_orderkey", "l_linenumber")
+    return validation.set_difference(paths("F"), paths("O"), ["l_orderkey", "l_linenumber"], "attachments", once=True, parts=parts)
 
 
 @query("u5_product_rows", "SELECT o_orderkey AS task, o_orderstatus AS status FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'O'")

@@ -6,6 +6,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
+from assayer.operators import validation
 from assayer.plans import bound, bound_files  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
@@ -33,3 +34,22 @@ def test_query_is_its_sql(spark, tables, name):
     assert sorted(names) == sorted(got.columns)
     rows = want.fetchall()
     assert comparable(got.columns, got.collect()) == comparable(names, rows) and rows
+
+
+def test_set_difference_is_two_anti_joins(spark):
+    rows = lambda *k: spark.createDataFrame([(a, b) for a, b in k], "a int, b string")
+    left, right = rows((1, "x"), (1, "x"), (2, "y"), (3, None), (None, None), (5, "z"), (6, "w")), rows((2, "y"), (2, "y"), (3, None), (4, "q"), (4, "q"), (6, "w"))
+    keys = ["a", "b"]
+    of = lambda df: sorted(map(repr, df.collect()))
+    joins = validation.together(validation.missing(left, right, keys, "r: missing"), validation.missing(right, left, keys, "r: unexpected"))
+    assert of(validation.set_difference(left, right, keys, "r")) == of(validation.set_difference(left, right, keys, "r", parts=3)) == of(joins)
+    once = validation.together(validation.missing(left.distinct(), right.distinct(), keys, "r: missing"), validation.missing(right.distinct(), left.distinct(), keys, "r: unexpected"))
+    assert of(validation.set_difference(left, right, keys, "r", once=True)) == of(once)
+
+
+def test_partitions_of_compared_keys_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(bound, "PART_ROWS", 100)
+    n = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    got = bound.QUERIES["u2_attachment_sets"](spark, SF)
+    sizes = got.rdd.glom().map(len).collect()
+    assert n > 1000 and len(sizes) == n // 100 + 1 and max(sizes) < 300
