@@ -1,6 +1,7 @@
 """Language ID, toxicity, LM scoring and the n-gram model: brute force on small inputs, held-out accuracy on the tables."""
 
 import math
+import pickle
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -453,6 +454,21 @@ def test_asked_pairs_move_packed(spark, monkeypatch):
     assert lists[0][0] == 2 and lists[0][2] == 1 and lists[1][2] > 3 and lists[1][0] <= 2 * lists[1][2] < lists[1][1] == lists[0][1]
 
 
+def test_a_scorer_is_shipped_as_its_tables():
+    r = np.random.default_rng(3)
+    keys = np.unique(r.integers(1 << 40, size=50_000))
+    small = {"hashes": ngram.cut(["a b c"]).hash, "bits": np.ones(4, dtype=np.float32), "share": np.ones(5, dtype=np.float32), "spelling": (keys[:9].astype(np.uint64), np.ones(9, dtype=np.float32)),
+             "hot": keys, "gain": r.random(len(keys)).astype(np.float32), "cold": np.zeros(ngram.CELLS // 64 + 1, dtype=np.int64)}
+    built = ngram.Scorer(small)
+    shipped = pickle.loads(pickle.dumps(built))
+    assert not hasattr(shipped.hot, "order") and not hasattr(shipped.hot, "at")
+    asked = r.integers(1 << 40, size=1000).astype(np.uint64)
+    assert np.array_equal(shipped.hot.find_all(asked), built.hot.find_all(asked)) and shipped.hot.find(int(keys[7])) == built.hot.find(int(keys[7])) >= 0
+    texts = ["a b rare c", None, "", "c c a"]
+    for x, y in zip(shipped(texts)[:2], built(texts)[:2]):
+        assert np.array_equal(x, y)
+
+
 def test_quality_edge_cases(spark):
     docs = spark.createDataFrame([(i, t, None, 1) for i, t in ODD], "doc_id long, text string, lang string, bits int")
     labels = spark.createDataFrame([(5, 1), (None, 1), (4, 0), (3, None)], "doc_id long, quality int")
