@@ -3,14 +3,17 @@
 import math
 import pickle
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
-from assayer.llm import langid, lmscore, ngram, registry, toxicity
+from assayer.llm import langid, lmscore, ngram, registry, toxicity, words
 
 SF = "/root/testdata/sf0.1"
 SMALL = "/root/testdata/sf0.001"
@@ -454,6 +457,47 @@ def test_asked_pairs_move_packed(spark, monkeypatch):
     assert lists[0][0] == 2 and lists[0][2] == 1 and lists[1][2] > 3 and lists[1][0] <= 2 * lists[1][2] < lists[1][1] == lists[0][1]
 
 
+def test_a_counting_task_holds_different_words_alone(spark, monkeypatch):
+    """What a task takes doesn't grow with the words that it has read since it last passed on its counts."""
+    r = np.random.default_rng(4)
+    names = np.array([f"word{k}" for k in range(3000)])
+    texts = [" ".join(names[r.zipf(1.2, 2000) % 3000]) for _ in range(60)]
+    batch, repeats = pa.RecordBatch.from_arrays([pa.array(texts)], names=["t"]), 15
+    df, runs = spark.createDataFrame([("a",)], "text string"), []
+    mapped = type(df).mapInArrow
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, f, schema: runs.append(f) or mapped(self, f, schema))
+    ngram.word_counts(df)
+    ngram.pair_counts(df, SimpleNamespace(value=np.unique(ngram.cut([" ".join(names)]).hash)))
+    for run, n in zip(runs, (1, 2)):
+        list(run(iter([batch])))  # the tables that a worker keeps
+        whole, peak, all_texts = Counter(), [], [lm_tokens(t) for t in texts]
+        for times in (2, repeats):
+            tracemalloc.start()
+            got = list(run(iter([batch] * times)))
+            peak.append(tracemalloc.get_traced_memory()[1])
+            tracemalloc.stop()
+        assert peak[1] < (1.6 * peak[0] if n == 1 else 60_000_000), peak
+        for b in got:
+            for key, c, rows in zip(*(x.to_pylist() for x in b.columns)):
+                whole[key] += c
+                assert rows <= c
+        if n == 1:
+            assert whole == Counter({w: c * repeats for w, c in Counter(w for t in all_texts for w in t).items()})
+        else:
+            assert sum(whole.values()) == repeats * sum(map(len, all_texts))
+
+
+@pytest.mark.parametrize("segment", [1, 50, 1 << 20])
+def test_word_hashes_do_not_hang_on_segments(monkeypatch, segment):
+    texts = ["The quick, brown fox.", None, "x" * 300, "数学 naïve " * 40, "a"]
+    whole = words.cut(texts)
+    monkeypatch.setattr(words, "SEGMENT", segment)
+    assert np.array_equal(words.cut(texts).hash, whole.hash)
+    at = np.array([6, 0, 3])
+    assert [whole.only(at).spelled(k) for k in range(3)] == [whole.spelled(k) for k in at]
+    assert not len(whole.only(at[:0]).cp)
+
+
 def test_a_scorer_is_shipped_as_its_tables():
     r = np.random.default_rng(3)
     keys = np.unique(r.integers(1 << 40, size=50_000))
