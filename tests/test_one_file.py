@@ -33,6 +33,27 @@ def test_nothing_is_left_of_a_failure(spark, tmp_path):
         spark.range(1).write.format("one_csv_file").mode("append").save(str(path))
 
 
+def test_a_task_that_outlives_a_failed_job_leaves_nothing(spark, tmp_path, monkeypatch):
+    from types import SimpleNamespace
+
+    from pyspark.sql.types import StructType
+
+    from assayer.sources import one_file
+
+    monkeypatch.setattr(one_file, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    writer = one_file.OneFile({"path": str(tmp_path / "table.csv")}).writer(StructType().add("id", "long"), True)
+    part = writer.write(iter([(1,)]))
+    writer.abort([part])
+    with pytest.raises(FileNotFoundError):
+        writer.write(iter([(2,)]))
+    assert not list(tmp_path.iterdir())
+    # a job that fails before its tasks: the broadcast side of a join
+    broken = spark.range(3).select(F.when(F.col("id") == 2, F.raise_error(F.lit("broken")).cast("long")).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        write_csv(spark.range(100).join(F.broadcast(broken), "id"), tmp_path / "table.csv")
+    assert not list(tmp_path.iterdir())
+
+
 def test_lines_are_numbered_over_splits(spark, tmp_path):
     from assayer.plans.bound_files import numbered_lines
 
